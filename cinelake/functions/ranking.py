@@ -39,11 +39,19 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
                 partitions: int | None = None) -> DataFrame:
     """Dense 1..n row numbers over the whole frame without a single-partition
     window: range-partition on the order, number rows inside each range, add
-    the row count of all earlier ranges (one small row per range)."""
+    the row count of all earlier ranges (one small row per range).
+
+    Range bounds come from sampling, so both passes (local numbering and range
+    sizes) must read one materialisation: it is written once with a reliable
+    ``checkpoint`` (shared checkpoint folder, survives executor loss).
+    """
+    from cinelake.session import ensure_checkpoint_dir
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
     s = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     local = s.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    local = local.checkpoint(eager=True)
+    counts = local.groupBy("_pid").agg(F.max("_rn").alias("_n"))
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return (local.join(F.broadcast(offs.select("_pid", "_off")), "_pid")

@@ -66,6 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
+    """Materialise a frame that several later stages read (reliable checkpoint
+    into the shared checkpoint folder, never ``localCheckpoint``): it is
+    computed once, and a lost executor re-reads the files instead of
+    recomputing the whole lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
