@@ -57,7 +57,8 @@ def popularity_for_users(users: DataFrame, ratings: DataFrame, k: int = 10, m: f
         top = top_k_global(pop, k, order_cols())
         return users.select("userId").crossJoin(F.broadcast(top)).select("userId", "rank", "movieId", "score")
     ranked = global_rank(pop, order_cols(), rank_col="pop_rank")
-    seen = ratings.select("userId", "movieId").join(ranked.select("movieId", "pop_rank"), "movieId")
+    seen = (ratings.select("userId", "movieId").join(users.select("userId"), "userId", "left_semi")
+            .join(ranked.select("movieId", "pop_rank"), "movieId"))
     picks = first_k_unseen(seen.select("userId", "pop_rank"), users, k)
     return picks.join(ranked, "pop_rank").select("userId", "rank", "movieId", "score")
 

@@ -110,7 +110,7 @@ def q_similar_by_content(spark, sf):
     return N.similar_by_content(S.movies(spark, sf), S.tags(spark, sf), k=10)
 
 
-@query("recommend_from_profile", code="R4", floats=("sim",), sql=CONTENT_VEC + """
+PROFILE_CTES = CONTENT_VEC + """
 , prof_raw AS (SELECT i.userId AS id, v.term, sum((i.rating - 2.5E0) * v.w) AS w
                FROM interactions i JOIN content_raw v ON v.id = i.movieId
                WHERE i.rating >= 3.0E0 GROUP BY i.userId, v.term)
@@ -122,7 +122,9 @@ def q_similar_by_content(spark, sf):
   FROM (SELECT DISTINCT id FROM prof) u CROSS JOIN movies m
   LEFT JOIN ppos p ON p.userId = u.id AND p.movieId = m.movieId
   WHERE NOT EXISTS (SELECT 1 FROM interactions i WHERE i.userId = u.id AND i.movieId = m.movieId))"""
-    + topk_sql("ppairs", "userId", "movieId", 10))
+
+
+@query("recommend_from_profile", code="R4", floats=("sim",), sql=PROFILE_CTES + topk_sql("ppairs", "userId", "movieId", 10))
 def q_recommend_from_profile(spark, sf):
     return N.recommend_from_profile(S.interactions(spark, sf), S.movies(spark, sf), S.tags(spark, sf), k=10)
 
@@ -144,7 +146,7 @@ def q_item_item_cf(spark, sf):
     return N.item_item_cf(S.interactions(spark, sf), k=10)
 
 
-@query("user_user_cf", code="R9b", floats=("score",), sql="""
+UU_CTES = """
 , uvec AS (SELECT userId AS id, movieId AS term, rating / sqrt(sum(rating * rating) OVER (PARTITION BY userId)) AS w
            FROM interactions)
 , upos AS (SELECT a.id AS userId, b.id AS nbr, round(sum(a.w * b.w), 12) AS sim
@@ -154,7 +156,10 @@ def q_item_item_cf(spark, sf):
 , pred AS (SELECT nb.userId, i.movieId, round(sum(nb.sim * i.rating) / sum(nb.sim), 12) AS score
            FROM nb JOIN interactions i ON i.userId = nb.nbr
            WHERE NOT EXISTS (SELECT 1 FROM interactions s WHERE s.userId = nb.userId AND s.movieId = i.movieId)
-           GROUP BY nb.userId, i.movieId)""" + topk_sql("pred", "userId", "movieId", 10, score="score"))
+           GROUP BY nb.userId, i.movieId)"""
+
+
+@query("user_user_cf", code="R9b", floats=("score",), sql=UU_CTES + topk_sql("pred", "userId", "movieId", 10, score="score"))
 def q_user_user_cf(spark, sf):
     return N.user_user_cf(S.interactions(spark, sf), k=10, n_neighbors=30)
 
