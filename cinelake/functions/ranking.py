@@ -88,3 +88,23 @@ def first_k_unseen(seen_ranks: DataFrame, users: DataFrame, k: int, rank_col: st
     allg = allg.where(stop >= F.col("g_start"))
     out = allg.select("userId", "before", "g_start", F.explode(F.sequence(F.col("g_start"), stop)).alias(rank_col))
     return out.select("userId", rank_col, (F.col("before") + F.col(rank_col) - F.col("g_start") + 1).alias("rank"))
+
+
+def global_running_sums(df: DataFrame, order: list[Column], cols: list[str], prefix: str = "cum_",
+                        partitions: int | None = None) -> DataFrame:
+    """Running sums of ``cols`` over the whole frame in ``order`` (rows up to and
+    including the current one), computed like ``global_rank``: per range a
+    local running sum, plus the totals of all earlier ranges."""
+    from cinelake.session import ensure_checkpoint_dir
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
+    s = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = s.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in cols]).checkpoint(eager=True)
+    tot = local.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    prev = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)   # one row per range
+    offs = tot.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(prev), F.lit(0)).alias(f"_o_{c}") for c in cols])
+    out = local.join(F.broadcast(offs), "_pid")
+    for c in cols:
+        out = out.withColumn(f"{prefix}{c}", F.col(f"_o_{c}") + F.col(f"_l_{c}"))
+    return out.drop("_pid", *[f"_l_{c}" for c in cols], *[f"_o_{c}" for c in cols])
