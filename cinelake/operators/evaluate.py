@@ -163,8 +163,15 @@ def personalization_lift(metrics: DataFrame, baseline: str, k: int = 10) -> Data
                 (F.col("value") - F.col("base")) / F.greatest(F.lit(1e-5), F.col("base")) * 100).alias("lift_pct")))
 
 
-def report_table(metrics: DataFrame) -> DataFrame:
-    """One row per model, one column per metric@k (pivot on a fixed list)."""
+def report_table(metrics: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One row per model, one column per metric@k.  With the column list
+    given, the pivot needs no extra job to discover the values."""
     names = metrics.select(F.concat(F.col("metric"), F.lit("@"), F.col("k").cast("string")).alias("name"),
                            "model", "value")
-    return names.groupBy("model").pivot("name").agg(F.first("value"))
+    g = names.groupBy("model")
+    return (g.pivot("name", columns) if columns else g.pivot("name")).agg(F.max("value"))
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """S13 sink: the benchmark table as one CSV file with a header."""
+    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
