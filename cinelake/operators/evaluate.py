@@ -143,6 +143,9 @@ def intra_list_diversity(recs: DataFrame, users: DataFrame, movies: DataFrame, k
 def evaluate_model(recs: DataFrame, test: DataFrame, train: DataFrame, movies: DataFrame, model: str,
                    threshold: float = 4.0, sample_users: int | None = None, ks=DEFAULT_KS) -> DataFrame:
     """Every metric for one model as (model, metric, k, value)."""
+    from cinelake.session import cut_lineage
+    # the lists feed four metric branches: compute them once
+    recs = cut_lineage(recs.select("userId", "rank", "movieId"))
     truth = ground_truth(test, threshold)
     users = eval_sample(truth, sample_users)
     cat = movies.agg(F.count(F.lit(1)).alias("n_catalog"))

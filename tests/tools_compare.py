@@ -1,0 +1,6 @@
+"""Re-export of the comparison used by tools/oracle_check.py."""
+import os
+import sys
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+from oracle_check import compare  # noqa: E402,F401
