@@ -33,6 +33,8 @@ from cinelake.functions.ranking import first_k_unseen, global_rank, top_k_per_gr
 from cinelake.session import cut_lineage
 
 DENSE_CELLS = 8_000_000      # max doubles in one term-chunk of a block (64 MB)
+MAX_PAIRS = 8_000_000        # max expanded (seed entry, item entry) pairs per step
+SPARSE_COST = 300            # cost of one expanded pair relative to one dense multiply-add
 OUT_SCHEMA = "sid long, iid long, sim double"
 
 
@@ -44,6 +46,56 @@ def l2_normalize(vecs: DataFrame) -> DataFrame:
     return v.join(n, "id").select("id", "term", (F.col("w") / F.col("n")).alias("w"))
 
 
+def _dot_block(ns, ni, d, s_row, sc, sw, i_row, ic, iw) -> np.ndarray:
+    """All seed x item dot products of one block pair as an (ns, ni) array.
+
+    Two exact strategies, chosen by estimated cost: a sparse expansion of the
+    (seed entry, item entry) pairs that share a term (cheap when terms are
+    rare, e.g. users as terms of item vectors), or dense BLAS products over
+    chunks of terms (cheap when a few terms are shared by everyone, e.g. tags
+    or genres).  Memory is bounded in both: pair expansion and term chunks are
+    capped per step.
+    """
+    sim = np.zeros(ns * ni)
+    s_ord, i_ord = np.argsort(sc, kind="stable"), np.argsort(ic, kind="stable")
+    sc_s, ic_s = sc[s_ord], ic[i_ord]
+    cb = np.bincount(ic, minlength=d)
+    reps_all = cb[sc_s]
+    n_pairs = int(reps_all.sum())
+    if n_pairs * SPARSE_COST < ns * ni * d:
+        i_start = np.concatenate([[0], np.cumsum(cb)[:-1]])
+        cum = np.cumsum(reps_all)
+        start = 0
+        while start < len(sc_s):
+            base = cum[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(cum, base + MAX_PAIRS, side="right")))
+            reps = reps_all[start:end]
+            p = int(reps.sum())
+            if p:
+                e = np.repeat(np.arange(start, end), reps)
+                within = np.arange(p) - np.repeat(np.cumsum(reps) - reps, reps)
+                j = i_start[sc_s[e]] + within
+                keys = s_row[s_ord[e]] * ni + i_row[i_ord[j]]
+                sim += np.bincount(keys, weights=sw[s_ord[e]] * iw[i_ord[j]], minlength=ns * ni)
+            start = end
+        return sim.reshape(ns, ni)
+    sim = sim.reshape(ns, ni)
+    step = max(1, DENSE_CELLS // max(1, ns + ni))
+    for lo in range(0, d, step):
+        hi = min(d, lo + step)
+        a0, a1 = np.searchsorted(sc_s, lo), np.searchsorted(sc_s, hi)
+        b0, b1 = np.searchsorted(ic_s, lo), np.searchsorted(ic_s, hi)
+        if a0 == a1 or b0 == b1:
+            continue
+        w = hi - lo
+        S = np.bincount(s_row[s_ord[a0:a1]] * w + (sc_s[a0:a1] - lo), weights=sw[s_ord[a0:a1]],
+                        minlength=ns * w).reshape(ns, w)
+        I = np.bincount(i_row[i_ord[b0:b1]] * w + (ic_s[b0:b1] - lo), weights=iw[i_ord[b0:b1]],
+                        minlength=ni * w).reshape(ni, w)
+        sim += S @ I.T
+    return sim
+
+
 def _kernel(k: int, exclude_self: bool, min_sim: float, strict: bool):
     def run(block: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"sid": pd.Series([], dtype="int64"), "iid": pd.Series([], dtype="int64"),
@@ -59,21 +111,7 @@ def _kernel(k: int, exclude_self: bool, min_sim: float, strict: bool):
         sc, ic = codes[: len(vec)], codes[len(vec):]
         sw, iw = vec["w"].to_numpy(dtype="float64"), right["w"].to_numpy(dtype="float64")
         ns, ni, d = len(sids), len(iids), len(uniq)
-        sim = np.zeros((ns, ni))
-        step = max(1, DENSE_CELLS // max(1, ns + ni))
-        s_ord, i_ord = np.argsort(sc, kind="stable"), np.argsort(ic, kind="stable")
-        sc_s, ic_s = sc[s_ord], ic[i_ord]
-        for lo in range(0, d, step):
-            hi = min(d, lo + step)
-            a0, a1 = np.searchsorted(sc_s, lo), np.searchsorted(sc_s, hi)
-            b0, b1 = np.searchsorted(ic_s, lo), np.searchsorted(ic_s, hi)
-            if a0 == a1 or b0 == b1:
-                continue
-            S = np.zeros((ns, hi - lo))
-            np.add.at(S, (s_row[s_ord[a0:a1]], sc_s[a0:a1] - lo), sw[s_ord[a0:a1]])
-            I = np.zeros((ni, hi - lo))
-            np.add.at(I, (i_row[i_ord[b0:b1]], ic_s[b0:b1] - lo), iw[i_ord[b0:b1]])
-            sim += S @ I.T
+        sim = _dot_block(ns, ni, d, s_row, sc, sw, i_row, ic, iw)
         keep = (sim > min_sim) if strict else (sim >= min_sim)
         if exclude_self:
             pos = np.searchsorted(iids, sids)
@@ -86,10 +124,17 @@ def _kernel(k: int, exclude_self: bool, min_sim: float, strict: bool):
             er, ec = er[ok], ec[ok]
             ok2 = (sids[er] == ex["sid"].to_numpy()[ok]) & (iids[ec] == ex["xid"].to_numpy()[ok])
             keep[er[ok2], ec[ok2]] = False
+        # only entries >= the row's k-th best value can rank: a partial
+        # partition per row instead of sorting every scored pair
+        simr = np.round(sim, 12)   # near-equal floats tie, then the id decides
+        simr[~keep] = -np.inf
+        if ni > k:
+            kth = -np.partition(-simr, k - 1, axis=1)[:, k - 1]
+            keep &= simr >= kth[:, None]
         rows, cols = np.nonzero(keep)
         if len(rows) == 0:
             return empty
-        vals = np.round(sim[rows, cols], 12)   # near-equal floats tie, then id decides
+        vals = simr[rows, cols]
         s_id, i_id = sids[rows], iids[cols]
         order = np.lexsort((i_id, -vals, s_id))
         s_id, i_id, vals = s_id[order], i_id[order], vals[order]
