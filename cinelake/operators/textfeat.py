@@ -48,6 +48,19 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str, n_max: int = 2,
     return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def vocabulary(tf: DataFrame, min_df: int = 1, max_features: int | None = None) -> DataFrame:
+    """(term, df, ctf) of ``tf`` rows; ``min_df`` on document frequency and X4:
+    the ``max_features`` terms with the largest corpus count, ties by term, as
+    a distributed global rank (no driver-side sort of the vocabulary)."""
+    vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ctf"))
+    if min_df > 1:
+        vocab = vocab.where(F.col("df") >= min_df)
+    if max_features is not None:
+        vocab = global_rank(vocab, [F.col("ctf").desc(), F.col("term").asc()], rank_col="_r") \
+            .where(F.col("_r") <= max_features).drop("_r")
+    return vocab
+
+
 def tfidf(docs: DataFrame, id_col: str, text_col: str, min_df: int = 1, max_features: int | None = None,
           n_max: int = 2, stop_words: bool = True, sublinear: bool = True) -> DataFrame:
     """L2-normalised TF-IDF weights ``(id, term, w)``."""
@@ -56,14 +69,7 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, min_df: int = 1, max_feat
         # tf feeds both the vocabulary ranking and the weights: tokenise once
         tf = cut_lineage(tf)
     n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    vocab = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ctf"))
-    if min_df > 1:
-        vocab = vocab.where(F.col("df") >= min_df)
-    if max_features is not None:
-        # Largest corpus counts, ties by term; a distributed global rank,
-        # not a driver-side sort of the vocabulary.
-        vocab = global_rank(vocab, [F.col("ctf").desc(), F.col("term").asc()], rank_col="_r") \
-            .where(F.col("_r") <= max_features).drop("_r")
+    vocab = vocabulary(tf, min_df, max_features)
     idf = vocab.crossJoin(F.broadcast(n_docs)).select(
         "term", (F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
     tfw = (F.lit(1.0) + F.log(F.col("tf"))) if sublinear else F.col("tf").cast("double")
