@@ -131,3 +131,96 @@ def q_evaluate_popularity(spark, sf):
     users = V.eval_sample(V.ground_truth(test), None)
     recs = P.popularity_for_users(users, train, k=20)
     return V.evaluate_model(recs, test, train, m, "popularity")
+
+
+def one_metric_sql(model: str, metrics: tuple[str, ...]) -> str:
+    """``metrics_sql`` with the final union kept as a CTE and filtered."""
+    full = metrics_sql(model)
+    head = f"\nSELECT '{model}' AS model, metric, k, value FROM ("
+    assert head in full
+    names = ", ".join(f"'{m}'" for m in metrics)
+    return (full.replace(head, f"\n, allmet AS (SELECT '{model}' AS model, metric, k, value FROM (")
+            + f")\nSELECT model, metric, k, value FROM allmet WHERE metric IN ({names})")
+
+
+def _pop_eval_inputs(spark, sf):
+    """(recs, truth, users, train, movies) of the popularity model on the split;
+    the recommendation lists are materialised once (they feed every metric)."""
+    from cinelake.session import cut_lineage
+    train, test = _split(spark, sf)
+    truth = V.ground_truth(test)
+    users = V.eval_sample(truth, None)
+    recs = cut_lineage(P.popularity_for_users(users, train, k=20).select("userId", "rank", "movieId"))
+    return recs, truth, users, train, S.movies(spark, sf)
+
+
+def _as_model(df, model="popularity"):
+    return df.select(F.lit(model).alias("model"), "metric", F.col("k").cast("int").alias("k"), "value")
+
+
+def _ranking_metric(spark, sf, metric):
+    recs, truth, users, _, _ = _pop_eval_inputs(spark, sf)
+    return _as_model(V.ranking_metrics(recs, truth, users).where(F.col("metric") == metric))
+
+
+EVAL_POP = SPLIT_SQL + POP_RECS_SQL
+
+
+@query("precision_at_k", code="E2", floats=("value",), sql=EVAL_POP + one_metric_sql("popularity", ("precision",)))
+def q_precision_at_k(spark, sf):
+    return _ranking_metric(spark, sf, "precision")
+
+
+@query("recall_at_k", code="E3", floats=("value",), sql=EVAL_POP + one_metric_sql("popularity", ("recall",)))
+def q_recall_at_k(spark, sf):
+    return _ranking_metric(spark, sf, "recall")
+
+
+@query("map_at_k", code="E4", floats=("value",), sql=EVAL_POP + one_metric_sql("popularity", ("map",)))
+def q_map_at_k(spark, sf):
+    return _ranking_metric(spark, sf, "map")
+
+
+@query("ndcg_at_k", code="E5", floats=("value",), sql=EVAL_POP + one_metric_sql("popularity", ("ndcg",)))
+def q_ndcg_at_k(spark, sf):
+    return _ranking_metric(spark, sf, "ndcg")
+
+
+@query("catalog_coverage", code="E6", floats=("value",),
+       sql=EVAL_POP + one_metric_sql("popularity", ("coverage",)))
+def q_catalog_coverage(spark, sf):
+    recs, _, users, _, m = _pop_eval_inputs(spark, sf)
+    return _as_model(V.coverage(recs, users, m.agg(F.count(F.lit(1)).alias("n_catalog"))))
+
+
+@query("novelty", code="E7", floats=("value",), sql=EVAL_POP + one_metric_sql("popularity", ("novelty",)))
+def q_novelty(spark, sf):
+    recs, _, users, train, _ = _pop_eval_inputs(spark, sf)
+    return _as_model(V.novelty(recs, users, train))
+
+
+@query("intra_list_diversity", code="E8", floats=("value",),
+       sql=EVAL_POP + one_metric_sql("popularity", ("intra_list_diversity",)))
+def q_intra_list_diversity(spark, sf):
+    recs, _, users, _, m = _pop_eval_inputs(spark, sf)
+    return _as_model(V.intra_list_diversity(recs, users, m))
+
+
+UNSEEN_RECS_SQL = """
+, recs AS (
+  SELECT userId, rank, movieId FROM (
+    SELECT u.userId, p.movieId, row_number() OVER (PARTITION BY u.userId ORDER BY p.score DESC, p.movieId) AS rank
+    FROM eusers u CROSS JOIN train_pop p
+    WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.userId = u.userId AND t.movieId = p.movieId))
+  WHERE rank <= 20)"""
+
+
+@query("evaluate_model", code="E10", floats=("value",),
+       sql=SPLIT_SQL + UNSEEN_RECS_SQL + metrics_sql("popularity_unseen"))
+def q_evaluate_model(spark, sf):
+    """E10 for the popularity recommender that skips each user's training
+    items: lists of depth max(K) = 20, every metric in one job."""
+    train, test = _split(spark, sf)
+    users = V.eval_sample(V.ground_truth(test), None)
+    recs = P.popularity_for_users(users, train, k=20, exclude_seen=True)
+    return V.evaluate_model(recs, test, train, S.movies(spark, sf), "popularity_unseen")
