@@ -144,3 +144,40 @@ def q_stream_rating_drift(spark, sf):
     from cinelake.streaming import drift as D
     hist = D.run_to_table(D.rating_histogram_stream(D.feed_stream(spark, sf)), "rating_hist")
     return D.ks_from_histograms(hist)
+
+
+@query("stream_latency_last_n", code="T3", floats=("p50", "p95", "p99", "mean"), sql="""
+SELECT coalesce(quantile_cont(latency_ms, 0.5), 0.0E0) AS p50, coalesce(quantile_cont(latency_ms, 0.95), 0.0E0) AS p95,
+  coalesce(quantile_cont(latency_ms, 0.99), 0.0E0) AS p99, coalesce(avg(latency_ms), 0.0E0) AS mean, count(*) AS n
+FROM (SELECT * FROM rating_feed ORDER BY ts DESC, event_id DESC LIMIT 10000)""")
+def q_stream_latency_last_n(spark, sf):
+    """The latency feed ingested by a stateless stream (availableNow, append)
+    into the shared folder; the count-based buffer of the 10,000 newest
+    records and its percentiles are a distributed top-k over that table."""
+    from cinelake.streaming import drift as D
+    landed = D.run_to_table(D.feed_stream(spark, sf).select("event_id", "ts", "latency_ms"), "latency_feed")
+    return T.latency_summary(T.latency_last_n(landed))
+
+
+@query("stream_popularity", code="T5", floats=("score",), sql="""
+, ev AS (SELECT l_partkey AS movieId, 0.5E0 + 0.5E0 * floor((l_quantity - 1) / 5) AS rating,
+           CAST(floor(floor(epoch(l_shipdate)) / 86400) * 86400 AS BIGINT) AS window_start FROM lineitem)
+, cnt AS (SELECT window_start, movieId, count(*) AS v, sum(rating) AS s FROM ev
+          WHERE window_start + 86400 <= (SELECT epoch(max(l_shipdate)) - 3600 FROM lineitem)
+          GROUP BY window_start, movieId)
+, c AS (SELECT window_start, sum(s) / sum(v) AS C FROM cnt GROUP BY window_start)
+, sc AS (SELECT n.window_start, movieId, v, v / (v + 50.0E0) * (s / v) + 50.0E0 / (v + 50.0E0) * C AS score
+         FROM cnt n JOIN c ON c.window_start = n.window_start)
+, top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY score DESC, movieId)
+                                  AS window_rank FROM sc) WHERE window_rank <= 10)
+, base_top AS (SELECT movieId, row_number() OVER (ORDER BY score DESC, movieId) AS base_rank
+               FROM (SELECT * FROM pop ORDER BY score DESC, movieId LIMIT 10))
+SELECT t.window_start, t.window_rank, t.movieId, t.v, t.score, b.base_rank
+FROM top t LEFT JOIN base_top b ON b.movieId = t.movieId""")
+def q_stream_popularity(spark, sf):
+    """T5 as a stream: per-day rating counts per movie with a 1-hour watermark
+    (closed days only), scored against the all-time batch ranking."""
+    from cinelake.operators.popularity import bayesian_popularity
+    from cinelake.streaming import drift as D
+    counts = D.run_to_table(D.movie_popularity_stream(D.rating_event_stream(spark, sf)), "movie_popularity")
+    return D.window_popularity(counts, bayesian_popularity(S.interactions(spark, sf)))

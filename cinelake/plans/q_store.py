@@ -164,3 +164,57 @@ def q_join_movies_tags(spark, sf):
     tg = combine_tags(frequent_tags(S.tags(spark, sf), 1))
     return (S.movies(spark, sf).select("movieId", "title").join(tg, "movieId", "left")
             .fillna("", subset=["combined_tags"]))
+
+
+@query("save_model_tables", code="S9", sql="""
+SELECT 'movies' AS table_name, count(*) AS n_rows FROM movies
+UNION ALL SELECT 'popularity', count(*) FROM pop""")
+def q_save_model_tables(spark, sf):
+    """Write a bundle (tables first, manifest last) to the shared checkpoint
+    folder; report every stored table's row count as read back from storage."""
+    r, m = S.interactions(spark, sf), S.movies(spark, sf)
+    root = _bundle_root(spark, "save")
+    folder = ST.save_model_tables(root, {"popularity": P.bayesian_popularity(r), "movies": m})
+    parts = [spark.read.parquet(f"{folder}/{name}").agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(name).alias("table_name"), "n_rows") for name in ("movies", "popularity")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("load_model_tables", code="S10", sql="SELECT movieId, title, genres FROM movies")
+def q_load_model_tables(spark, sf):
+    """Reload a stored bundle through the manifest check; the catalog table
+    comes back unchanged."""
+    root = _bundle_root(spark, "load")
+    ST.save_model_tables(root, {"movies": S.movies(spark, sf)})
+    return ST.load_model_tables(spark, root)["movies"].select("movieId", "title", "genres")
+
+
+@query("write_report", code="S13", floats=tuple(f'"{c}"' for c in REPORT_COLS), sql=EVAL2_SQL + """
+SELECT model, """ + ",\n  ".join(
+    f"max(CASE WHEN metric || '@' || CAST(k AS VARCHAR) = '{c}' THEN value END) AS \"{c}\"" for c in REPORT_COLS)
+    + "\nFROM allm GROUP BY model")
+def q_write_report(spark, sf):
+    """The benchmark table written as one CSV with a header under the shared
+    checkpoint folder, read back with a fixed schema."""
+    from pyspark.sql import types as T
+    report = V.report_table(_eval_pop_and_uu(spark, sf, REL_35), REPORT_COLS)
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/reports/benchmark-{uuid.uuid4().hex[:8]}"
+    V.write_report(report, path)
+    schema = T.StructType([T.StructField("model", T.StringType())]
+                          + [T.StructField(c, T.DoubleType()) for c in REPORT_COLS])
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@query("fit_pipeline", code="R14")
+def q_fit_pipeline(spark, sf):
+    """Fit every model table from ratings, movies and tags into one bundle;
+    report the stored tables and their row counts."""
+    cfg = ST.PipelineConfig(n_svd_components=32)
+    bundle = ST.fit_pipeline(S.interactions(spark, sf), S.movies(spark, sf), S.tags(spark, sf),
+                             _bundle_root(spark, "fit"), cfg)
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+             for name, df in sorted(bundle.items())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -83,3 +83,44 @@ def ks_from_histograms(hist: DataFrame, base_type: str = "view", live_type: str
     w = Window.partitionBy("window_start").orderBy("rating").rowsBetween(Window.unboundedPreceding, 0)
     g = g.withColumn("d", F.abs(F.sum("cb").over(w) / F.col("n_base") - F.sum("cl").over(w) / F.col("n_live")))
     return g.groupBy("window_start", "n_base", "n_live").agg(F.max("d").alias("D"))
+
+
+def rating_event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
+    """Live rating events from the line-item files of a folder: one rating per
+    line (no de-duplication: a feed, not the catalog), event time = the day the
+    line ships, as a UTC instant."""
+    from cinelake.sources.tables import rating_from_quantity
+    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema     # footer only
+    e = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+         .option("pathGlobFilter", "lineitem*.parquet").parquet(sf_dir))
+    micros = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("l_shipdate"))
+    ets = F.timestamp_micros(micros)
+    return e.select(F.col("l_partkey").alias("movieId"), rating_from_quantity(F.col("l_quantity")).alias("rating"),
+                    ets.alias("ts"))
+
+
+def movie_popularity_stream(events: DataFrame, window: str = "1 day") -> DataFrame:
+    """T5 state: per event-time window and movie, rating count and sum (two
+    sums per key; partial aggregation runs before the state store shuffle)."""
+    return (events.withWatermark("ts", WATERMARK)
+            .groupBy(F.window("ts", window).alias("w"), "movieId")
+            .agg(F.count(F.lit(1)).alias("v"), F.sum("rating").alias("s"))
+            .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "movieId", "v", "s"))
+
+
+def window_popularity(counts: DataFrame, baseline: DataFrame, m: float = 50.0, k: int = 10) -> DataFrame:
+    """Bayesian score of every movie in each closed window (C = the window's
+    mean rating), the window's top k, and each one's all-time ``base_rank``
+    (null when outside the baseline top k)."""
+    from cinelake.functions.ranking import top_k_global, top_k_per_group
+    c = counts.groupBy("window_start").agg((F.sum("s") / F.sum("v")).alias("C"))
+    mm = F.lit(float(m))
+    sc = counts.join(c, "window_start").select(
+        "window_start", "movieId", "v",
+        (F.col("v") / (F.col("v") + mm) * (F.col("s") / F.col("v")) + mm / (F.col("v") + mm) * F.col("C"))
+        .alias("score"))
+    top = top_k_per_group(sc, "window_start", k, [F.col("score").desc(), F.col("movieId").asc()],
+                          rank_col="window_rank")
+    base_top = top_k_global(baseline, k, [F.col("score").desc(), F.col("movieId").asc()], rank_col="base_rank")
+    return top.join(base_top.select("movieId", "base_rank"), "movieId", "left").select(
+        "window_start", "window_rank", "movieId", "v", "score", "base_rank")
