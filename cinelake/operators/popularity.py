@@ -72,6 +72,22 @@ def genre_buckets(movies: DataFrame, ratings: DataFrame, depth: int, m: float =
     return top_k_per_group(g, "genre", depth, order_cols(), rank_col="pos")
 
 
+def round_robin_merge(requests: DataFrame, buckets: DataFrame, k: int) -> DataFrame:
+    """Interleave each request's genre buckets.  Round = position in the
+    bucket; within a round genres go in preference order; a movie already taken
+    in an earlier (round, genre) is skipped; rounds run while fewer than k
+    movies were taken before them.  -> (req_id, gpos, pos, movieId, score)."""
+    req = (requests.select("req_id", F.posexplode(F.array_distinct("genres")).alias("gpos", "genre")))
+    cand = req.join(buckets, "genre")
+    seq = Window.partitionBy("req_id", "movieId").orderBy("pos", "gpos")
+    first = cand.withColumn("dup", F.row_number().over(seq)).where("dup = 1")
+    per_round = first.groupBy("req_id", "pos").agg(F.count(F.lit(1)).alias("n_round"))
+    before = Window.partitionBy("req_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    rounds = (per_round.withColumn("taken_before", F.coalesce(F.sum("n_round").over(before), F.lit(0)))
+              .where(F.col("taken_before") < k).select("req_id", "pos"))
+    return first.join(rounds, ["req_id", "pos"]).select("req_id", "gpos", "pos", "movieId", "score")
+
+
 def genre_onboarding(requests: DataFrame, movies: DataFrame, ratings: DataFrame, k: int = 10,
                      m: float = 50.0, strict_k: bool = False) -> DataFrame:
     """Round-robin over each request's preferred genres (R11 via W6).
@@ -88,16 +104,7 @@ def genre_onboarding(requests: DataFrame, movies: DataFrame, ratings: DataFrame,
     therefore hold n_genres x k rows and the per-request candidates are at most
     k x |genres|.
     """
-    buckets = genre_buckets(movies, ratings, k, m)
-    req = (requests.select("req_id", F.posexplode(F.array_distinct("genres")).alias("gpos", "genre")))
-    cand = req.join(buckets, "genre")
-    seq = Window.partitionBy("req_id", "movieId").orderBy("pos", "gpos")
-    first = cand.withColumn("dup", F.row_number().over(seq)).where("dup = 1")
-    per_round = first.groupBy("req_id", "pos").agg(F.count(F.lit(1)).alias("n_round"))
-    before = Window.partitionBy("req_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    rounds = (per_round.withColumn("taken_before", F.coalesce(F.sum("n_round").over(before), F.lit(0)))
-              .where(F.col("taken_before") < k).select("req_id", "pos"))
-    picked = first.join(rounds, ["req_id", "pos"])
+    picked = round_robin_merge(requests, genre_buckets(movies, ratings, k, m), k)
     out = top_k_per_group(picked, "req_id", k if strict_k else None, [F.col("pos"), F.col("gpos")])
     out = out.select("req_id", "rank", "movieId", "score")
     missing = requests.select("req_id").join(out.select("req_id").distinct(), "req_id", "left_anti")

@@ -149,3 +149,18 @@ FROM movies m, unnest(string_split(m.genres, '|')) AS x(g)
 WHERE trim(x.g) <> '' AND trim(x.g) <> '(no genres listed)'""")
 def q_genre_facets(spark, sf):
     return P.genre_facets(S.movies(spark, sf))
+
+
+@query("round_robin_merge", code="W6", sql=ONBOARD_SQL.split("\n), picked AS (")[0] + """
+)
+SELECT f.req_id, row_number() OVER (PARTITION BY f.req_id ORDER BY f.pos, f.gpos) AS rank, f.movieId,
+  f.pos AS round
+FROM firsts f JOIN rounds r ON r.req_id = f.req_id AND r.pos = f.pos""")
+def q_round_robin_merge(spark, sf):
+    """The interleaving behind genre onboarding, with the round of every pick
+    (the last round may overshoot k)."""
+    from cinelake.functions.ranking import top_k_per_group
+    r, m = S.interactions(spark, sf), S.movies(spark, sf)
+    picked = P.round_robin_merge(P.first_rated_genres(r, m), P.genre_buckets(m, r, 10), 10)
+    out = top_k_per_group(picked, "req_id", None, [F.col("pos"), F.col("gpos")])
+    return out.select("req_id", "rank", "movieId", F.col("pos").alias("round"))
