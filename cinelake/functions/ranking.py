@@ -108,3 +108,28 @@ def global_running_sums(df: DataFrame, order: list[Column], cols: list[str], pre
     for c in cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_o_{c}") + F.col(f"_l_{c}"))
     return out.drop("_pid", *[f"_l_{c}" for c in cols], *[f"_o_{c}" for c in cols])
+
+
+def first_n_exact(df: DataFrame, n: int, order: list[Column], bucket: Column) -> DataFrame:
+    """``ORDER BY <order> LIMIT n`` for a large n without a final merge task of
+    partitions x n rows (what ``TakeOrderedAndProject`` does).
+
+    ``bucket`` is a coarse prefix of the order (non-decreasing along it, e.g.
+    the top bits of a hash key or the hour of a timestamp).  A count histogram
+    over the buckets (partial aggregation; its size is fixed by the bucket
+    expression, not by the data) and a running count give the bucket in which
+    the n-th row falls; only that one (bucket, rows before it) pair reaches the
+    driver.  Rows of earlier buckets are kept by a plain filter, and the sorted
+    limit runs over the boundary bucket alone for the remaining rows.  The
+    result is the same row set as the sort + limit.
+    """
+    hist = df.select(bucket.alias("_b")).groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    cum = global_running_sums(hist, [F.col("_b").asc()], ["_c"])
+    hit = cum.where(F.col("cum__c") >= F.lit(n)).orderBy("_b").limit(1).select(
+        "_b", (F.col("cum__c") - F.col("_c")).alias("_before")).first()
+    if hit is None:                          # fewer than n rows in total
+        return df
+    b_star, before = hit["_b"], int(hit["_before"])
+    full = df.where(bucket < F.lit(b_star))
+    edge = df.where(bucket == F.lit(b_star)).orderBy(*order).limit(n - before)
+    return full.unionByName(edge)

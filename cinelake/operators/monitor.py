@@ -86,9 +86,17 @@ def psi(base: DataFrame, live: DataFrame, value: str = "rating", eps: float = PS
 
 
 def latency_last_n(feed: DataFrame, n: int = 10_000) -> DataFrame:
-    """The n most recent latency records (by ts, then event id)."""
-    return top_k_global(feed.select("event_id", "ts", "latency_ms"), n,
-                        [F.col("ts").desc(), F.col("event_id").desc()], rank_col="recency")
+    """The n most recent latency records (by ts, then event id), numbered
+    by recency.  Selected exactly through an hourly histogram (newest hour
+    first) so no single task merges n rows from every partition; the final
+    numbering runs over the n survivors only."""
+    from pyspark.sql import Window
+    from cinelake.functions.ranking import first_n_exact
+    from cinelake.operators.prep import epoch_seconds
+    order = [F.col("ts").desc(), F.col("event_id").desc()]
+    hour_desc = -F.floor(epoch_seconds("ts") / F.lit(3600))
+    top = first_n_exact(feed.select("event_id", "ts", "latency_ms"), n, order, hour_desc)
+    return top.withColumn("recency", F.row_number().over(Window.orderBy(*order)))
 
 
 def latency_summary(lat: DataFrame, col: str = "latency_ms") -> DataFrame:

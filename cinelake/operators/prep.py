@@ -65,10 +65,14 @@ def fraction_sample(ratings: DataFrame, fraction: float, seed: int = 42) -> Data
 
 
 def baseline_sample(ratings: DataFrame, n: int = 100_000, seed: int = 42) -> DataFrame:
-    """At most n ratings without replacement, in hash-key order (top-n by a
-    pseudo-random key: TakeOrderedAndProject, n rows per partition)."""
-    return (ratings.withColumn("_h", hash_key("userId", "movieId", seed=seed))
-            .orderBy("_h", "userId", "movieId").limit(n).drop("_h"))
+    """At most n ratings without replacement: the n smallest pseudo-random
+    hash keys (ties by ids), selected exactly through a key histogram so that
+    no single task merges n rows from every partition."""
+    from cinelake.functions.ranking import first_n_exact
+    h = ratings.withColumn("_h", hash_key("userId", "movieId", seed=seed))
+    # bucket = top 20 bits of the 32-bit key: at most 2^20 histogram rows
+    out = first_n_exact(h, n, [F.col("_h"), F.col("userId"), F.col("movieId")], F.floor(F.col("_h") / F.lit(4096)))
+    return out.drop("_h")
 
 
 def normalise_tags(tags: DataFrame) -> DataFrame:

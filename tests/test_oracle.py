@@ -12,7 +12,8 @@ REG = load_all()
 SLOW = {"benchmark_models", "component_ablation", "gbt_preference", "feature_importance", "pipeline_recommend",
         "svd_explained_variance", "svd_predict", "svd_recommend", "latent_item_neighbours", "logistic_preference",
         "hybrid_recommend", "benchmark_report", "personalization_lift", "recommend_from_profile",
-        "tfidf_documents"}
+        "tfidf_documents", "fit_pipeline", "svd_fit", "write_report", "full_outer_candidates", "union_candidates",
+        "hybrid_fuse", "genre_penalty_prefix", "diversity_rerank", "corating_self_join"}
 KEYS = [k for k in REG if not (os.environ.get("CINELAKE_FAST") and k in SLOW)]
 
 
