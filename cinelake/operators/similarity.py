@@ -46,40 +46,34 @@ def l2_normalize(vecs: DataFrame) -> DataFrame:
     return v.join(n, "id").select("id", "term", (F.col("w") / F.col("n")).alias("w"))
 
 
-def _dot_block(ns, ni, d, s_row, sc, sw, i_row, ic, iw) -> np.ndarray:
-    """All seed x item dot products of one block pair as an (ns, ni) array.
-
-    Two exact strategies, chosen by estimated cost: a sparse expansion of the
-    (seed entry, item entry) pairs that share a term (cheap when terms are
-    rare, e.g. users as terms of item vectors), or dense BLAS products over
-    chunks of terms (cheap when a few terms are shared by everyone, e.g. tags
-    or genres).  Memory is bounded in both: pair expansion and term chunks are
-    capped per step.
-    """
-    sim = np.zeros(ns * ni)
+def _sparse_add(sim, ni, s_row, sc, sw, i_row, ic, iw, d) -> None:
+    """Add the products of every (seed entry, item entry) pair sharing a term
+    into the flat ``sim``; the pair expansion is chunked to MAX_PAIRS."""
     s_ord, i_ord = np.argsort(sc, kind="stable"), np.argsort(ic, kind="stable")
-    sc_s, ic_s = sc[s_ord], ic[i_ord]
+    sc_s = sc[s_ord]
     cb = np.bincount(ic, minlength=d)
     reps_all = cb[sc_s]
-    n_pairs = int(reps_all.sum())
-    if n_pairs * SPARSE_COST < ns * ni * d:
-        i_start = np.concatenate([[0], np.cumsum(cb)[:-1]])
-        cum = np.cumsum(reps_all)
-        start = 0
-        while start < len(sc_s):
-            base = cum[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(cum, base + MAX_PAIRS, side="right")))
-            reps = reps_all[start:end]
-            p = int(reps.sum())
-            if p:
-                e = np.repeat(np.arange(start, end), reps)
-                within = np.arange(p) - np.repeat(np.cumsum(reps) - reps, reps)
-                j = i_start[sc_s[e]] + within
-                keys = s_row[s_ord[e]] * ni + i_row[i_ord[j]]
-                sim += np.bincount(keys, weights=sw[s_ord[e]] * iw[i_ord[j]], minlength=ns * ni)
-            start = end
-        return sim.reshape(ns, ni)
-    sim = sim.reshape(ns, ni)
+    i_start = np.concatenate([[0], np.cumsum(cb)[:-1]])
+    cum = np.cumsum(reps_all)
+    start = 0
+    while start < len(sc_s):
+        base = cum[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(cum, base + MAX_PAIRS, side="right")))
+        reps = reps_all[start:end]
+        p = int(reps.sum())
+        if p:
+            e = np.repeat(np.arange(start, end), reps)
+            within = np.arange(p) - np.repeat(np.cumsum(reps) - reps, reps)
+            j = i_start[sc_s[e]] + within
+            keys = s_row[s_ord[e]] * ni + i_row[i_ord[j]]
+            sim += np.bincount(keys, weights=sw[s_ord[e]] * iw[i_ord[j]], minlength=len(sim))
+        start = end
+
+
+def _dense_add(sim, ns, ni, s_row, sc, sw, i_row, ic, iw, d) -> None:
+    """Add dense BLAS products over chunks of terms into ``sim`` (ns, ni)."""
+    s_ord, i_ord = np.argsort(sc, kind="stable"), np.argsort(ic, kind="stable")
+    sc_s, ic_s = sc[s_ord], ic[i_ord]
     step = max(1, DENSE_CELLS // max(1, ns + ni))
     for lo in range(0, d, step):
         hi = min(d, lo + step)
@@ -93,6 +87,31 @@ def _dot_block(ns, ni, d, s_row, sc, sw, i_row, ic, iw) -> np.ndarray:
         I = np.bincount(i_row[i_ord[b0:b1]] * w + (ic_s[b0:b1] - lo), weights=iw[i_ord[b0:b1]],
                         minlength=ni * w).reshape(ni, w)
         sim += S @ I.T
+
+
+def _dot_block(ns, ni, d, s_row, sc, sw, i_row, ic, iw) -> np.ndarray:
+    """All seed x item dot products of one block pair as an (ns, ni) array.
+
+    Exact, with the strategy chosen per term by cost: a term held by a_t seed
+    entries and b_t item entries costs a_t * b_t expanded pairs sparsely, or
+    one ns x ni multiply-add pass densely.  Rare terms (e.g. users as terms of
+    item vectors, title words) go through the sparse pair expansion, terms
+    shared by most of the block (genres, frequent tags) through dense BLAS
+    over term chunks.  Memory is bounded in both: pair expansion and term
+    chunks are capped per step.
+    """
+    ca, cb = np.bincount(sc, minlength=d), np.bincount(ic, minlength=d)
+    sparse = ca.astype(np.float64) * cb * SPARSE_COST < float(ns) * ni
+    sim = np.zeros(ns * ni)
+    ms, mi = sparse[sc], sparse[ic]
+    if ms.any() and mi.any():
+        _sparse_add(sim, ni, s_row[ms], sc[ms], sw[ms], i_row[mi], ic[mi], iw[mi], d)
+    sim = sim.reshape(ns, ni)
+    hs, hi = ~ms, ~mi
+    if hs.any() and hi.any():
+        dense_code = np.cumsum(~sparse) - 1                 # compact codes of the dense terms
+        _dense_add(sim, ns, ni, s_row[hs], dense_code[sc[hs]], sw[hs], i_row[hi], dense_code[ic[hi]], iw[hi],
+                   int((~sparse).sum()))
     return sim
 
 
@@ -146,9 +165,32 @@ def _kernel(k: int, exclude_self: bool, min_sim: float, strict: bool):
     return run
 
 
-def _n_blocks(df: DataFrame, col: str, block_size: int) -> int:
-    n = df.select(col).distinct().count()
-    return max(1, math.ceil(n / block_size))
+def _shape(df: DataFrame) -> tuple[int, int]:
+    """(distinct ids, rows) of a long-form vector frame, in one job."""
+    r = df.agg(F.countDistinct("id").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    return int(r["n"] or 0), int(r["rows"] or 0)
+
+
+def _block_counts(seeds: DataFrame, items: DataFrame, same: bool, block_size: int) -> tuple[int, int]:
+    """Number of seed and item blocks.
+
+    A block pair holds at most ``block_size**2`` (seed, item) cells.  Every
+    seed row is replicated to each item block and every item row to each seed
+    block, so the shuffled rows are ``S * Ni / y + I * Ns / x`` for seed block
+    size x and item block size y with ``x * y = cells``; the minimum is at
+    ``y = sqrt(S * Ni * cells / (I * Ns))``.  Equal sides (self similarity)
+    give square blocks; a side with many entries per id (user profiles) gets
+    smaller blocks so its rows are copied fewer times.
+    """
+    cells = float(block_size) * block_size
+    ns, rs = _shape(seeds)
+    ni, ri = (ns, rs) if same else _shape(items)
+    if same or not (ns and ni and rs and ri):
+        return max(1, math.ceil(ns / block_size)), max(1, math.ceil(ni / block_size))
+    y = min(max(math.sqrt(rs * ni * cells / (ri * ns)), 1.0), float(ni), cells)
+    x = min(max(cells / y, 1.0), float(ns))
+    y = min(float(ni), cells / x)
+    return max(1, math.ceil(ns / x)), max(1, math.ceil(ni / y))
 
 
 def blocked_topk(seeds: DataFrame, items: DataFrame, k: int, *, exclude: DataFrame | None = None,
@@ -168,7 +210,7 @@ def blocked_topk(seeds: DataFrame, items: DataFrame, k: int, *, exclude: DataFra
     # write them once instead of recomputing their lineage for every consumer
     seeds = cut_lineage(seeds)
     items = seeds if same else cut_lineage(items)
-    bs, bi = _n_blocks(seeds, "id", block_size), _n_blocks(items, "id", block_size)
+    bs, bi = _block_counts(seeds, items, same, block_size)
     blk = lambda c, n: F.pmod(F.xxhash64(F.col(c)), F.lit(n)).cast("int")
     # fresh aliases on both sides: seeds and items may be the same frame
     s = seeds.select(F.col("id").cast("long").alias("sid"), F.col("term").alias("term"),
