@@ -36,9 +36,11 @@ def split_user(ratings: DataFrame, test_ratio: float = 0.2) -> tuple[DataFrame,
 
 def temporal_split_global(ratings: DataFrame, test_ratio: float = 0.2) -> DataFrame:
     """cutoff = linear quantile (1-ratio) of the timestamp; ``<=`` train.
-    The cutoff is a one-row aggregate broadcast back."""
+    The quantile comes from a per-second histogram (exact, no task holds
+    every distinct timestamp); the cutoff is a one-row frame broadcast back."""
+    from cinelake.functions.quantiles import exact_percentiles
     e = epoch_seconds("ts")
-    cut = ratings.agg(F.percentile(e, 1.0 - test_ratio).alias("cutoff"))
+    cut = exact_percentiles(ratings.select(e.alias("_e")), "_e", {"cutoff": 1.0 - test_ratio})
     return ratings.crossJoin(F.broadcast(cut)).withColumn("is_test", e > F.col("cutoff")).drop("cutoff")
 
 

@@ -123,10 +123,24 @@ def latency_by_window(feed: DataFrame, hours: int = 6) -> DataFrame:
     from cinelake.operators.prep import epoch_seconds
     size = hours * 3600
     w = feed.withColumn("window_start", F.floor(epoch_seconds("ts") / F.lit(size)) * F.lit(size))
-    return w.groupBy("window_start").agg(
-        F.percentile("latency_ms", 0.5).alias("p50"), F.percentile("latency_ms", 0.95).alias("p95"),
-        F.percentile("latency_ms", 0.99).alias("p99"), F.avg("latency_ms").alias("mean"),
-        F.count(F.lit(1)).alias("n"))
+    hist = w.groupBy("window_start", "latency_ms").agg(F.count(F.lit(1)).alias("n"))
+    stats = w.groupBy("window_start").agg(F.avg("latency_ms").alias("mean"), F.count(F.lit(1)).alias("n"))
+    return latency_from_histogram(hist, stats)
+
+
+LATENCY_PS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+
+def latency_from_histogram(hist: DataFrame, stats: DataFrame) -> DataFrame:
+    """p50 / p95 / p99 per window from ``(window_start, latency_ms, n)``
+    counts, joined to ``stats`` = (window_start, mean, n) from a plain average.
+    Exact percentiles through the histogram: a busy window never has its
+    distinct latencies gathered in one task."""
+    from cinelake.functions.quantiles import percentiles_from_counts
+    vals = hist.where(F.col("latency_ms").isNotNull())
+    pct = percentiles_from_counts(vals, "latency_ms", LATENCY_PS, ["window_start"])
+    st = stats.select("window_start", "mean", "n")
+    return st.join(pct, "window_start", "left").select("window_start", "p50", "p95", "p99", "mean", "n")
 
 
 def popularity_by_day(ratings: DataFrame, m: float = 50.0, k: int = 10) -> DataFrame:
