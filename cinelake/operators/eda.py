@@ -182,8 +182,15 @@ def standardize(df: DataFrame, cols: list[str], key: str, robust: bool = False)
     """StandardScaler (population std, ddof 0) or RobustScaler (median, IQR)
     on dense numeric columns: one scalar aggregate, broadcast as one row."""
     if robust:
-        st = df.agg(*[F.percentile(c, 0.5).alias(f"{c}__c") for c in cols],
-                    *[(F.percentile(c, 0.75) - F.percentile(c, 0.25)).alias(f"{c}__s") for c in cols])
+        # exact quartiles from value histograms (a column of per-user values
+        # has as many distinct values as users: no single-task buffer)
+        from cinelake.functions.quantiles import exact_percentiles
+        st = None
+        for c in cols:
+            q = exact_percentiles(df.select(F.col(c).cast("double").alias("_x")), "_x",
+                                  {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+            q = q.select(F.col("q50").alias(f"{c}__c"), (F.col("q75") - F.col("q25")).alias(f"{c}__s"))
+            st = q if st is None else st.crossJoin(q)      # one-row frames
     else:
         st = df.agg(*[F.avg(c).alias(f"{c}__c") for c in cols], *[F.stddev_pop(c).alias(f"{c}__s") for c in cols])
     j = df.crossJoin(F.broadcast(st))
@@ -211,12 +218,19 @@ def profile_table(df: DataFrame, table: str) -> DataFrame:
         if c in num:
             d = x.cast("double")
             aggs += [F.min(d).alias(f"{c}__min"), F.max(d).alias(f"{c}__max"), F.avg(d).alias(f"{c}__mean"),
-                     F.stddev_samp(d).alias(f"{c}__std"), F.percentile(d, 0.25).alias(f"{c}__p25"),
-                     F.percentile(d, 0.5).alias(f"{c}__p50"), F.percentile(d, 0.75).alias(f"{c}__p75")]
+                     F.stddev_samp(d).alias(f"{c}__std")]
         else:
             for s in ("min", "max", "mean", "std", "p25", "p50", "p75"):
                 aggs.append(F.lit(None).cast("double").alias(f"{c}__{s}"))
-    a = df.agg(*aggs)
+    a = df.agg(*aggs).withColumn("_k", F.lit(1))
+    # quartiles of numeric columns: exact, from value histograms (ids have as
+    # many distinct values as entities); left-joined so an empty column gives nulls
+    from cinelake.functions.quantiles import exact_percentiles
+    for c in df.columns:
+        if c in num:
+            q = exact_percentiles(df.select(F.col(c).cast("double").alias("_x")), "_x",
+                                  {f"{c}__p25": 0.25, f"{c}__p50": 0.5, f"{c}__p75": 0.75})
+            a = a.join(q.withColumn("_k", F.lit(1)), "_k", "left")
     stats = ["count", "nulls", "distinct", "min", "max", "mean", "std", "p25", "p50", "p75"]
     rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in stats]) for c in df.columns]
     return a.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(table).alias("table_name"), "r.*")
