@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from cinelake.functions.ranking import global_running_sums
 
+MAX_BROADCAST_TARGETS = 1_000_000     # target rows (groups x 2 x len(ps)) broadcast at most
+
 
 def value_counts(df: DataFrame, value: str, group: list[str] | None = None) -> DataFrame:
     """(group..., value, n) histogram of the non-null values."""
@@ -55,7 +57,13 @@ def percentiles_from_counts(counts: DataFrame, value: str, ps: dict[str, float],
     t = targets[0]
     for x in targets[1:]:
         t = t.unionByName(x)
-    # the row whose cumulative range [cum - n, cum) holds absolute rank _a
+    # the row whose cumulative range [cum - n, cum) holds absolute rank _a.
+    # The targets are 2 * len(ps) rows per group: broadcast them when the
+    # group count is checked to be small (always for a global percentile,
+    # whose constant key would otherwise send the whole histogram to one
+    # task); beyond that a shuffle join, where AQE splits a skewed group.
+    if tot.count() * 2 * len(ps) <= MAX_BROADCAST_TARGETS:
+        t = F.broadcast(t)
     hit = (cum.join(t, g).where((F.col("_a") >= F.col("cum__n") - F.col("_n")) & (F.col("_a") < F.col("cum__n")))
            .select(*g, "_p", "_side", "_frac", "_v"))
     lo = hit.where(F.col("_side") == "lo").select(*g, "_p", "_frac", F.col("_v").alias("_lo"))
