@@ -133,3 +133,35 @@ def first_n_exact(df: DataFrame, n: int, order: list[Column], bucket: Column) ->
     full = df.where(bucket < F.lit(b_star))
     edge = df.where(bucket == F.lit(b_star)).orderBy(*order).limit(n - before)
     return full.unionByName(edge)
+
+
+def lag_within(df: DataFrame, key: str, order: list[Column], value: str, out: str = "prev",
+               partitions: int | None = None) -> DataFrame:
+    """``lag(value) OVER (PARTITION BY key ORDER BY order)`` without sending a
+    whole key group to one task.
+
+    Rows are range-partitioned on (key, order), so a key holding a third of
+    the rows spans many ranges.  Inside a range the lag is a local window; the
+    first row of a range takes the value of the last row of the nearest earlier
+    non-empty range when that row has the same key (a table of one row per
+    range, broadcast).  Range bounds come from sampling, so the local pass is
+    written once with a reliable ``checkpoint`` and both reads see the same
+    ranges.
+    """
+    from cinelake.session import ensure_checkpoint_dir
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
+    s = df.repartitionByRange(n, F.col(key), *order).withColumn("_pid", F.spark_partition_id())
+    in_range = Window.partitionBy("_pid").orderBy(F.col(key), *order)
+    local = (s.withColumn(out, F.lag(value).over(Window.partitionBy("_pid", key).orderBy(*order)))
+             .withColumn("_rn", F.row_number().over(in_range))
+             .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy("_pid")))
+             .checkpoint(eager=True))
+    last = local.where(F.col("_rn") == F.col("_cnt")).select("_pid", F.col(key).alias("_lk"),
+                                                              F.col(value).alias("_lv"))
+    prev = Window.orderBy("_pid")                              # one row per range
+    carry = last.select("_pid", F.lag("_lk").over(prev).alias("_pk"), F.lag("_lv").over(prev).alias("_pv"))
+    j = local.join(F.broadcast(carry), "_pid", "left")
+    fix = (F.col("_rn") == 1) & (F.col("_pk") == F.col(key))
+    return j.withColumn(out, F.when(fix, F.col("_pv")).otherwise(F.col(out))).drop(
+        "_pid", "_rn", "_cnt", "_pk", "_pv")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cinelake.functions.ranking import top_k_per_group
 from cinelake.functions.text import genre_vocab_array
 from cinelake.operators import textfeat as X
-from cinelake.operators.prep import content_metadata
+from cinelake.operators.prep import enrich_movies, frequent_tags
 from cinelake.operators.similarity import blocked_topk, l2_normalize, pad_with_zero
 
 SIM_DP = 12   # similarities are rounded before ranking so near-equal floats tie
@@ -58,8 +58,11 @@ def similar_by_genre(movies: DataFrame, k: int = 10) -> DataFrame:
 
 
 def tag_vectors(movies: DataFrame, tags: DataFrame, min_df: int = 2, max_features: int = 50000) -> DataFrame:
-    meta = content_metadata(movies, tags)
-    return X.tfidf(meta, "movieId", "combined_tags", min_df=min_df, max_features=max_features)
+    """TF-IDF of every movie's tag document (frequent normalised tags); the
+    term counts come from the tag rows, every catalog movie is a document."""
+    tf = X.tag_term_counts(frequent_tags(tags, 2))
+    n_docs = movies.agg(F.count(F.lit(1)).alias("n_docs"))
+    return X.tfidf_from_counts(tf, n_docs, min_df=min_df, max_features=max_features)
 
 
 def similar_by_tags(movies: DataFrame, tags: DataFrame, k: int = 10) -> DataFrame:
@@ -70,7 +73,7 @@ def similar_by_tags(movies: DataFrame, tags: DataFrame, k: int = 10) -> DataFram
 
 
 def content_vectors(movies: DataFrame, tags: DataFrame) -> DataFrame:
-    return X.feature_stack(content_metadata(movies, tags))
+    return X.feature_stack(enrich_movies(movies), tag_counts=X.tag_term_counts(frequent_tags(tags, 2)))
 
 
 def similar_by_content(movies: DataFrame, tags: DataFrame, k: int = 10) -> DataFrame:

@@ -65,10 +65,17 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, min_df: int = 1, max_feat
           n_max: int = 2, stop_words: bool = True, sublinear: bool = True) -> DataFrame:
     """L2-normalised TF-IDF weights ``(id, term, w)``."""
     tf = term_counts(docs, id_col, text_col, n_max, stop_words)
+    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    return tfidf_from_counts(tf, n_docs, min_df, max_features, sublinear)
+
+
+def tfidf_from_counts(tf: DataFrame, n_docs: DataFrame, min_df: int = 1, max_features: int | None = None,
+                      sublinear: bool = True) -> DataFrame:
+    """TF-IDF from ``(id, term, tf)`` counts and a one-row ``(n_docs)`` frame
+    (documents without terms count in n_docs)."""
     if max_features is not None:
-        # tf feeds both the vocabulary ranking and the weights: tokenise once
+        # tf feeds both the vocabulary ranking and the weights: compute it once
         tf = cut_lineage(tf)
-    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     vocab = vocabulary(tf, min_df, max_features)
     idf = vocab.crossJoin(F.broadcast(n_docs)).select(
         "term", (F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
@@ -78,6 +85,31 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, min_df: int = 1, max_feat
     return w.select("id", "term", (F.col("w") / norm).alias("w"))
 
 
+def tag_term_counts(tags: DataFrame, n_max: int = 2) -> DataFrame:
+    """``(id=movieId, term, tf)`` of each movie's tag document -- the blank
+    join of its normalised tags in (userId, ts, tag) order -- computed from the
+    tag rows, without building the document.
+
+    The blank separator ends every token, so the document's tokens are the
+    tags' tokens in order: unigrams and in-tag bigrams come from each row
+    alone, and the only bigram spanning two rows joins the first token of a
+    tag to the last token of the previous tag that has any token.  That
+    previous tag is a distributed lag (``lag_within``), so a movie carrying a
+    large share of all tags is spread over many tasks instead of being
+    collected into one row.  ``tags``: normalised rows (movieId, userId, ts,
+    tag_clean)."""
+    from cinelake.functions.ranking import lag_within
+    t = tags.select("movieId", "userId", "ts", "tag_clean", token_array(F.col("tag_clean")).alias("toks"))
+    t = t.where(F.size("toks") > 0).withColumn("_last", F.element_at("toks", -1))
+    terms = t.select(F.col("movieId").alias("id"), F.explode(ngram_array(F.col("toks"), n_max)).alias("term"))
+    if n_max >= 2:
+        t = lag_within(t, "movieId", [F.col("userId"), F.col("ts"), F.col("tag_clean")], "_last", out="_prev")
+        cross = t.where(F.col("_prev").isNotNull()).select(
+            F.col("movieId").alias("id"), F.concat(F.col("_prev"), F.lit(" "), F.element_at("toks", 1)).alias("term"))
+        terms = terms.unionByName(cross)
+    return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
 def genre_multihot(movies: DataFrame) -> DataFrame:
     """Binary genre vector, vocabulary = raw pipe parts (case kept, null
     genres count as the sentinel)."""
@@ -88,13 +120,18 @@ def genre_multihot(movies: DataFrame) -> DataFrame:
 
 def feature_stack(meta: DataFrame, genre_weight: float = 1.0, tag_weight: float = 1.5,
                   title_weight: float = 0.8, max_tag_features: int = 40000,
-                  max_title_features: int = 15000) -> DataFrame:
+                  max_title_features: int = 15000, tag_counts: DataFrame | None = None) -> DataFrame:
     """Weighted stack genre || tag TF-IDF || title TF-IDF as one long table
-    with a space prefix on the term.  ``meta`` = content metadata (S7)."""
+    with a space prefix on the term.  ``meta``: one row per movie with genres
+    and clean_title, plus combined_tags unless the tag documents' term counts
+    are given as ``tag_counts`` (``tag_term_counts``)."""
     g = genre_multihot(meta).select("id", F.concat(F.lit("g:"), "term").alias("term"),
                                     (F.col("w") * genre_weight).alias("w"))
-    t = tfidf(meta, "movieId", "combined_tags", 1, max_tag_features).select(
-        "id", F.concat(F.lit("t:"), "term").alias("term"), (F.col("w") * tag_weight).alias("w"))
+    if tag_counts is None:
+        tt = tfidf(meta, "movieId", "combined_tags", 1, max_tag_features)
+    else:
+        tt = tfidf_from_counts(tag_counts, meta.agg(F.count(F.lit(1)).alias("n_docs")), 1, max_tag_features)
+    t = tt.select("id", F.concat(F.lit("t:"), "term").alias("term"), (F.col("w") * tag_weight).alias("w"))
     n = tfidf(meta, "movieId", "clean_title", 1, max_title_features).select(
         "id", F.concat(F.lit("n:"), "term").alias("term"), (F.col("w") * title_weight).alias("w"))
     return g.unionByName(t).unionByName(n)

@@ -52,9 +52,10 @@ TAG_TEXT = "SELECT movieId AS id, combined_tags AS text FROM tagg"
 SELECT id AS movieId, term, tf FROM tagn_tf""")
 def q_ngrams(spark, sf):
     """1-2-gram counts of each movie's combined tags; bigrams are formed after
-    stop-word removal and run across tag borders."""
-    docs = R.load_tags(S.tags(spark, sf), 2)
-    return X.term_counts(docs, "movieId", "combined_tags").withColumnRenamed("id", "movieId")
+    stop-word removal and run across tag borders.  Counted from the tag rows
+    (a distributed lag supplies the cross-border bigram), never from one
+    collected document per movie."""
+    return X.tag_term_counts(R.frequent_tags(S.tags(spark, sf), 2)).withColumnRenamed("id", "movieId")
 
 
 @query("tfidf", code="X2", floats=("w",), sql=tfidf_sql("title", TITLE_DOCS, 1, 15000) + """

@@ -31,3 +31,17 @@ def test_descending_bucket(skewed):
     got = sorted(tuple(r) for r in first_n_exact(skewed, 1234, order, bucket).collect())
     want = sorted(tuple(r) for r in skewed.orderBy(*order).limit(1234).collect())
     assert got == want
+
+
+def test_lag_within_matches_window(spark):
+    """The range-partitioned lag equals the plain window lag, also for a key
+    that spans many ranges."""
+    from pyspark.sql import Window
+
+    from cinelake.functions.ranking import lag_within
+    rows = [(1, i, f"a{i}") for i in range(3000)] + [(k, i, f"b{k}_{i}") for k in range(2, 40) for i in range(7)]
+    df = spark.createDataFrame(rows, "k long, o long, v string")
+    got = {(r["k"], r["o"]): r["prev"] for r in lag_within(df, "k", [F.col("o")], "v", partitions=16).collect()}
+    w = Window.partitionBy("k").orderBy("o")
+    want = {(r["k"], r["o"]): r["prev"] for r in df.withColumn("prev", F.lag("v").over(w)).collect()}
+    assert got == want
