@@ -165,3 +165,24 @@ def lag_within(df: DataFrame, key: str, order: list[Column], value: str, out: st
     fix = (F.col("_rn") == 1) & (F.col("_pk") == F.col(key))
     return j.withColumn(out, F.when(fix, F.col("_pv")).otherwise(F.col(out))).drop(
         "_pid", "_rn", "_cnt", "_pk", "_pv")
+
+
+def rank_within(df: DataFrame, key: str, order: list[Column], out: str = "rn",
+                partitions: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY key ORDER BY order)`` without sending a
+    whole key group to one task: range-partition on (key, order), number rows
+    per (range, key), and add the row count of the same key in earlier ranges
+    (a table of one row per (range, key); a key spans at most all ranges, so
+    its offset window is bounded by the range count).  The local pass is
+    checkpointed: range bounds come from sampling and are read twice."""
+    from cinelake.session import ensure_checkpoint_dir
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
+    s = df.repartitionByRange(n, F.col(key), *order).withColumn("_pid", F.spark_partition_id())
+    local = s.withColumn("_lr", F.row_number().over(Window.partitionBy("_pid", key).orderBy(*order))) \
+        .checkpoint(eager=True)
+    cnt = local.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = cnt.select("_pid", key, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    return (local.join(off, ["_pid", key]).withColumn(out, F.col("_off") + F.col("_lr"))
+            .drop("_pid", "_lr", "_off"))

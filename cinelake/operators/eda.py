@@ -163,19 +163,24 @@ def movie_age(ratings: DataFrame, movies: DataFrame) -> DataFrame:
 
 
 def user_tenure(ratings: DataFrame) -> DataFrame:
-    """Seconds since the user's first rating."""
+    """Seconds since the user's first rating (first rating per user is a
+    partial aggregate joined back, not a per-user window)."""
     from cinelake.operators.prep import epoch_seconds
     e = epoch_seconds("ts")
-    return ratings.select("userId", "movieId", (e - F.min(e).over(Window.partitionBy("userId"))).alias("tenure_s"))
+    first = ratings.groupBy("userId").agg(F.min(e).alias("_first"))
+    return ratings.join(first, "userId").select("userId", "movieId", (e - F.col("_first")).alias("tenure_s"))
 
 
 def rating_gap(ratings: DataFrame) -> DataFrame:
-    """Mean gap in days between a user's consecutive ratings (lag window)."""
+    """Mean gap in days between a user's consecutive ratings.  The gaps of
+    the time-ordered history telescope: their sum is last - first, so the mean
+    is (max - min) / (n - 1), a partial aggregate with no per-user sort (null
+    for a single rating, like the mean of no gaps)."""
     from cinelake.operators.prep import epoch_seconds
-    w = Window.partitionBy("userId").orderBy("ts", "movieId")
     e = epoch_seconds("ts")
-    g = ratings.select("userId", (e - F.lag(e).over(w)).alias("gap"))
-    return g.groupBy("userId").agg((F.avg("gap") / 86400.0).alias("mean_gap_days"))
+    g = ratings.groupBy("userId").agg(F.min(e).alias("lo"), F.max(e).alias("hi"), F.count(F.lit(1)).alias("n"))
+    gap = (F.col("hi") - F.col("lo")).cast("double") / (F.col("n") - F.lit(1)).cast("double")
+    return g.select("userId", (F.when(F.col("n") > 1, gap) / 86400.0).alias("mean_gap_days"))
 
 
 def standardize(df: DataFrame, cols: list[str], key: str, robust: bool = False) -> DataFrame:

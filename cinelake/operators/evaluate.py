@@ -20,13 +20,15 @@ DEFAULT_KS = (5, 10, 20)
 def temporal_split_user(ratings: DataFrame, test_ratio: float = 0.2, min_history: int = 5) -> DataFrame:
     """Adds ``is_test``.  Per user the latest ``max(1, int(n*ratio))`` rows
     (by ts, then movieId) are test; users with fewer than ``min_history``
-    ratings stay wholly in train.  One shuffle on userId; the count and the
-    row number share the same window partitioning."""
-    w_all = Window.partitionBy("userId")
-    w = Window.partitionBy("userId").orderBy(F.col("ts").desc(), F.col("movieId").desc())
-    n = F.count(F.lit(1)).over(w_all)
-    n_test = F.greatest(F.lit(1), F.floor(n * F.lit(test_ratio)))
-    return ratings.withColumn("is_test", (n >= min_history) & (F.row_number().over(w) <= n_test))
+    ratings stay wholly in train.  The per-user count is an aggregate joined
+    back; the recency rank is ``rank_within`` (range-partitioned), so a user
+    holding a large share of all ratings is not sorted in one task."""
+    from cinelake.functions.ranking import rank_within
+    n = ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("_n"))
+    r = rank_within(ratings, "userId", [F.col("ts").desc(), F.col("movieId").desc()], out="_rn")
+    n_test = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(test_ratio)))
+    return (r.join(n, "userId").withColumn("is_test", (F.col("_n") >= min_history) & (F.col("_rn") <= n_test))
+            .drop("_n", "_rn"))
 
 
 def split_user(ratings: DataFrame, test_ratio: float = 0.2) -> tuple[DataFrame, DataFrame]:

@@ -163,6 +163,9 @@ def decorate(results: DataFrame, movies: DataFrame) -> DataFrame:
 
 
 def user_sequence(ratings: DataFrame) -> DataFrame:
-    """O3: ratings in (userId, ts) order with their position in the user's history."""
-    w = Window.partitionBy("userId").orderBy("ts", "movieId")
-    return ratings.select("userId", "movieId", "rating", F.row_number().over(w).alias("seq"))
+    """O3: ratings in (userId, ts) order with their position in the user's
+    history (a range-partitioned rank: a heavy user spans many tasks)."""
+    from cinelake.functions.ranking import rank_within
+    r = rank_within(ratings.select("userId", "movieId", "rating", "ts"), "userId",
+                    [F.col("ts").asc(), F.col("movieId").asc()], out="seq")
+    return r.select("userId", "movieId", "rating", "seq")

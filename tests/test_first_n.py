@@ -45,3 +45,18 @@ def test_lag_within_matches_window(spark):
     w = Window.partitionBy("k").orderBy("o")
     want = {(r["k"], r["o"]): r["prev"] for r in df.withColumn("prev", F.lag("v").over(w)).collect()}
     assert got == want
+
+
+def test_rank_within_matches_row_number(spark):
+    """The range-partitioned rank equals row_number per key, with one key
+    spanning many ranges and a descending order."""
+    from pyspark.sql import Window
+
+    from cinelake.functions.ranking import rank_within
+    rows = [(1, i % 97, i) for i in range(3000)] + [(k, i, i) for k in range(2, 50) for i in range(5)]
+    df = spark.createDataFrame(rows, "k long, o long, t long")
+    order = [F.col("o").desc(), F.col("t").asc()]
+    got = {(r["k"], r["t"]): r["rn"] for r in rank_within(df, "k", order, partitions=16).collect()}
+    w = Window.partitionBy("k").orderBy(*order)
+    want = {(r["k"], r["t"]): r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    assert got == want
