@@ -69,9 +69,10 @@ def first_k_unseen(seen_ranks: DataFrame, users: DataFrame, k: int, rank_col: st
     user x catalog product is formed.  Per-user work is bounded by the user's
     de-duplicated history, which is bounded by the catalog size.
     """
-    w = Window.partitionBy("userId").orderBy(rank_col)
-    s = (seen_ranks.withColumn("j", F.row_number().over(w))
-         .withColumn("prev", F.coalesce(F.lag(rank_col).over(w), F.lit(0))))
+    # j = position of the seen rank in the user's history, prev = the seen rank
+    # before it: range-partitioned, so a long history is not one task's sort
+    s = lag_within(seen_ranks.select("userId", rank_col), "userId", [F.col(rank_col).asc()], rank_col,
+                   out="prev", rank_out="j").withColumn("prev", F.coalesce(F.col("prev"), F.lit(0)))
     # gap before each seen rank: ranks prev+1 .. r-1, unseen before it = prev - (j-1)
     gaps = s.select("userId", (F.col("prev") + 1).alias("g_start"), (F.col(rank_col) - 1).alias("g_end"),
                     (F.col("prev") - (F.col("j") - 1)).alias("before"))
@@ -136,24 +137,28 @@ def first_n_exact(df: DataFrame, n: int, order: list[Column], bucket: Column) ->
 
 
 def lag_within(df: DataFrame, key: str, order: list[Column], value: str, out: str = "prev",
-               partitions: int | None = None) -> DataFrame:
-    """``lag(value) OVER (PARTITION BY key ORDER BY order)`` without sending a
-    whole key group to one task.
+               partitions: int | None = None, rank_out: str | None = None) -> DataFrame:
+    """``lag(value) OVER (PARTITION BY key ORDER BY order)`` (and, with
+    ``rank_out``, the row number in the same order) without sending a whole
+    key group to one task.
 
     Rows are range-partitioned on (key, order), so a key holding a third of
     the rows spans many ranges.  Inside a range the lag is a local window; the
     first row of a range takes the value of the last row of the nearest earlier
     non-empty range when that row has the same key (a table of one row per
-    range, broadcast).  Range bounds come from sampling, so the local pass is
-    written once with a reliable ``checkpoint`` and both reads see the same
-    ranges.
+    range, broadcast).  The rank adds the key's row count in earlier ranges
+    (one row per (range, key)).  Range bounds come from sampling, so the local
+    pass is written once with a reliable ``checkpoint`` and every read sees
+    the same ranges.
     """
     from cinelake.session import ensure_checkpoint_dir
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ensure_checkpoint_dir(df.sparkSession)
     s = df.repartitionByRange(n, F.col(key), *order).withColumn("_pid", F.spark_partition_id())
     in_range = Window.partitionBy("_pid").orderBy(F.col(key), *order)
-    local = (s.withColumn(out, F.lag(value).over(Window.partitionBy("_pid", key).orderBy(*order)))
+    in_key = Window.partitionBy("_pid", key).orderBy(*order)
+    local = (s.withColumn(out, F.lag(value).over(in_key))
+             .withColumn("_lr", F.row_number().over(in_key))
              .withColumn("_rn", F.row_number().over(in_range))
              .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy("_pid")))
              .checkpoint(eager=True))
@@ -163,8 +168,13 @@ def lag_within(df: DataFrame, key: str, order: list[Column], value: str, out: st
     carry = last.select("_pid", F.lag("_lk").over(prev).alias("_pk"), F.lag("_lv").over(prev).alias("_pv"))
     j = local.join(F.broadcast(carry), "_pid", "left")
     fix = (F.col("_rn") == 1) & (F.col("_pk") == F.col(key))
-    return j.withColumn(out, F.when(fix, F.col("_pv")).otherwise(F.col(out))).drop(
-        "_pid", "_rn", "_cnt", "_pk", "_pv")
+    j = j.withColumn(out, F.when(fix, F.col("_pv")).otherwise(F.col(out)))
+    if rank_out is not None:
+        cnt = local.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_c"))
+        before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        off = cnt.select("_pid", key, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+        j = j.join(off, ["_pid", key]).withColumn(rank_out, F.col("_off") + F.col("_lr")).drop("_off")
+    return j.drop("_pid", "_rn", "_lr", "_cnt", "_pk", "_pv")
 
 
 def rank_within(df: DataFrame, key: str, order: list[Column], out: str = "rn",

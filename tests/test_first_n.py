@@ -60,3 +60,18 @@ def test_rank_within_matches_row_number(spark):
     w = Window.partitionBy("k").orderBy(*order)
     want = {(r["k"], r["t"]): r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     assert got == want
+
+
+def test_lag_within_rank_out(spark):
+    from pyspark.sql import Window
+
+    from cinelake.functions.ranking import lag_within
+    rows = [(1, i, i * 3) for i in range(2500)] + [(k, i, i) for k in range(2, 30) for i in range(4)]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    out = lag_within(df, "k", [F.col("o")], "v", out="prev", rank_out="j", partitions=16)
+    got = {(r["k"], r["o"]): (r["prev"], r["j"]) for r in out.collect()}
+    w = Window.partitionBy("k").orderBy("o")
+    want = {(r["k"], r["o"]): (r["prev"], r["j"])
+            for r in df.select("k", "o", F.lag("v").over(w).alias("prev"), F.row_number().over(w).alias("j"))
+            .collect()}
+    assert got == want
