@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,9 @@ from cinelake.session import ensure_checkpoint_dir
 # most this many (narrow) rows; beyond it the same join is left to a shuffle.
 BROADCAST_ROWS = 100_000
 
+# The tokenizer file of the registered queries; operators take a path.
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,8 +5,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontam, quality, simhash
-from cinelake.llm.common import table
+from cinelake.llm import decontam, line_dedup, packing, quality, simhash
+from cinelake.llm.common import BPE, table
+
+
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
+
+
+def packed(docs):
+    """Pieces of packed sequences with the digest of their ids."""
+    return packing.pack(docs, BPE).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_packing(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents"))
 
 
 def op7_simhash(spark, sf_dir):
@@ -21,5 +35,5 @@ def op10_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).drop("k1", "k2")
 
 
-QUERIES = {f.__name__: f for f in (op7_simhash, op8_decontamination, op10_quality)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op6_packing, op7_simhash, op8_decontamination, op10_quality)}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE_SQL}
