@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontam, line_dedup, packing, quality, simhash
+from cinelake.llm import decontam, line_dedup, packing, quality, simhash, warc
 from cinelake.llm.common import BPE, table
 
 
+def op2_warc(spark, sf_dir):
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_line_dedup(spark, sf_dir):
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
 
@@ -35,5 +39,5 @@ def op10_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).drop("k1", "k2")
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op6_packing, op7_simhash, op8_decontamination, op10_quality)}
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_line_dedup, op6_packing, op7_simhash, op8_decontamination, op10_quality)}
+ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE_SQL, "op3_line_dedup": line_dedup.ORACLE_SQL}
