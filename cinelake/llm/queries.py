@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontam, line_dedup, packing, quality, simhash, warc
+from cinelake.llm import decontam, licenses, line_dedup, packing, quality, simhash, warc
 from cinelake.llm.common import BPE, table
 
 
@@ -35,9 +35,13 @@ def op8_decontamination(spark, sf_dir):
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k1", "k2")
 
 
+def op9_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).drop("k1", "k2")
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_line_dedup, op6_packing, op7_simhash, op8_decontamination, op10_quality)}
-ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE_SQL, "op3_line_dedup": line_dedup.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_line_dedup, op6_packing, op7_simhash, op8_decontamination, op9_licenses, op10_quality)}
+ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE_SQL, "op3_line_dedup": line_dedup.ORACLE_SQL, "op9_licenses": licenses.ORACLE_SQL}
