@@ -15,8 +15,9 @@ from cinelake.session import ensure_checkpoint_dir
 # most this many (narrow) rows; beyond it the same join is left to a shuffle.
 BROADCAST_ROWS = 100_000
 
-# The tokenizer file of the registered queries; operators take a path.
+# The vocabulary files of the registered queries; operators take a path.
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
