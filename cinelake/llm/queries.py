@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontam, language, licenses, line_dedup, packing, quality, simhash, warc
+from cinelake.llm import decontam, language, licenses, line_dedup, packing, quality, simhash, toxicity, warc
 from cinelake.llm.common import BPE, PIECES, table
 
 
@@ -17,6 +17,10 @@ def op3_line_dedup(spark, sf_dir):
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"), PIECES)
 
@@ -47,5 +51,5 @@ def op10_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).drop("k1", "k2")
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_line_dedup, op5_language, op6_packing, op7_simhash, op8_decontamination, op9_licenses, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_line_dedup, op4_toxicity, op5_language, op6_packing, op7_simhash, op8_decontamination, op9_licenses, op10_quality)}
 ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE_SQL, "op3_line_dedup": line_dedup.ORACLE_SQL, "op9_licenses": licenses.ORACLE_SQL}
