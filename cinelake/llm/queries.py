@@ -5,8 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontam, language, licenses, line_dedup, packing, quality, simhash, toxicity, warc
-from cinelake.llm.common import BPE, PIECES, table
+from cinelake.llm import decontam, language, licenses, line_dedup, packing, quality, simhash, tokenfile, toxicity, warc
+from cinelake.llm.common import BPE, PIECES, scratch_path, table
+
+
+def op1_token_file(spark, sf_dir):
+    path = scratch_path(spark, "token-file")
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), path, BPE)
+    return tokenfile.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op2_warc(spark, sf_dir):
@@ -51,5 +57,5 @@ def op10_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).drop("k1", "k2")
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_line_dedup, op4_toxicity, op5_language, op6_packing, op7_simhash, op8_decontamination, op9_licenses, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_token_file, op2_warc, op3_line_dedup, op4_toxicity, op5_language, op6_packing, op7_simhash, op8_decontamination, op9_licenses, op10_quality)}
 ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE_SQL, "op3_line_dedup": line_dedup.ORACLE_SQL, "op9_licenses": licenses.ORACLE_SQL}
