@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cinelake.llm.common import if_small
 
 MAX_RATIO = 0.10
-MIN_PAGES = 3
+MIN_PAGES = 5
 
 
 def _digest(line: Column) -> Column:

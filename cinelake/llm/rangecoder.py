@@ -188,7 +188,7 @@ def decode_blocks(blocks: list[bytes], sizes: np.ndarray) -> np.ndarray:
     at = starts[:-1].copy()
     code = np.zeros(n, np.uint64)
     for _ in range(3):
-        code = (code << _DIGIT) | stream[at]
+        code = (code << _DIGIT) | stream.take(at, mode="clip")
         at += 1
     span = np.full(n, _TOP)
     out = np.zeros((int(sizes[0]), n), np.int32)
@@ -196,7 +196,7 @@ def decode_blocks(blocks: list[bytes], sizes: np.ndarray) -> np.ndarray:
     def shift(m):
         more = np.flatnonzero(span[:m] < _LEAST)
         if len(more):
-            code[more] = (code[more] << _DIGIT) | stream[at[more]]
+            code[more] = (code[more] << _DIGIT) | stream.take(at[more], mode="clip")     # damaged data may run on
             span[more] <<= _DIGIT
             at[more] += 1
 
