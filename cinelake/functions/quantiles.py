@@ -9,8 +9,10 @@ data.  Here the work is a value histogram instead:
    (a value repeated a million times is one row);
 2. a running count over (group, value) computed range-partitioned
    (``global_running_sums``), so one large group is split over many tasks;
-3. per group the two ranks around ``p * (N - 1)`` are located by an equi join
-   on the group (a handful of target rows per group) and a range filter, and
+3. per group the two ranks around ``p * (N - 1)`` are assigned to the range of
+   the running count that holds them (the ends of the ranges, one number each,
+   are known), located there by an equi join on range and group and a rank
+   filter, so that a task meets the rows of one range at most, and
    interpolated linearly: the definition of Spark's ``percentile`` and of
    DuckDB's ``quantile_cont``.
 """
@@ -22,8 +24,6 @@ from pyspark.sql import functions as F
 
 from cinelake.functions.ranking import global_running_sums
 
-MAX_BROADCAST_TARGETS = 1_000_000     # target rows (groups x 2 x len(ps)) broadcast at most
-
 
 def value_counts(df: DataFrame, value: str, group: list[str] | None = None) -> DataFrame:
     """(group..., value, n) histogram of the non-null values."""
@@ -42,7 +42,7 @@ def percentiles_from_counts(counts: DataFrame, value: str, ps: dict[str, float],
     h = counts.select(*group, F.col(value).cast("double").alias("_v"), F.col(n_col).cast("long").alias("_n"))
     if not group:
         h = h.withColumn("_one", F.lit(0))
-    cum = global_running_sums(h, [F.col(c).asc() for c in g] + [F.col("_v").asc()], ["_n"])
+    cum = global_running_sums(h, [F.col(c).asc() for c in g] + [F.col("_v").asc()], ["_n"], range_col="_range")
     # group totals and the count of all rows in earlier groups (one row per group)
     tot = h.groupBy(*g).agg(F.sum("_n").alias("_N"))
     tot = global_running_sums(tot, [F.col(c).asc() for c in g], ["_N"], prefix="_cumN")
@@ -57,14 +57,14 @@ def percentiles_from_counts(counts: DataFrame, value: str, ps: dict[str, float],
     t = targets[0]
     for x in targets[1:]:
         t = t.unionByName(x)
-    # the row whose cumulative range [cum - n, cum) holds absolute rank _a.
-    # The targets are 2 * len(ps) rows per group: broadcast them when the
-    # group count is checked to be small (always for a global percentile,
-    # whose constant key would otherwise send the whole histogram to one
-    # task); beyond that a shuffle join, where AQE splits a skewed group.
-    if tot.count() * 2 * len(ps) <= MAX_BROADCAST_TARGETS:
-        t = F.broadcast(t)
-    hit = (cum.join(t, g).where((F.col("_a") >= F.col("cum__n") - F.col("_n")) & (F.col("_a") < F.col("cum__n")))
+    # the row whose cumulative range [cum - n, cum) holds absolute rank _a
+    ends = sorted((r["m"], r["_range"]) for r in cum.groupBy("_range").agg(F.max("cum__n").alias("m")).collect())
+    if ends:
+        passed = F.size(F.filter(F.array(*[F.lit(m) for m, _ in ends]), lambda m: m <= F.col("_a")))
+        t = t.withColumn("_range", F.element_at(F.array(*[F.lit(r) for _, r in ends]), F.least(passed + 1, F.lit(len(ends)))))
+    else:
+        t = t.withColumn("_range", F.lit(0))
+    hit = (cum.join(t, [*g, "_range"]).where((F.col("_a") >= F.col("cum__n") - F.col("_n")) & (F.col("_a") < F.col("cum__n")))
            .select(*g, "_p", "_side", "_frac", "_v"))
     lo = hit.where(F.col("_side") == "lo").select(*g, "_p", "_frac", F.col("_v").alias("_lo"))
     hi = hit.where(F.col("_side") == "hi").select(*g, "_p", F.col("_v").alias("_hi"))

@@ -92,10 +92,11 @@ def first_k_unseen(seen_ranks: DataFrame, users: DataFrame, k: int, rank_col: st
 
 
 def global_running_sums(df: DataFrame, order: list[Column], cols: list[str], prefix: str = "cum_",
-                        partitions: int | None = None) -> DataFrame:
+                        partitions: int | None = None, range_col: str | None = None) -> DataFrame:
     """Running sums of ``cols`` over the whole frame in ``order`` (rows up to and
     including the current one), computed like ``global_rank``: per range a
-    local running sum, plus the totals of all earlier ranges."""
+    local running sum, plus the totals of all earlier ranges.  ``range_col``
+    keeps the number of the range under that name."""
     from cinelake.session import ensure_checkpoint_dir
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ensure_checkpoint_dir(df.sparkSession)
@@ -108,6 +109,8 @@ def global_running_sums(df: DataFrame, order: list[Column], cols: list[str], pre
     out = local.join(F.broadcast(offs), "_pid")
     for c in cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_o_{c}") + F.col(f"_l_{c}"))
+    if range_col:
+        out = out.withColumn(range_col, F.col("_pid"))
     return out.drop("_pid", *[f"_l_{c}" for c in cols], *[f"_o_{c}" for c in cols])
 
 
@@ -136,17 +139,6 @@ def first_n_exact(df: DataFrame, n: int, order: list[Column], bucket: Column) ->
     return full.unionByName(edge)
 
 
-# A window task sorts one whole key group: up to this many rows per key the
-# plain window is used; beyond it (a hot key) the range-partitioned path.
-MAX_WINDOW_GROUP = 5_000_000
-
-
-def _largest_group(df: DataFrame, key: str) -> int:
-    """Row count of the largest ``key`` group (one partial aggregate job)."""
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c").alias("m")).first()
-    return int(r["m"] or 0)
-
-
 def lag_within(df: DataFrame, key: str, order: list[Column], value: str, out: str = "prev",
                partitions: int | None = None, rank_out: str | None = None) -> DataFrame:
     """``lag(value) OVER (PARTITION BY key ORDER BY order)`` (and, with
@@ -160,14 +152,8 @@ def lag_within(df: DataFrame, key: str, order: list[Column], value: str, out: st
     range, broadcast).  The rank adds the key's row count in earlier ranges
     (one row per (range, key)).  Range bounds come from sampling, so the local
     pass is written once with a reliable ``checkpoint`` and every read sees
-    the same ranges.  When the largest group is checked to hold at most
-    ``MAX_WINDOW_GROUP`` rows the plain window is used (``partitions`` given
-    forces the range path, as in tests).
+    the same ranges.
     """
-    if partitions is None and _largest_group(df, key) <= MAX_WINDOW_GROUP:
-        w = Window.partitionBy(key).orderBy(*order)       # every group is checked to be small
-        out_df = df.withColumn(out, F.lag(value).over(w))
-        return out_df.withColumn(rank_out, F.row_number().over(w)) if rank_out is not None else out_df
     from cinelake.session import ensure_checkpoint_dir
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ensure_checkpoint_dir(df.sparkSession)
@@ -201,11 +187,7 @@ def rank_within(df: DataFrame, key: str, order: list[Column], out: str = "rn",
     per (range, key), and add the row count of the same key in earlier ranges
     (a table of one row per (range, key); a key spans at most all ranges, so
     its offset window is bounded by the range count).  The local pass is
-    checkpointed: range bounds come from sampling and are read twice.  With
-    every group checked to be at most ``MAX_WINDOW_GROUP`` rows the plain
-    window is used (``partitions`` given forces the range path)."""
-    if partitions is None and _largest_group(df, key) <= MAX_WINDOW_GROUP:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    checkpointed: range bounds come from sampling and are read twice."""
     from cinelake.session import ensure_checkpoint_dir
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ensure_checkpoint_dir(df.sparkSession)

@@ -2,11 +2,15 @@
 
 Fixed values: Spark MLlib's default English list
 (``StopWordsRemover.loadDefaultStopWords("english")``), held here as text so
-that the DuckDB oracle can inline exactly the same words.
+that the DuckDB oracle can inline exactly the same words, and cut by the
+tokeniser of the vectorisers: an entry with an apostrophe never is a token, its
+parts are (``couldn't`` -> ``couldn``; one-letter parts are no tokens).
 """
 
+import re
+
 # Fixed values (181 words, Spark's default English stop words, natural order).
-ENGLISH_STOP_WORDS = """
+_LISTED = """
 i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
 herself it its itself they them their theirs themselves what which who whom this that these those am is are
 was were be been being have has had having do does did doing a an the and but if or because as until while
@@ -19,6 +23,8 @@ shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought th
 where's who's why's would
 """.split()
 
+ENGLISH_STOP_WORDS = list(dict.fromkeys(t for w in _LISTED for t in re.findall(r"\w{2,}", w)))
+
 
 def sql_list() -> str:
     """The list as a SQL array literal."""

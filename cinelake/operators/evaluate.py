@@ -24,15 +24,17 @@ def temporal_split_user(ratings: DataFrame, test_ratio: float = 0.2, min_history
     back; the recency rank is ``rank_within`` (range-partitioned), so a user
     holding a large share of all ratings is not sorted in one task."""
     from cinelake.functions.ranking import rank_within
-    n = ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("_n"))
     r = rank_within(ratings, "userId", [F.col("ts").desc(), F.col("movieId").desc()], out="_rn")
+    n = r.groupBy("userId").agg(F.count(F.lit(1)).alias("_n"))
     n_test = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(test_ratio)))
     return (r.join(n, "userId").withColumn("is_test", (F.col("_n") >= min_history) & (F.col("_rn") <= n_test))
             .drop("_n", "_rn"))
 
 
 def split_user(ratings: DataFrame, test_ratio: float = 0.2) -> tuple[DataFrame, DataFrame]:
-    s = temporal_split_user(ratings, test_ratio)
+    """Train and test rows; the split is written once and both parts read it."""
+    from cinelake.session import cut_lineage
+    s = cut_lineage(temporal_split_user(ratings, test_ratio))
     return s.where(~F.col("is_test")).drop("is_test"), s.where(F.col("is_test")).drop("is_test")
 
 
@@ -150,8 +152,8 @@ def evaluate_model(recs: DataFrame, test: DataFrame, train: DataFrame, movies: D
     from cinelake.session import cut_lineage
     # the lists feed four metric branches: compute them once
     recs = cut_lineage(recs.select("userId", "rank", "movieId"))
-    truth = ground_truth(test, threshold)
-    users = eval_sample(truth, sample_users)
+    truth = cut_lineage(ground_truth(test, threshold))
+    users = cut_lineage(eval_sample(truth, sample_users))
     cat = movies.agg(F.count(F.lit(1)).alias("n_catalog"))
     parts = [ranking_metrics(recs, truth, users, ks), coverage(recs, users, cat), novelty(recs, users, train),
              intra_list_diversity(recs, users, movies)]

@@ -57,7 +57,7 @@ def similar_by_genre(movies: DataFrame, k: int = 10) -> DataFrame:
     return out.select("seed", "rank", "movieId", "sim")
 
 
-def tag_vectors(movies: DataFrame, tags: DataFrame, min_df: int = 2, max_features: int = 50000) -> DataFrame:
+def tag_vectors(movies: DataFrame, tags: DataFrame, min_df: int = 2, max_features: int | None = None) -> DataFrame:
     """TF-IDF of every movie's tag document (frequent normalised tags); the
     term counts come from the tag rows, every catalog movie is a document."""
     tf = X.tag_term_counts(frequent_tags(tags, 2))
@@ -66,7 +66,7 @@ def tag_vectors(movies: DataFrame, tags: DataFrame, min_df: int = 2, max_feature
 
 
 def similar_by_tags(movies: DataFrame, tags: DataFrame, k: int = 10) -> DataFrame:
-    """R2: cosine over tag TF-IDF (min_df 2, 50,000 features); movies without
+    """R2: cosine over tag TF-IDF (min_df 2); movies without
     tag terms have no list; only similarities > 0."""
     v = tag_vectors(movies, tags)
     return _as_list(blocked_topk(v, v, k, min_sim=0.0, strict=True), "seed", k)

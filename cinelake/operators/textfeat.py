@@ -14,7 +14,7 @@ second aggregate on term.  No document is ever collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.functions.ranking import global_rank
@@ -73,16 +73,14 @@ def tfidf_from_counts(tf: DataFrame, n_docs: DataFrame, min_df: int = 1, max_fea
                       sublinear: bool = True) -> DataFrame:
     """TF-IDF from ``(id, term, tf)`` counts and a one-row ``(n_docs)`` frame
     (documents without terms count in n_docs)."""
-    if max_features is not None:
-        # tf feeds both the vocabulary ranking and the weights: compute it once
-        tf = cut_lineage(tf)
+    tf = cut_lineage(tf)     # it feeds the vocabulary, the norms and the weights: compute it once
     vocab = vocabulary(tf, min_df, max_features)
     idf = vocab.crossJoin(F.broadcast(n_docs)).select(
         "term", (F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
     tfw = (F.lit(1.0) + F.log(F.col("tf"))) if sublinear else F.col("tf").cast("double")
     w = tf.join(idf, "term").select("id", "term", (tfw * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
-    return w.select("id", "term", (F.col("w") / norm).alias("w"))
+    norm = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return w.join(norm, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("w"))
 
 
 def tag_term_counts(tags: DataFrame, n_max: int = 2) -> DataFrame:
@@ -119,9 +117,9 @@ def genre_multihot(movies: DataFrame) -> DataFrame:
 
 
 def feature_stack(meta: DataFrame, genre_weight: float = 1.0, tag_weight: float = 1.5,
-                  title_weight: float = 0.8, max_tag_features: int = 40000,
-                  max_title_features: int = 15000, tag_counts: DataFrame | None = None) -> DataFrame:
-    """Weighted stack genre || tag TF-IDF || title TF-IDF as one long table
+                  title_weight: float = 0.8, max_tag_features: int | None = None,
+                  max_title_features: int | None = None, tag_counts: DataFrame | None = None) -> DataFrame:
+    """X5 (the weights are fixed values of the public model): weighted stack genre || tag TF-IDF || title TF-IDF as one long table
     with a space prefix on the term.  ``meta``: one row per movie with genres
     and clean_title, plus combined_tags unless the tag documents' term counts
     are given as ``tag_counts`` (``tag_term_counts``)."""

@@ -148,8 +148,8 @@ def _pop_eval_inputs(spark, sf):
     the recommendation lists are materialised once (they feed every metric)."""
     from cinelake.session import cut_lineage
     train, test = _split(spark, sf)
-    truth = V.ground_truth(test)
-    users = V.eval_sample(truth, None)
+    truth = cut_lineage(V.ground_truth(test))
+    users = cut_lineage(V.eval_sample(truth, None))
     recs = cut_lineage(P.popularity_for_users(users, train, k=20).select("userId", "rank", "movieId"))
     return recs, truth, users, train, S.movies(spark, sf)
 

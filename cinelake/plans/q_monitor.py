@@ -113,22 +113,21 @@ SELECT * FROM (
   SELECT CAST(floor(floor(epoch(ts)) / 21600) * 21600 AS BIGINT) AS window_start,
     quantile_cont(latency_ms, 0.5) AS p50, quantile_cont(latency_ms, 0.95) AS p95,
     quantile_cont(latency_ms, 0.99) AS p99, avg(latency_ms) AS mean, count(*) AS n
-  FROM rating_feed GROUP BY 1)
-WHERE window_start + 21600 <= (SELECT epoch(max(ts)) - 3600 FROM rating_feed)""")
+  FROM rating_feed GROUP BY 1)""")
 def q_stream_latency(spark, sf):
-    """Structured Streaming run to completion (availableNow, append mode:
-    windows closed by the 1-hour watermark are emitted as latency counts),
-    then exact percentiles per closed window from the counts."""
+    """Structured Streaming run to completion (availableNow, update
+    mode: latency counts of every window, open ones too), then exact
+    percentiles per window from the counts."""
     from cinelake.streaming import drift as D
-    hist = D.run_to_table(D.latency_histogram_stream(D.feed_stream(spark, sf)), "latency_hist")
-    stats = D.run_to_table(D.latency_mean_stream(D.feed_stream(spark, sf)), "latency_mean")
+    hist = D.run_windows(D.latency_histogram_stream(D.feed_stream(spark, sf)), "latency_hist", ["window_start", "latency_ms"])
+    stats = D.run_windows(D.latency_mean_stream(D.feed_stream(spark, sf)), "latency_mean", ["window_start"])
     return T.latency_from_histogram(hist, stats)
 
 
 @query("stream_rating_drift", code="T2 (stream)", floats=("D",), sql="""
 , h AS (SELECT CAST(floor(floor(epoch(ts)) / 86400) * 86400 AS BIGINT) AS window_start, event_type, rating, count(*) AS n
         FROM rating_feed GROUP BY 1, 2, 3)
-, hc AS (SELECT * FROM h WHERE window_start + 86400 <= (SELECT epoch(max(ts)) - 3600 FROM rating_feed))
+, hc AS (SELECT * FROM h)
 , b AS (SELECT rating, sum(n) AS cb FROM hc WHERE event_type = 'view' GROUP BY rating)
 , nb AS (SELECT sum(cb) AS n_base FROM b)
 , l AS (SELECT window_start, rating, n AS cl FROM hc WHERE event_type = 'purchase')
@@ -143,9 +142,9 @@ SELECT window_start, n_base, n_live, max(abs(fb - fl)) AS D FROM (
   FROM g) GROUP BY window_start, n_base, n_live""")
 def q_stream_rating_drift(spark, sf):
     """T2 as a stream: daily histograms per feed part with a watermark, then
-    the KS statistic of every closed day against the streamed baseline."""
+    the KS statistic of every day against the streamed baseline."""
     from cinelake.streaming import drift as D
-    hist = D.run_to_table(D.rating_histogram_stream(D.feed_stream(spark, sf)), "rating_hist")
+    hist = D.run_windows(D.rating_histogram_stream(D.feed_stream(spark, sf)), "rating_hist", ["window_start", "event_type", "rating"])
     return D.ks_from_histograms(hist)
 
 
@@ -166,7 +165,6 @@ def q_stream_latency_last_n(spark, sf):
 , ev AS (SELECT l_partkey AS movieId, 0.5E0 + 0.5E0 * floor((l_quantity - 1) / 5) AS rating,
            CAST(floor(floor(epoch(l_shipdate)) / 86400) * 86400 AS BIGINT) AS window_start FROM lineitem)
 , cnt AS (SELECT window_start, movieId, count(*) AS v, sum(rating) AS s FROM ev
-          WHERE window_start + 86400 <= (SELECT epoch(max(l_shipdate)) - 3600 FROM lineitem)
           GROUP BY window_start, movieId)
 , c AS (SELECT window_start, sum(s) / sum(v) AS C FROM cnt GROUP BY window_start)
 , sc AS (SELECT n.window_start, movieId, v, v / (v + 50.0E0) * (s / v) + 50.0E0 / (v + 50.0E0) * C AS score
@@ -178,9 +176,9 @@ def q_stream_latency_last_n(spark, sf):
 SELECT t.window_start, t.window_rank, t.movieId, t.v, t.score, b.base_rank
 FROM top t LEFT JOIN base_top b ON b.movieId = t.movieId""")
 def q_stream_popularity(spark, sf):
-    """T5 as a stream: per-day rating counts per movie with a 1-hour watermark
-    (closed days only), scored against the all-time batch ranking."""
+    """T5 as a stream: per-day rating counts per movie with a 1-hour
+    watermark, scored against the all-time batch ranking."""
     from cinelake.operators.popularity import bayesian_popularity
     from cinelake.streaming import drift as D
-    counts = D.run_to_table(D.movie_popularity_stream(D.rating_event_stream(spark, sf)), "movie_popularity")
+    counts = D.run_windows(D.movie_popularity_stream(D.rating_event_stream(spark, sf)), "movie_popularity", ["window_start", "movieId"])
     return D.window_popularity(counts, bayesian_popularity(S.interactions(spark, sf)))

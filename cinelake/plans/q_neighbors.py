@@ -47,8 +47,8 @@ GENRE_VEC = """
   SELECT DISTINCT movieId AS id, 'g:' || g AS term, 1.0E0 AS w FROM (
     SELECT movieId, unnest(string_split(coalesce(genres, '(no genres listed)'), '|')) AS g FROM movies))"""
 CONTENT_VEC = (TAGS_CLEAN_SQL + GENRE_VEC
-               + tfidf_sql("tagc", TAG_DOCS, 1, 40000, "1.5E0", "t:")
-               + tfidf_sql("title", TITLE_DOCS, 1, 15000, "0.8E0", "n:") + """
+               + tfidf_sql("tagc", TAG_DOCS, 1, None, "1.5E0", "t:")
+               + tfidf_sql("title", TITLE_DOCS, 1, None, "0.8E0", "n:") + """
 , content_raw AS (SELECT * FROM genre_vec UNION ALL SELECT * FROM tagc_vec UNION ALL SELECT * FROM title_vec)
 , content_vec AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM content_raw)""")
 
@@ -61,10 +61,10 @@ WHERE rank <= {k}"""
 
 
 @query("tfidf_documents", code="X2/X3/X4", floats=("w",), sql=tfidf_sql(
-    "doc", "SELECT doc_id AS id, text FROM documents", 2, 50000) + "\nSELECT id AS doc_id, term, w FROM doc_vec")
+    "doc", "SELECT doc_id AS id, text FROM documents", 2, None) + "\nSELECT id AS doc_id, term, w FROM doc_vec")
 def q_tfidf_documents(spark, sf):
     d = S.base(spark, sf, "documents").select("doc_id", "text")
-    return X.tfidf(d, "doc_id", "text", min_df=2, max_features=50000).withColumnRenamed("id", "doc_id")
+    return X.tfidf(d, "doc_id", "text", min_df=2).withColumnRenamed("id", "doc_id")
 
 
 @query("genre_multihot", code="X1", sql="""
@@ -91,7 +91,7 @@ def q_similar_by_genre(spark, sf):
 
 
 @query("similar_by_tags", code="R2", floats=("sim",), sql=TAGS_CLEAN_SQL + tfidf_sql(
-    "tag", TAG_DOCS, 2, 50000) + """
+    "tag", TAG_DOCS, 2, None) + """
 , tpairs AS (SELECT a.id AS seed, b.id AS movieId, round(sum(a.w * b.w), 12) AS sim
              FROM tag_vec a JOIN tag_vec b ON a.term = b.term AND a.id <> b.id GROUP BY a.id, b.id)"""
     + topk_sql("tpairs", "seed", "movieId", 10, where="WHERE sim > 0"))

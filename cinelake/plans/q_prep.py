@@ -68,13 +68,11 @@ def q_content_metadata(spark, sf):
     return R.content_metadata(S.movies(spark, sf), S.tags(spark, sf))
 
 
-@query("hydrate_popularity", code="S11/S12", floats=("mean_rating",), sql=f"""
-SELECT movieId, count(*) AS n_ratings, avg(rating) AS mean_rating FROM (
-  SELECT * FROM interactions ORDER BY {HASH2_SQL}, userId, movieId LIMIT 100000)
-GROUP BY movieId""")
+@query("hydrate_popularity", code="S11/S12", floats=("mean_rating",), sql="""
+SELECT movieId, count(*) AS n_ratings, avg(rating) AS mean_rating FROM interactions GROUP BY movieId""")
 def q_hydrate_popularity(spark, sf):
-    base = R.baseline_sample(S.interactions(spark, sf), 100_000)
-    return base.groupBy("movieId").agg(F.count(F.lit(1)).alias("n_ratings"), F.avg("rating").alias("mean_rating"))
+    """Popularity statistics of a loaded bundle, over all ratings."""
+    return S.interactions(spark, sf).groupBy("movieId").agg(F.count(F.lit(1)).alias("n_ratings"), F.avg("rating").alias("mean_rating"))
 
 
 @query("extract_year", code="P1/P2", sql=f"""

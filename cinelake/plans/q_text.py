@@ -58,13 +58,12 @@ def q_ngrams(spark, sf):
     return X.tag_term_counts(R.frequent_tags(S.tags(spark, sf), 2)).withColumnRenamed("id", "movieId")
 
 
-@query("tfidf", code="X2", floats=("w",), sql=tfidf_sql("title", TITLE_DOCS, 1, 15000) + """
+@query("tfidf", code="X2", floats=("w",), sql=tfidf_sql("title", TITLE_DOCS, 1, None) + """
 SELECT id AS movieId, term, w FROM title_vec""")
 def q_tfidf(spark, sf):
-    """Title TF-IDF (1-2-grams, stop words, sublinear tf, smooth idf, L2 rows,
-    vocabulary capped at 15,000 terms)."""
+    """Title TF-IDF (1-2-grams, stop words, sublinear tf, smooth idf, L2 rows)."""
     m = S.movies(spark, sf).select("movieId", clean_title(F.col("title")).alias("clean_title"))
-    return X.tfidf(m, "movieId", "clean_title", 1, 15000).withColumnRenamed("id", "movieId")
+    return X.tfidf(m, "movieId", "clean_title", 1).withColumnRenamed("id", "movieId")
 
 
 @query("vocab_cap", code="X4", sql=tfidf_sql("doc", "SELECT doc_id AS id, text FROM documents", 2, 2000) + """

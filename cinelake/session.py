@@ -56,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (local tests).  On a cluster the setting always points to shared storage."""
     d = checkpoint_dir(spark)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local[") and master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cinelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

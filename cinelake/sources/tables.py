@@ -122,8 +122,12 @@ def load_tags_csv(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def load_links_csv(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Missing file -> empty frame with the schema (as the reference does)."""
-    path = os.path.join(data_dir, "links.csv")
-    if not os.path.exists(path):
+    """A missing file is an empty frame with the schema; any other failure is
+    raised.  The path is looked up by Spark, so any store it reads will do."""
+    from pyspark.errors import AnalysisException
+    try:
+        return read_csv_table(spark, os.path.join(data_dir, "links.csv"), LINKS_SCHEMA)
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LINKS_SCHEMA)
-    return read_csv_table(spark, path, LINKS_SCHEMA)

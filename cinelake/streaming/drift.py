@@ -3,7 +3,7 @@
 The feed is read as a file stream (schema given, never inferred), event time
 is the ``ts`` column cast to TIMESTAMP (watermarks need a zoned timestamp),
 late rows beyond a 1-hour watermark are dropped, and windowed aggregates are
-the only state.  ``run_to_table`` drives a query to completion with
+the only state.  ``run_windows`` returns every window, closed or still open.  ``run_to_table`` drives a query to completion with
 ``availableNow`` into a Parquet sink under the shared checkpoint folder and
 returns the sink as a batch DataFrame, which is how tests compare a stream
 with its batch twin in ``cinelake.operators.monitor``.
@@ -64,6 +64,27 @@ def latency_mean_stream(feed: DataFrame, window: str = "6 hours") -> DataFrame:
             .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "mean", "n"))
 
 
+def run_windows(query_df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Run a windowed aggregate to completion (availableNow, update mode): every
+    micro-batch writes the rows of the windows it changed under its own number
+    (a repeated batch overwrites itself), and the last state of each key is the
+    result.  So windows that the watermark has not closed are there too, and
+    state of closed windows is still dropped."""
+    spark = query_df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}-{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([], query_df.schema).write.parquet(root + "/data/batch=-1")
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/data/batch={number}")
+
+    q = (query_df.writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", root + "/_checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    values = [c for c in query_df.columns if c not in keys]
+    last = spark.read.parquet(root + "/data").groupBy(*keys).agg(F.max(F.struct("batch", *values)).alias("s"))
+    return last.select(*keys, *[F.col("s").getField(c).alias(c) for c in values])
+
+
 def run_to_table(query_df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
     """Run a streaming frame to completion (availableNow) into Parquet under the
     session's checkpoint folder; return the sink as a batch frame."""
@@ -80,18 +101,10 @@ def ks_from_histograms(hist: DataFrame, base_type: str = "view", live_type: str
     """KS statistic per window from the streamed histograms: the baseline is
     every window's ``base_type`` counts summed, the live side one window's
     ``live_type`` counts."""
-    from pyspark.sql import Window
+    from cinelake.operators.monitor import ks_from_counts
     base = (hist.where(F.col("event_type") == base_type).groupBy("rating").agg(F.sum("n").alias("cb")))
-    nb = base.agg(F.sum("cb").alias("n_base"))
     live = hist.where(F.col("event_type") == live_type).select("window_start", "rating", F.col("n").alias("cl"))
-    nl = live.groupBy("window_start").agg(F.sum("cl").alias("n_live"))
-    xs = base.select("rating").unionByName(live.select("rating")).distinct()
-    g = (nl.select("window_start").crossJoin(xs).join(base, "rating", "left")
-         .join(live, ["window_start", "rating"], "left").fillna(0, subset=["cb", "cl"])
-         .join(nl, "window_start").crossJoin(F.broadcast(nb)))
-    w = Window.partitionBy("window_start").orderBy("rating").rowsBetween(Window.unboundedPreceding, 0)
-    g = g.withColumn("d", F.abs(F.sum("cb").over(w) / F.col("n_base") - F.sum("cl").over(w) / F.col("n_live")))
-    return g.groupBy("window_start", "n_base", "n_live").agg(F.max("d").alias("D"))
+    return ks_from_counts(base.withColumnRenamed("rating", "x"), live.withColumnRenamed("rating", "x"), "window_start")
 
 
 def rating_event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Window / blocked forms versus plain Python loops on random inputs."""
+"""Window / blocked forms versus their definitions on random inputs."""
 
 import random
 
@@ -12,20 +12,19 @@ from cinelake.operators import popularity as P
 from cinelake.operators.similarity import blocked_topk
 
 
-def _loop_rerank(cands, genres, k, penalty=0.15):
-    ranked = sorted(cands.items(), key=lambda x: (-x[1], x[0]))
-    out, counts = [], {}
-    for pos, (mid, base) in enumerate(ranked):
-        gs = genres.get(mid, set())
-        overlap = sum(counts.get(g, 0) for g in gs)
-        out.append((mid, max(0.0, base - penalty * (overlap / (len(gs) + 1e-5))), pos))
-        for g in gs:
-            counts[g] = counts.get(g, 0) + 1
-    out.sort(key=lambda x: (-round(x[1], 12), x[2]))
-    return [(m, s) for m, s, _ in out[:k]]
+def _reranked(cands, genres, k, penalty=0.15):
+    """By definition: every candidate loses the penalty times the genres it shares
+    with each better-ranked one, over its own number of genres."""
+    order = sorted(cands, key=lambda m: (-cands[m], m))
 
+    def score(m):
+        better = order[:order.index(m)]
+        shared = sum(len(genres[m] & genres[b]) for b in better)
+        return max(0.0, cands[m] - penalty * shared / (len(genres[m]) + 1e-5))
+    return sorted(((m, score(m)) for m in order), key=lambda x: (-round(x[1], 12), order.index(x[0])))[:k]
 
-def test_diversity_rerank_matches_loop(spark):
+
+def test_diversity_rerank_matches_definition(spark):
     rnd = random.Random(7)
     names = list("ABCDEFG")
     movies = [(m, "|".join(rnd.sample(names, rnd.randint(1, 3)))) for m in range(60)]
@@ -39,27 +38,26 @@ def test_diversity_rerank_matches_loop(spark):
     got = H.diversity_rerank(fused, mdf, k=10).collect()
     for u in range(8):
         cands = {m: b for uu, m, b in rows if uu == u}
-        exp = _loop_rerank(cands, genres, 10)
+        exp = _reranked(cands, genres, 10)
         mine = sorted([r for r in got if r.userId == u], key=lambda r: r["rank"])
         assert [r.movieId for r in mine] == [m for m, _ in exp]
         assert [r.score for r in mine] == pytest.approx([s for _, s in exp])
 
 
-def _loop_round_robin(pref, buckets, k):
-    selected, seen_in = [], set()
-    pointers = {g: 0 for g in pref if g in buckets}
-    while len(selected) < k and any(pointers[g] < len(buckets[g]) for g in pointers):
-        for g in pref:
-            if g in pointers and pointers[g] < len(buckets[g]):
-                mid = buckets[g][pointers[g]]
-                pointers[g] += 1
-                if mid not in seen_in:
-                    selected.append(mid)
-                    seen_in.add(mid)
-    return selected
+def _round_robin(pref, buckets, k):
+    """By definition: order all (position in its list, preference) pairs, keep the
+    first occurrence of each item; only whole rounds are taken, until k are there."""
+    cells = sorted((pos, i, m) for i, g in enumerate(pref) for pos, m in enumerate(buckets.get(g, ())))
+    first = {}
+    for pos, _, m in cells:
+        first.setdefault(m, pos)
+    items = list(first)
+    if len(items) <= k:
+        return items
+    return [m for m in items if first[m] <= first[items[k - 1]]]
 
 
-def test_round_robin_matches_loop(spark):
+def test_round_robin_matches_definition(spark):
     rnd = random.Random(3)
     names = list("ABCDEF")
     movies = [(m, f"Movie {m} (1990)", "|".join(rnd.sample(names, rnd.randint(1, 3)))) for m in range(40)]
@@ -78,7 +76,7 @@ def test_round_robin_matches_loop(spark):
             buckets.setdefault(x, []).append((m, pop.get(m, 0.0)))
     buckets = {g: [m for m, _ in sorted(v, key=lambda t: (-t[1], t[0]))] for g, v in buckets.items()}
     for rid, pref in reqs:
-        exp = _loop_round_robin(pref, buckets, 5)
+        exp = _round_robin(pref, buckets, 5)
         mine = [r.movieId for r in sorted([r for r in got if r.req_id == rid], key=lambda r: r["rank"])]
         assert mine == exp
 

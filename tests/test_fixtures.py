@@ -1,6 +1,7 @@
-"""Hand-computed values on the reference's tiny fixtures (FIXTURES.md section 2)."""
+"""Hand-computed values on tiny tables."""
 
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,12 +12,12 @@ from cinelake.operators import prep as R
 
 
 def test_tags_normalise_min_freq_keeps_duplicates(spark):
-    rows = [(1, 10, "Sci-Fi", 0), (2, 10, "sci-fi", 1), (3, 10, " Sci-Fi ", 2), (4, 20, "Comedy", 3),
-            (5, 20, "Comedy", 4), (6, 30, "Drama", 5)]
+    rows = [(7, 3, " Slow Burn", 0), (8, 3, "slow burn ", 1), (9, 3, "SLOW BURN", 2), (7, 5, "heist", 3),
+            (9, 5, "Heist", 4), (8, 6, "only once", 5)]
     t = spark.createDataFrame(rows, "userId long, movieId long, tag string, t long").withColumn(
         "ts", F.timestamp_seconds("t"))
     out = {r.movieId: r.combined_tags for r in R.load_tags(t, min_tag_freq=2).collect()}
-    assert out == {10: "sci-fi sci-fi sci-fi", 20: "comedy comedy"}
+    assert out == {3: "slow burn slow burn slow burn", 5: "heist heist"}
 
 
 def test_null_tags_dropped(spark):
@@ -27,12 +28,12 @@ def test_null_tags_dropped(spark):
 
 def test_interaction_matrix_shape(spark):
     from cinelake.operators.latent import interaction_index
-    r = spark.createDataFrame([(1, 10, 4.0), (1, 20, 5.0), (2, 20, 3.5), (2, 30, 2.0), (3, 10, 4.5)],
+    r = spark.createDataFrame([(4, 7, 2.5), (4, 8, 1.0), (6, 8, 4.0), (6, 9, 5.0), (9, 7, 3.0), (9, 9, 0.5)],
                               "userId long, movieId long, rating double")
     u, i = interaction_index(r)
     assert u.count() == 3 and i.count() == 3
     cells = r.join(u, "userId").join(i, "movieId").select("row_idx", "col_idx").distinct().count()
-    assert cells == 5
+    assert cells == 6
     assert sorted(x.row_idx for x in u.collect()) == [0, 1, 2]
 
 
@@ -109,5 +110,61 @@ def test_store_roundtrip_and_version(spark, tmp_path):
     back = load_model_tables(spark, str(tmp_path / "b"))
     assert back["popularity"].collect()[0].score == 2.0
     save_model_tables(str(tmp_path / "c"), {"popularity": df}, version=2)
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(ValueError, match="version 2"):
         load_model_tables(spark, str(tmp_path / "c"), version=1)
+
+
+def test_store_resave_leaves_the_loaded_bundle_readable(spark, tmp_path):
+    from cinelake.sources.store import load_model_tables, save_model_tables
+    root = str(tmp_path / "b")
+    save_model_tables(root, {"t": spark.createDataFrame([(1,)], "x long")})
+    old = load_model_tables(spark, root)["t"]
+    save_model_tables(root, {"t": spark.createDataFrame([(2,)], "x long")})
+    assert [r.x for r in old.collect()] == [1]                       # a reader in the middle of a save
+    assert [r.x for r in load_model_tables(spark, root)["t"].collect()] == [2]
+
+
+def test_store_missing_table_and_legacy_manifest(spark, tmp_path):
+    import json
+    from cinelake.sources.store import load_model_tables, save_model_tables
+    df = spark.createDataFrame([(1,)], "x long")
+    root = str(tmp_path / "b")
+    folder = save_model_tables(root, {"t": df})
+    (tmp_path / "gone").mkdir()
+    os.rename(f"{folder}/t", str(tmp_path / "gone" / "t"))
+    with pytest.raises(ValueError, match="missing"):
+        load_model_tables(spark, root)
+    for name, manifest in (("legacy", json.dumps({"tables": ["t"]})), ("broken", "nothing")):
+        spark.createDataFrame([("9", manifest)], "saved string, manifest string").write.json(str(tmp_path / name / "_manifests"))
+        with pytest.raises(ValueError):
+            load_model_tables(spark, str(tmp_path / name))
+
+
+def test_links_csv_by_path_and_uri(spark, tmp_path):
+    from cinelake.sources.tables import load_links_csv
+    (tmp_path / "links.csv").write_text("movieId,imdbId,tmdbId\n1,2,3.0\n")
+    for where in (str(tmp_path), f"file://{tmp_path}"):
+        assert [tuple(r) for r in load_links_csv(spark, where).collect()] == [(1, 2, 3.0)]
+    assert load_links_csv(spark, f"file://{tmp_path}/nowhere").count() == 0
+
+
+def test_ks_from_counts_matches_pooled_grid(spark):
+    import random
+
+    from cinelake.operators.monitor import ks_statistic
+    rnd = random.Random(2)
+    base = [(round(rnd.gauss(0, 1), 1),) for _ in range(300)]
+    live = [(g, round(rnd.gauss(g / 3, 1), 1)) for g in range(4) for _ in range(40 + g)]
+    got = {r.g: r.D for r in ks_statistic(spark.createDataFrame(base, "v double"), spark.createDataFrame(live, "g int, v double"),
+                                          "v", group="g").collect()}
+    for g in range(4):
+        own = [v for h, v in live if h == g]
+        grid = sorted({v for v, in base} | set(own))
+        want = max(abs(sum(v <= x for v, in base) / len(base) - sum(v <= x for v in own) / len(own)) for x in grid)
+        assert got[g] == pytest.approx(want)
+
+
+def test_stop_words_leave_no_contraction_tail(spark):
+    from cinelake.operators.textfeat import term_counts
+    df = spark.createDataFrame([(1, "We couldn't say they've seen what's here, I'll go; they'd don't film noir")], "id long, text string")
+    assert {r.term for r in term_counts(df, "id", "text", 1).collect()} == {"say", "seen", "go", "film", "noir"}
