@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 
@@ -20,8 +21,11 @@ CACHE_UNITS = 1_200_000
 CACHE_IDS = 8_000_000
 JOINED_UNITS = 20_000
 
-_ADJOINING = re.compile(r"\s\s|\x00")
-_ADJOINING_STOPS = re.compile(r"[^\w\s][.,]|_[.,]")
+_INNER_SPACE = re.compile(r"\s")
+_STOPS = (".", ",")
+# marks of units: white space inside; begins with a stop; ends in something other than a letter or digit
+_UNFIT, _STOP, _OPEN = 1, 2, 4
+
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -41,37 +45,43 @@ class Encoder:
         self.index: dict[str, int] = {}
         self.pool = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
-        self.sizes = np.zeros(1 << 14, np.int64)
+        self.sizes = np.zeros(1 << 14, np.int32)
+        self.marks = np.zeros(1 << 14, np.uint8)
         self.used = 0
+        self._store([""], np.zeros(0, np.uint32), np.array([0, 0]))
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, units: list[str]):
-        """Ids of new units. Units that do not end in white space are encoded as
-        lines of one text: a newline is a pre-token between them, so its id,
-        which no such unit holds, parts their ids."""
-        alone = [u for u in units if not u or u[-1].isspace()]
-        lines = [u for u in units if u and not u[-1].isspace()]
-        for unit, ids in zip(alone, self._library(alone)):
-            self._store([unit], np.array(ids, np.uint32), np.array([0, len(ids)]))
+        """Ids of new units. They are encoded as lines of one text: a newline is
+        a pre-token between them, so its id, which no other unit holds, parts
+        their ids. Units with white space behind their first character make
+        their text unfit and get no ids."""
+        unfit = [u for u in units if u != "\n" and (u[-1].isspace() or _INNER_SPACE.search(u, 1))]
+        self._store(unfit, np.zeros(0, np.uint32), np.zeros(len(unfit) + 1, np.int64), _UNFIT)
+        if "\n" in units:
+            self._store(["\n"], np.array([self.newline], np.uint32), np.array([0, 1]))
+        skip = {"\n", *unfit}
+        lines = [u for u in units if u not in skip]
         for i in range(0, len(lines), JOINED_UNITS):
             part = lines[i:i + JOINED_UNITS]
             ids = np.array(self._library(["\n".join(part) + "\n"])[0], np.uint32)
             gaps = np.flatnonzero(ids == self.newline)
             assert len(gaps) == len(part), "a unit holds a newline"
-            keep = ids != self.newline
-            self._store(part, ids[keep], np.concatenate([[0], gaps + 1]) - np.arange(len(part) + 1))
+            self._store(part, ids[ids != self.newline], np.concatenate([[0], gaps + 1]) - np.arange(len(part) + 1))
 
-    def _store(self, units: list[str], ids: np.ndarray, bounds: np.ndarray):
+    def _store(self, units: list[str], ids: np.ndarray, bounds: np.ndarray, mark: int = 0):
         at, n = len(self.index), len(units)
         while at + n > len(self.starts):
-            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
+            self.starts, self.sizes, self.marks = (np.resize(x, 2 * len(x)) for x in (self.starts, self.sizes, self.marks))
         while self.used + len(ids) > len(self.pool):
             self.pool = np.resize(self.pool, 2 * len(self.pool))
         self.pool[self.used:self.used + len(ids)] = ids
         self.starts[at:at + n] = self.used + bounds[:-1]
         self.sizes[at:at + n] = np.diff(bounds)
+        self.marks[at:at + n] = [mark | (_STOP * (u[:1] in _STOPS and u != "")) | (_OPEN * (u != "" and u != "\n" and not u[-1].isalnum()))
+                                 for u in units]
         self.used += len(ids)
         self.index.update(zip(units, range(at, at + n)))
 
@@ -80,32 +90,49 @@ class Encoder:
         if len(self.index) > CACHE_UNITS or self.used > CACHE_IDS:
             self._clear()
         out: list[np.ndarray | None] = [None] * len(texts)
-        whole = [i for i, t in enumerate(texts) if _ADJOINING.search(t)]
-        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-            out[i] = np.array(ids, np.uint32)
+        rest = [i for i, t in enumerate(texts) if "\x00" not in t]
+        for stops in (True, False):
+            rest = self._cut(texts, rest, stops, out) if rest else rest
         rest = [i for i in range(len(texts)) if out[i] is None]
+        for i, ids in zip(rest, self._library([texts[i] for i in rest])):
+            out[i] = np.array(ids, np.uint32)
+        return out
+
+    def _cut(self, texts, which: list[int], stops: bool, out) -> list[int]:
+        """Fills in the ids of the texts that may be cut so; returns the others."""
         units: list[str] = []
         bounds = [0]
-        for i in rest:
+        for i in which:
             cut = texts[i].replace(" ", "\x00 ").replace("\n", "\x00\n\x00")
-            if not _ADJOINING_STOPS.search(texts[i]):
+            if stops:
                 cut = cut.replace(".", "\x00.").replace(",", "\x00,")
             units += cut.split("\x00")
             bounds.append(len(units))
-        get = self.index.get
-        at = [get(u) for u in units]
-        if None in at:
-            self._learn(list(dict.fromkeys(u for u, a in zip(units, at) if a is None)))
-            at = [get(u) for u in units]
-        at = np.array(at, np.int64)
-        sizes = self.sizes[at]
+        at = np.array(list(map(self.index.get, units, repeat(-1))), np.int64)
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            self._learn(list(dict.fromkeys([units[i] for i in new])))
+            at[new] = [self.index[units[i]] for i in new]
+        edges = np.array(bounds)
+        marks, empty = self.marks[at], at == 0
+        empty[edges[:-1]] = False                        # nothing before a text's first cut or behind its last one
+        empty[edges[1:] - 1] = False
+        bad = empty | (marks & _UNFIT > 0)
+        if stops:
+            closed = np.ones(len(at), bool)
+            closed[1:] = marks[:-1] & _OPEN == 0
+            closed[edges[:-1]] = True
+            bad |= (marks & _STOP > 0) & ~closed
+        unfit = np.unique(np.searchsorted(edges, np.flatnonzero(bad), "right") - 1).tolist()
+        sizes = self.sizes[at].astype(np.int64)
         ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.pool[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(total)]
-        edges = np.concatenate([[0], ends])[bounds]
-        for i, a, b in zip(rest, edges[:-1].tolist(), edges[1:].tolist()):
-            out[i] = flat[a:b]
-        return out
+        flat = self.pool[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
+        cuts = np.concatenate([[0], ends])[edges]
+        skip = set(unfit)
+        for k, (i, a, b) in enumerate(zip(which, cuts[:-1].tolist(), cuts[1:].tolist())):
+            if k not in skip:
+                out[i] = flat[a:b]
+        return [which[k] for k in unfit]
 
 
 def encoder(path: str) -> Encoder:
