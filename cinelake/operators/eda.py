@@ -239,3 +239,26 @@ def profile_table(df: DataFrame, table: str) -> DataFrame:
     stats = ["count", "nulls", "distinct", "min", "max", "mean", "std", "p25", "p50", "p75"]
     rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").alias(s) for s in stats]) for c in df.columns]
     return a.select(F.explode(F.array(*rows)).alias("r")).select(F.lit(table).alias("table_name"), "r.*")
+
+
+TYPE_FAMILIES = {"tinyint": "integer", "smallint": "integer", "int": "integer", "bigint": "integer", "float": "float",
+                 "double": "float", "string": "string", "timestamp": "timestamp", "timestamp_ntz": "timestamp", "date": "date",
+                 "boolean": "boolean"}
+
+
+def column_types(tables: dict[str, DataFrame]) -> DataFrame:
+    """A3: (table_name, column_name, data_type, n_values, n_distinct), one pass
+    per table; a column's values are counted by (column, text of the value)
+    pairs, so the distinct count is spread over all tasks."""
+    out = None
+    for name, df in tables.items():
+        family = F.create_map(*[F.lit(x) for f in df.schema.fields
+                                for x in (f.name, TYPE_FAMILIES.get(f.dataType.simpleString(), f.dataType.simpleString()))])
+        cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("x"))
+                                              for c in df.columns])).alias("s")).select("s.*")
+        per = cells.groupBy("column_name", "x").agg(F.count("x").alias("n"))
+        one = per.groupBy("column_name").agg(F.sum("n").alias("n_values"), F.count("x").alias("n_distinct")).select(
+            F.lit(name).alias("table_name"), "column_name", F.element_at(family, F.col("column_name")).alias("data_type"),
+            "n_values", "n_distinct")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -72,8 +72,12 @@ def similar_by_tags(movies: DataFrame, tags: DataFrame, k: int = 10) -> DataFram
     return _as_list(blocked_topk(v, v, k, min_sim=0.0, strict=True), "seed", k)
 
 
-def content_vectors(movies: DataFrame, tags: DataFrame) -> DataFrame:
-    return X.feature_stack(enrich_movies(movies), tag_counts=X.tag_term_counts(frequent_tags(tags, 2)))
+def content_vectors(movies: DataFrame, tags: DataFrame, min_tag_freq: int = 2) -> DataFrame:
+    """X5 stack of every movie; ``tags`` are raw rows or (movieId, combined_tags)."""
+    if "combined_tags" in tags.columns:
+        meta = enrich_movies(movies).join(tags.select("movieId", "combined_tags"), "movieId", "left").fillna("", ["combined_tags"])
+        return X.feature_stack(meta)
+    return X.feature_stack(enrich_movies(movies), tag_counts=X.tag_term_counts(frequent_tags(tags, min_tag_freq)))
 
 
 def similar_by_content(movies: DataFrame, tags: DataFrame, k: int = 10) -> DataFrame:

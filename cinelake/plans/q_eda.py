@@ -51,14 +51,19 @@ def q_distinct_entities(spark, sf):
                     (F.col("n_cov") * 100.0 / F.col("n_catalog")).alias("coverage_pct"))
 
 
-@query("column_types", code="A3")
+COLUMN_TYPES = [  # canonical columns and their type families
+    ("ratings", "interactions", [("userId", "integer"), ("movieId", "integer"), ("rating", "float"), ("ts", "timestamp")]),
+    ("movies", "movies", [("movieId", "integer"), ("title", "string"), ("genres", "string")]),
+    ("tags", "tags", [("userId", "integer"), ("movieId", "integer"), ("tag", "string"), ("ts", "timestamp")]),
+    ("links", "links", [("movieId", "integer"), ("imdbId", "integer"), ("tmdbId", "float")])]
+
+
+@query("column_types", code="A3", sql="\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS data_type, count({c}) AS n_values, count(DISTINCT {c}) AS n_distinct FROM {v}"
+    for t, v, cols in COLUMN_TYPES for c, k in cols))
 def q_column_types(spark, sf):
-    """Schema of every canonical table as rows (no SQL oracle: type names are engine-specific)."""
-    rows = []
-    for name, df in _canon(spark, sf).items():
-        for f in df.schema.fields:
-            rows.append((name, f.name, f.dataType.simpleString()))
-    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
+    """Type family, non-null values and distinct values of every canonical column."""
+    return E.column_types(_canon(spark, sf))
 
 
 @query("null_audit", code="A4", sql="""

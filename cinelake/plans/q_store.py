@@ -129,22 +129,27 @@ def q_benchmark_models(spark, sf):
 
 @query("component_ablation", code="E13")
 def q_component_ablation(spark, sf):
-    """Genre-only and tag-only content profiles vs the full stack vs SVD."""
+    """Genre-only and tag-only content profiles vs the full content stack vs SVD
+    vs the full hybrid."""
     from cinelake.operators import textfeat as X
-    from cinelake.operators.prep import content_metadata
+    from cinelake.operators.prep import frequent_tags
     train, test = _split(spark, sf)
     m, t = S.movies(spark, sf), S.tags(spark, sf)
-    meta = content_metadata(m, t)
-    spaces = {"genre_only": X.genre_multihot(meta),
-              "tag_only": X.tfidf(meta, "movieId", "combined_tags", 1, 40000),
-              "content_stack": X.feature_stack(meta)}
+    counts = X.tag_term_counts(frequent_tags(t, 2))
+    spaces = {"genre_only": X.genre_multihot(m),
+              "tag_only": X.tfidf_from_counts(counts, m.agg(F.count(F.lit(1)).alias("n_docs"))),
+              "content_stack": N.content_vectors(m, t)}
     out = None
     for name, iv in spaces.items():
         recs = N.recommend_from_profile(train, m, t, k=20, item_vecs=iv).withColumnRenamed("sim", "score")
         e = V.evaluate_model(recs, test, train, m, name, REL_35)
         out = e if out is None else out.unionByName(e)
-    svd = L.svd_recommend(train, L.svd_fit(train, k=32), k=20)
-    return out.unionByName(V.evaluate_model(svd, test, train, m, "svd", REL_35))
+    model = L.svd_fit(train, k=32)
+    collab = L.svd_recommend(train, model, k=80)
+    content = N.recommend_from_profile(train, m, t, k=80).withColumnRenamed("sim", "score")
+    for name, recs in (("svd", collab.where("rank <= 20")), ("hybrid", H.hybrid_recommend(collab, content, train, m, k=20))):
+        out = out.unionByName(V.evaluate_model(recs, test, train, m, name, REL_35))
+    return out
 
 
 @query("latest_per_pair", code="W7", floats=("rating",), sql="""

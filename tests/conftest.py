@@ -3,7 +3,9 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])     # for the Python workers
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -11,7 +13,7 @@ SF001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from cinelake.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=4, app_name="cinelake-tests")
+    s = build_session(master="local[8]", shuffle_partitions=4, app_name="cinelake-tests")
     yield s
     s.stop()
 
