@@ -115,12 +115,12 @@ SELECT * FROM (
     quantile_cont(latency_ms, 0.99) AS p99, avg(latency_ms) AS mean, count(*) AS n
   FROM rating_feed GROUP BY 1)""")
 def q_stream_latency(spark, sf):
-    """Structured Streaming run to completion (availableNow, update
-    mode: latency counts of every window, open ones too), then exact
-    percentiles per window from the counts."""
+    """Structured Streaming run to completion (availableNow): latency
+    counts of every window, open ones too, then exact percentiles per window
+    from the counts."""
     from cinelake.streaming import drift as D
-    hist = D.run_windows(D.latency_histogram_stream(D.feed_stream(spark, sf)), "latency_hist", ["window_start", "latency_ms"])
-    stats = D.run_windows(D.latency_mean_stream(D.feed_stream(spark, sf)), "latency_mean", ["window_start"])
+    hist = D.run_windows(D.feed_stream(spark, sf), D.latency_histogram_stream, "latency_hist")
+    stats = D.run_windows(D.feed_stream(spark, sf), D.latency_mean_stream, "latency_mean")
     return T.latency_from_histogram(hist, stats)
 
 
@@ -144,7 +144,7 @@ def q_stream_rating_drift(spark, sf):
     """T2 as a stream: daily histograms per feed part with a watermark, then
     the KS statistic of every day against the streamed baseline."""
     from cinelake.streaming import drift as D
-    hist = D.run_windows(D.rating_histogram_stream(D.feed_stream(spark, sf)), "rating_hist", ["window_start", "event_type", "rating"])
+    hist = D.run_windows(D.feed_stream(spark, sf), D.rating_histogram_stream, "rating_hist")
     return D.ks_from_histograms(hist)
 
 
@@ -180,5 +180,5 @@ def q_stream_popularity(spark, sf):
     watermark, scored against the all-time batch ranking."""
     from cinelake.operators.popularity import bayesian_popularity
     from cinelake.streaming import drift as D
-    counts = D.run_windows(D.movie_popularity_stream(D.rating_event_stream(spark, sf)), "movie_popularity", ["window_start", "movieId"])
+    counts = D.run_windows(D.rating_event_stream(spark, sf), D.movie_popularity_stream, "movie_popularity")
     return D.window_popularity(counts, bayesian_popularity(S.interactions(spark, sf)))

@@ -64,25 +64,15 @@ def latency_mean_stream(feed: DataFrame, window: str = "6 hours") -> DataFrame:
             .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "mean", "n"))
 
 
-def run_windows(query_df: DataFrame, name: str, keys: list[str]) -> DataFrame:
-    """Run a windowed aggregate to completion (availableNow, update mode): every
-    micro-batch writes the rows of the windows it changed under its own number
-    (a repeated batch overwrites itself), and the last state of each key is the
-    result.  So windows that the watermark has not closed are there too, and
-    state of closed windows is still dropped."""
-    spark = query_df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}-{uuid.uuid4().hex[:8]}"
-    spark.createDataFrame([], query_df.schema).write.parquet(root + "/data/batch=-1")
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/data/batch={number}")
-
-    q = (query_df.writeStream.outputMode("update").foreachBatch(write)
-         .option("checkpointLocation", root + "/_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    values = [c for c in query_df.columns if c not in keys]
-    last = spark.read.parquet(root + "/data").groupBy(*keys).agg(F.max(F.struct("batch", *values)).alias("s"))
-    return last.select(*keys, *[F.col("s").getField(c).alias(c) for c in values])
+def run_windows(feed: DataFrame, aggregate, name: str) -> DataFrame:
+    """Run a windowed aggregate of a streaming ``feed`` to completion: windows
+    that the watermark closes are emitted by the stream (append mode); the rows
+    of the feed land too, and windows still open at the end are aggregated from
+    them by a batch pass, so every window is in the result."""
+    closed = run_to_table(aggregate(feed), name)
+    landed = run_to_table(feed, name + "-feed")
+    open_ones = aggregate(landed).join(closed.select("window_start").distinct(), "window_start", "left_anti")
+    return closed.unionByName(open_ones)
 
 
 def run_to_table(query_df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
