@@ -12,7 +12,7 @@ frequency table says which prediction holds: order 2, order 1, or else a class,
 whose remaining bits follow. There is a table for each state of the two higher
 orders (unknown, order 1 only, both but different, agreeing), so their weights
 adapt to how far they can be trusted. The symbols drive a range coder with carry
-over 16-bit digits.
+over 32-bit digits.
 """
 
 from __future__ import annotations
@@ -23,29 +23,25 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-MAGIC = b"TKR1"
+MAGIC = b"TKR2"
 STEP = 12                     # added to a symbol's frequency; BLOCK * STEP + the first total stays below 2**15
 FIRST = 4                     # first frequency of every symbol
 SLOTS = 512                   # of each block's order-1 and order-2 tables; a power of two
 MAX_BITS = 20                 # ids below 2**20
 
-_TOP = np.uint64(1 << 48)
+_ALL = np.uint64((1 << 64) - 1)
 _LEAST = np.uint64(1 << 32)
+_DIGIT = np.uint64(32)
 _LOW32 = np.uint64((1 << 32) - 1)
-_DIGIT = np.uint64(16)
-_CLASSES = 2 * MAX_BITS       # ids 0 and 1, then two classes for each power of two
+_CLASSES = MAX_BITS           # one class for each power of two, with ids 0 and 1 in the first
 SYMBOLS = _CLASSES + 2
 
 
 def _class_tables() -> tuple[np.ndarray, np.ndarray]:
     """Least id and number of remaining bits of each class: ids 0 and 1, then
-    the halves of every range from a power of two to the next."""
-    base, bits = [0, 1], [0, 0]
-    for e in range(1, MAX_BITS):
-        for half in (0, 1):
-            base.append((1 << e) + half * (1 << (e - 1)))
-            bits.append(e - 1)
-    return np.array(base[:_CLASSES], np.int64), np.array(bits[:_CLASSES], np.uint64)
+    every range from a power of two to the next."""
+    bits = np.maximum(np.arange(_CLASSES), 1)
+    return np.where(np.arange(_CLASSES) > 0, 1 << bits, 0).astype(np.int64), bits.astype(np.uint64)
 
 
 CLASS_BASE, CLASS_BITS = _class_tables()
@@ -68,48 +64,56 @@ class _Model:
     """Predictions and frequency tables of n blocks side by side."""
 
     def __init__(self, n: int):
-        self.lane = np.arange(n)
+        lane = np.arange(n)
+        self.slot, self.four, self.wide = lane * SLOTS, lane * 4, lane * WIDTH
         self.rows = np.tile(_START, (4 * n, 1)).view(_ROW).ravel()
         self.one = np.full(n * SLOTS, -1, np.int32)
         self.two = np.full(n * SLOTS, -1, np.int32)
-        self.c1 = np.zeros(n, np.int64)
-        self.c2 = np.zeros(n, np.int64)
+        self.c1 = np.zeros(n, np.int32)
+        self.at1, self.mixed = self.slot.copy(), np.zeros(n, np.int32)
 
     def predict(self, m: int):
         """Both predictions for the first m blocks; their table rows are in ``cum``."""
-        lane, c1 = self.lane[:m], self.c1[:m]
-        slot = lane * SLOTS
-        self.at1 = slot + (((c1 * 0x9E3779B1) >> 7) & (SLOTS - 1))
-        self.at2 = slot + (((c1 * 0x85EBCA77 + self.c2[:m] * 0xC2B2AE3D) >> 9) & (SLOTS - 1))
+        if m < len(self.c1):
+            self.c1, self.at1, self.mixed = self.c1[:m], self.at1[:m], self.mixed[:m]
+            self.slot, self.four, self.wide = self.slot[:m], self.four[:m], self.wide[:m]
+        self.at2 = self.slot + ((self.mixed ^ (self.c1 * 0x5BD1E5)) & (SLOTS - 1))
         one, two = self.one.take(self.at1), self.two.take(self.at2)
-        state = (one >= 0) + (two >= 0) * (1 + (two == one))
-        self.row = lane * 4 + np.minimum(state, 3)
-        self.cum = self.rows.take(self.row).view(np.int16).reshape(m, WIDTH)
-        self.base = lane * WIDTH
+        self.row = self.four + (two >= 0)
+        self.row += self.row
+        self.row -= self.four
+        self.row += two == one
+        self.cum = self.rows.take(self.row).view(np.int16)
         return one, two
 
     def total(self):
-        return self.cum[:, SYMBOLS].astype(np.uint64)
+        return self.cum[SYMBOLS::WIDTH].astype(np.uint64)
 
     def find(self, value):
         """The symbol in whose range each value lies."""
-        below = (self.cum <= value[:, None]).view(np.uint64).sum(axis=1)
-        return ((below * _BYTE_SUM) >> np.uint64(56)).astype(np.int64) - 1
+        below = (self.cum.reshape(-1, WIDTH) <= value[:, None]).view(np.uint64)
+        count = below[:, 0].copy()
+        for k in range(1, WIDTH // 8):
+            count += below[:, k]
+        count *= _BYTE_SUM
+        return (count >> np.uint64(56)).astype(np.int64) - 1
 
     def bounds(self, symbol):
         """Running frequency before each symbol, and its own frequency."""
-        at = self.base + symbol
-        start = self.cum.ravel().take(at)
-        return start.astype(np.uint64), (self.cum.ravel().take(at + 1) - start).astype(np.uint64)
+        at = self.wide + symbol
+        start = self.cum.take(at)
+        at += 1
+        return start.astype(np.uint64), (self.cum.take(at) - start).astype(np.uint64)
 
-    def learn(self, m: int, symbol, ids):
-        self.cum += _RAISE_ROWS.take(symbol).view(np.int16).reshape(m, WIDTH)
-        self.rows[self.row] = self.cum.view(_ROW).ravel()
-        ids = ids.astype(np.int32)
+    def learn(self, symbol, ids):
+        """``ids`` (32 bits) followed; the next contexts are theirs."""
+        self.cum += _RAISE_ROWS.take(symbol).view(np.int16)
+        self.rows[self.row] = self.cum.view(_ROW)
         self.one[self.at1] = ids
         self.two[self.at2] = ids
-        self.c2[:m] = self.c1[:m]
-        self.c1[:m] = ids
+        self.mixed = (self.c1 * 0x2C1B3C) >> 5
+        self.c1 = ids
+        self.at1 = self.slot + (((ids * 0x297A2D) >> 8) & (SLOTS - 1))
 
 
 def _active(sizes: np.ndarray) -> np.ndarray:
@@ -128,51 +132,45 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     flat = np.zeros(n * block, np.int32)
     flat[:len(ids)] = ids
     grid = np.ascontiguousarray(flat.reshape(n, block).T)
-    model = _Model(n)
-    low, span = np.zeros(n, np.uint64), np.full(n, _TOP)
-    digits = np.zeros((2 * block + 4, n), np.uint32)
+    model, done = _Model(n), []
+    low, span = np.zeros(n, np.uint64), np.full(n, _ALL)
+    digits = np.zeros((block * 5 // 4 + 8, n), np.uint64)
     used = np.zeros(n, np.int64)
-
-    def shift(m):
-        out = np.flatnonzero(span[:m] < _LEAST)
-        if len(out):
-            digits[used[out], out] = (low[out] >> np.uint64(32)).astype(np.uint32)
-            low[out] = (low[out] & _LOW32) << _DIGIT
-            span[out] <<= _DIGIT
-            used[out] += 1
-
-    def carry(m):
-        over = np.flatnonzero(low[:m] >= _TOP)
-        if len(over):
-            low[over] -= _TOP
-            digits[used[over] - 1, over] += 1
-
     for t, m in enumerate(_active(sizes).tolist()):
-        now = grid[t, :m].astype(np.int64)
+        now = grid[t, :m]
+        if m < len(low):                                    # the last block is shorter: its state stays as it is
+            done.append((low[m:], used[m:]))
+            low, span, used = low[:m], span[:m], used[:m]
         one, two = model.predict(m)
-        symbol = np.where(two == now, 0, np.where(one == now, 1, CLASS_OF.take(now) + 2))
+        cls = CLASS_OF.take(now)
+        symbol = np.where(two == now, 0, np.where(one == now, 1, cls + 2))
         start, size = model.bounds(symbol)
-        r = span[:m] // model.total()
-        low[:m] += r * start
-        span[:m] = r * size
-        carry(m)
-        shift(m)
-        bits = _BITS[symbol]
-        r = span[:m] >> bits
-        rest = (now - _BASE[symbol]).astype(np.uint64)
-        low[:m] += np.where(bits > 0, r * rest, np.uint64(0))
-        span[:m] = r
-        carry(m)
-        shift(m)
-        model.learn(m, symbol, now)
+        r = span // model.total()
+        add = r * start
+        r *= size
+        r >>= _BITS.take(symbol)
+        rest = (now - _BASE.take(symbol)) * (symbol > 1)
+        add += r * rest.astype(np.uint64)
+        add += low
+        over = np.flatnonzero(add < low)
+        if len(over):
+            digits[used[over] - 1, over] += np.uint64(1)
+        low, span = add, r
+        out = np.flatnonzero(span < _LEAST)
+        digits[used[out], out] = low[out] >> _DIGIT
+        low[out] <<= _DIGIT
+        span[out] <<= _DIGIT
+        used[out] += 1
+        model.learn(symbol, now)
+    for rest_low, rest_used in reversed(done):
+        low, used = np.concatenate([low, rest_low]), np.concatenate([used, rest_used])
     lanes = np.arange(n)
-    for k in (32, 16, 0):                                   # the last three digits
-        digits[used, lanes] = ((low >> np.uint64(k)) & np.uint64(0xFFFF)).astype(np.uint32)
+    for k in (32, 0):                                       # the last two digits
+        digits[used, lanes] = (low >> np.uint64(k)) & _LOW32
         used += 1
-    for c in range(len(digits) - 1, 0, -1):
-        digits[c - 1] += digits[c] >> 16
-        digits[c] &= 0xFFFF
-    out = np.ascontiguousarray(digits.T).astype(">u2")
+    for c in range(int(used.max()) - 1, 0, -1):
+        digits[c - 1] += digits[c] >> _DIGIT
+    out = np.ascontiguousarray(digits[:int(used.max())].T.astype(np.uint32)).astype(">u4")
     return [out[i, :used[i]].tobytes() for i in range(n)]
 
 
@@ -181,44 +179,36 @@ def decode_blocks(blocks: list[bytes], sizes: np.ndarray) -> np.ndarray:
     n = len(blocks)
     if not n:
         return np.zeros(0, np.uint32)
-    lengths = np.array([len(b) // 2 for b in blocks])
+    lengths = np.array([len(b) // 4 for b in blocks])
     starts = np.concatenate([[0], np.cumsum(lengths)])
-    stream = np.concatenate([np.frombuffer(b"".join(blocks), ">u2").astype(np.uint64), np.zeros(8, np.uint64)])
+    stream = np.concatenate([np.frombuffer(b"".join(blocks), ">u4").astype(np.uint64), np.zeros(8, np.uint64)])
     model = _Model(n)
-    at = starts[:-1].copy()
-    code = np.zeros(n, np.uint64)
-    for _ in range(3):
-        code = (code << _DIGIT) | stream.take(at, mode="clip")
-        at += 1
-    span = np.full(n, _TOP)
+    at = starts[:-1] + 2
+    code = (stream.take(at - 2, mode="clip") << _DIGIT) | stream.take(at - 1, mode="clip")     # damaged data may run on
+    span = np.full(n, _ALL)
     out = np.zeros((int(sizes[0]), n), np.int32)
-
-    def shift(m):
-        more = np.flatnonzero(span[:m] < _LEAST)
-        if len(more):
-            code[more] = (code[more] << _DIGIT) | stream.take(at[more], mode="clip")     # damaged data may run on
-            span[more] <<= _DIGIT
-            at[more] += 1
-
     for t, m in enumerate(_active(sizes).tolist()):
+        if m < len(code):
+            code, span, at = code[:m], span[:m], at[:m]
         one, two = model.predict(m)
         total = model.total()
-        r = span[:m] // total
-        value = np.minimum(code[:m] // r, total - np.uint64(1)).astype(np.int16)
+        r = span // total
+        value = np.minimum(code // r, total - np.uint64(1)).astype(np.int16)
         symbol = model.find(value)
         start, size = model.bounds(symbol)
-        code[:m] -= r * start
-        span[:m] = r * size
-        shift(m)
-        bits = _BITS[symbol]
-        r = span[:m] >> bits
-        rest = np.where(bits > 0, np.minimum(code[:m] // r, (np.uint64(1) << bits) - np.uint64(1)), np.uint64(0))
-        code[:m] -= r * rest
-        span[:m] = r
-        shift(m)
-        ids = np.where(symbol == 0, two, np.where(symbol == 1, one, _BASE[symbol] + rest.astype(np.int64)))
+        code = code - r * start
+        r *= size
+        r >>= _BITS.take(symbol)
+        rest = code // r
+        code -= r * rest
+        span = r
+        more = np.flatnonzero(span < _LEAST)
+        code[more] = (code[more] << _DIGIT) | stream.take(at[more], mode="clip")
+        span[more] <<= _DIGIT
+        at[more] += 1
+        ids = np.where(symbol > 1, _BASE.take(symbol) + rest.astype(np.int64), np.where(symbol == 1, one, two)).astype(np.int32)
         out[t, :m] = ids
-        model.learn(m, symbol, ids)
+        model.learn(symbol, ids)
     return np.concatenate([out[:s, i] for i, s in enumerate(sizes.tolist())]).astype(np.uint32)
 
 
