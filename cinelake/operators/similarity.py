@@ -36,6 +36,8 @@ DENSE_CELLS = 8_000_000      # max doubles in one term-chunk of a block (64 MB)
 MAX_PAIRS = 8_000_000        # max expanded (seed entry, item entry) pairs per step
 SPARSE_COST = 300            # cost of one expanded pair relative to one dense multiply-add
 OUT_SCHEMA = "sid long, iid long, sim double"
+HOT_ROWS = 200_000           # an id with more entries is scored by the term join, not inside a block
+MAX_BLOCK_ROWS = 4_000_000   # entries of one side of a block pair, about
 
 
 def l2_normalize(vecs: DataFrame) -> DataFrame:
@@ -186,21 +188,44 @@ def _block_counts(seeds: DataFrame, items: DataFrame, same: bool, block_size: in
     ns, rs = _shape(seeds)
     ni, ri = (ns, rs) if same else _shape(items)
     if same or not (ns and ni and rs and ri):
-        return max(1, math.ceil(ns / block_size)), max(1, math.ceil(ni / block_size))
+        return (max(1, math.ceil(ns / block_size), math.ceil(rs / MAX_BLOCK_ROWS)),
+                max(1, math.ceil(ni / block_size), math.ceil(ri / MAX_BLOCK_ROWS)))
     y = min(max(math.sqrt(rs * ni * cells / (ri * ns)), 1.0), float(ni), cells)
     x = min(max(cells / y, 1.0), float(ns))
     y = min(float(ni), cells / x)
-    return max(1, math.ceil(ns / x)), max(1, math.ceil(ni / y))
+    return (max(1, math.ceil(ns / x), math.ceil(rs / MAX_BLOCK_ROWS)),
+            max(1, math.ceil(ni / y), math.ceil(ri / MAX_BLOCK_ROWS)))
+
+
+def _hot_ids(vecs: DataFrame, hot_rows: int) -> DataFrame | None:
+    """Ids with more than ``hot_rows`` entries, or None."""
+    hot = cut_lineage(vecs.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select("id"))
+    return hot if hot.limit(1).count() else None
+
+
+def _term_join(seeds: DataFrame, items: DataFrame, exclude: DataFrame | None, exclude_self: bool, min_sim: float) -> DataFrame:
+    """(sid, iid, sim) of every pair with a shared term and sim > min_sim."""
+    s = seeds.select(F.col("id").cast("long").alias("sid"), "term", F.col("w").cast("double").alias("sw"))
+    i = items.select(F.col("id").cast("long").alias("iid"), "term", F.col("w").cast("double").alias("iw"))
+    out = s.join(i, "term").groupBy("sid", "iid").agg(F.round(F.sum(F.col("sw") * F.col("iw")), 12).alias("sim")).where(
+        F.col("sim") > F.lit(min_sim))
+    if exclude_self:
+        out = out.where("sid <> iid")
+    if exclude is not None:
+        out = out.join(exclude.select(F.col("sid").cast("long"), F.col("iid").cast("long")), ["sid", "iid"], "left_anti")
+    return out
 
 
 def blocked_topk(seeds: DataFrame, items: DataFrame, k: int, *, exclude: DataFrame | None = None,
                  exclude_self: bool = True, min_sim: float = 0.0, strict: bool = True,
-                 block_size: int = 2048, normalize: bool = True) -> DataFrame:
+                 block_size: int = 2048, normalize: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Top-k items per seed by cosine (dot product of unit vectors).
 
     ``seeds`` / ``items``: ``(id, term, w)``; ``exclude``: ``(sid, iid)`` pairs
     never returned.  Keeps ``sim > min_sim`` (``>=`` when ``strict=False``).
-    Output ``(sid, iid, sim, rank)`` ordered by sim desc, iid asc.
+    Output ``(sid, iid, sim, rank)`` ordered by sim desc, iid asc.  Hot ids are
+    split off where only pairs with a shared term can rank (``strict`` and
+    ``min_sim >= 0``); other callers pass vectors of a fixed number of entries.
     """
     same = seeds is items
     if normalize:
@@ -210,6 +235,17 @@ def blocked_topk(seeds: DataFrame, items: DataFrame, k: int, *, exclude: DataFra
     # write them once instead of recomputing their lineage for every consumer
     seeds = cut_lineage(seeds)
     items = seeds if same else cut_lineage(items)
+    apart = []
+    if strict and min_sim >= 0:
+        hot_s = _hot_ids(seeds, hot_rows)
+        hot_i = hot_s if same else _hot_ids(items, hot_rows)
+        if hot_s is not None:
+            apart.append(_term_join(seeds.join(hot_s, "id", "left_semi"), items, exclude, exclude_self, min_sim))
+        rest = seeds if hot_s is None else cut_lineage(seeds.join(hot_s, "id", "left_anti"))
+        if hot_i is not None:
+            apart.append(_term_join(rest, items.join(hot_i, "id", "left_semi"), exclude, exclude_self, min_sim))
+        items = (rest if same else items) if hot_i is None or same else cut_lineage(items.join(hot_i, "id", "left_anti"))
+        seeds = rest
     bs, bi = _block_counts(seeds, items, same, block_size)
     blk = lambda c, n: F.pmod(F.xxhash64(F.col(c)), F.lit(n)).cast("int")
     # fresh aliases on both sides: seeds and items may be the same frame
@@ -232,6 +268,8 @@ def blocked_topk(seeds: DataFrame, items: DataFrame, k: int, *, exclude: DataFra
     # 1 exclusion, 2 item vector): one shuffle on the block pair
     local = (s.unionByName(i).groupBy("ib", "jb")
              .applyInPandas(_kernel(k, exclude_self, min_sim, strict), OUT_SCHEMA))
+    for pairs in apart:
+        local = local.unionByName(pairs)
     return top_k_per_group(local, "sid", k, [F.col("sim").desc(), F.col("iid").asc()])
 
 

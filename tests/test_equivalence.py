@@ -100,6 +100,33 @@ def test_blocked_topk_matches_brute_force(spark):
         assert mine == exp
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_blocked_topk_splits_hot_ids(spark, same):
+    """One id holds a third of all entries; it and others above the bound are
+    scored by the term join, in several blocks and with exclusions."""
+    rng = np.random.default_rng(9)
+    n, d = 60, 300
+    X = rng.random((n, d)) * (rng.random((n, d)) < 0.03)
+    X[7] = rng.random(d)
+    X[20, :80] = 1.0
+    Y = X if same else rng.random((40, d)) * (rng.random((40, d)) < 0.05)
+    if not same:
+        Y[3] = 0.5
+
+    def table(M):
+        return spark.createDataFrame([(int(i), int(j), float(M[i, j])) for i, j in zip(*np.nonzero(M))], "id long, term long, w double")
+    v = table(X)
+    ex = [(7, 20), (20, 7), (1, 7), (2, 3)]
+    exclude = spark.createDataFrame(ex, "sid long, iid long")
+    got = blocked_topk(v, v if same else table(Y), 5, exclude=exclude, exclude_self=same, block_size=16, hot_rows=40).collect()
+    A, B = (M / np.maximum(np.linalg.norm(M, axis=1, keepdims=True), 1e-300) for M in (X, Y))
+    S = A @ B.T
+    for i in range(n):
+        cand = [(round(S[i, j], 12), j) for j in range(len(Y)) if S[i, j] > 0 and not (same and i == j) and (i, j) not in ex]
+        want = [j for _, j in sorted(cand, key=lambda t: (-t[0], t[1]))[:5]]
+        assert [r.iid for r in sorted((r for r in got if r.sid == i), key=lambda r: r["rank"])] == want
+
+
 def test_first_k_unseen_matches_brute_force(spark):
     rnd = random.Random(11)
     seen = {u: set(rnd.sample(range(1, 40), rnd.randint(0, 20))) for u in range(15)}
