@@ -4,14 +4,16 @@ twins of the streaming jobs T2, T3, T5).
 Two-sample KS: D = max |F_base(x) - F_live(x)| from per-value counts and
 distributed running sums; the p-value uses the asymptotic Kolmogorov series
 ``2 * sum_k (-1)^(k-1) exp(-2 k^2 lambda^2)`` with
-``lambda = D * sqrt(n1 n2 / (n1 + n2))`` (small differences to exact
-small-sample p-values are expected).
+``lambda = D * sqrt(n1 n2 / (n1 + n2))``, or, where asked for and both samples
+are small, the exact probability.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinelake.functions.ranking import global_running_sums, top_k_global
 
@@ -66,11 +68,37 @@ def ks_from_counts(base: DataFrame, live: DataFrame, group: str) -> DataFrame:
         F.max(F.greatest(F.abs(fb - fl), F.abs(fb_before - fl_before))).alias("D"))
 
 
-def ks_report(stat: DataFrame, min_live: int = 3, alpha: float = 0.05) -> DataFrame:
-    """T1 result columns from (n_base, n_live, D)."""
+def exact_ks_p(d: float, n1: int, n2: int) -> float:
+    """P(D >= d) of the two-sample statistic when both samples come from one
+    continuous distribution.  All orders of n1 + n2 values are equally likely;
+    the share whose path (i/n1, j/n2) stays nearer than d to the diagonal is
+    built up row by row, each row a running sum over the band that is allowed."""
+    import numpy as np
+    near = (np.ceil(round(d * n1 * n2, 6)) - 0.5) / (n1 * n2)       # d is a multiple of 1 / (n1 n2)
+    j = np.arange(n2 + 1) / n2
+    row = (j < near).astype(float)                                  # share of orders, scaled to the prefix seen
+    for i in range(1, n1 + 1):
+        band = np.abs(i / n1 - j) < near
+        row = np.where(band, np.cumsum(np.where(band, row * (i / (i + n2)), 0.0)), 0.0)
+    return float(min(1.0, max(0.0, 1.0 - row[-1])))
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    return pd.Series([exact_ks_p(float(x), int(min(a, b)), int(max(a, b))) for x, a, b in zip(d, n1, n2)])
+
+
+def ks_report(stat: DataFrame, min_live: int = 3, alpha: float = 0.05, exact_below: int = 0) -> DataFrame:
+    """T1 result columns from (n_base, n_live, D).  Samples of at most
+    ``exact_below`` values get the exact p-value, one row per comparison."""
     lam = F.col("D") * F.sqrt(F.col("n_base") * F.col("n_live") / (F.col("n_base") + F.col("n_live")))
     small = F.col("n_live") < min_live
-    p = F.when(small, F.lit(1.0)).otherwise(ks_p_value(lam))
+    p = ks_p_value(lam)
+    if exact_below:
+        few = F.greatest("n_base", "n_live") <= exact_below
+        bounded = [F.when(few, F.col(c)).otherwise(F.lit(1)) for c in ("n_base", "n_live")]      # larger ones cost nothing
+        p = F.when(few, _exact_p(F.col("D"), *bounded)).otherwise(p)
+    p = F.when(small, F.lit(1.0)).otherwise(p)
     d = F.when(small, F.lit(0.0)).otherwise(F.col("D"))
     drift = (~small) & (p < alpha)
     # fixed output texts
@@ -83,9 +111,9 @@ def ks_report(stat: DataFrame, min_live: int = 3, alpha: float = 0.05) -> DataFr
                        F.col("n_live").alias("sample_size"), interp.alias("interpretation"))
 
 
-def ks_drift(base: DataFrame, live: DataFrame, value: str = "rating") -> DataFrame:
+def ks_drift(base: DataFrame, live: DataFrame, value: str = "rating", exact_below: int = 0) -> DataFrame:
     """KS drift of live vs baseline values."""
-    return ks_report(ks_statistic(base, live, value))
+    return ks_report(ks_statistic(base, live, value), exact_below=exact_below)
 
 
 def psi(base: DataFrame, live: DataFrame, value: str = "rating", eps: float = PSI_EPS) -> DataFrame:
@@ -126,11 +154,11 @@ def daily_windows(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn("day", F.date_format(F.col(ts), "yyyy-MM-dd"))
 
 
-def rating_drift_by_day(feed: DataFrame, base_type: str = "view", live_type: str = "purchase") -> DataFrame:
+def rating_drift_by_day(feed: DataFrame, base_type: str = "view", live_type: str = "purchase", exact_below: int = 0) -> DataFrame:
     """T2 batch twin: KS of each day's live ratings against the whole baseline."""
     base = feed.where(F.col("event_type") == base_type)
     live = daily_windows(feed.where(F.col("event_type") == live_type))
-    return ks_report(ks_statistic(base, live, "rating", group="day"))
+    return ks_report(ks_statistic(base, live, "rating", group="day"), exact_below=exact_below)
 
 
 def latency_by_window(feed: DataFrame, hours: int = 6) -> DataFrame:

@@ -72,13 +72,18 @@ def genre_buckets(movies: DataFrame, ratings: DataFrame, depth: int, m: float =
     return top_k_per_group(g, "genre", depth, order_cols(), rank_col="pos")
 
 
-def round_robin_merge(requests: DataFrame, buckets: DataFrame, k: int) -> DataFrame:
+def round_robin_merge(requests: DataFrame, buckets: DataFrame, k: int, exclude: DataFrame | None = None,
+                      n_excluded: DataFrame | None = None) -> DataFrame:
     """Interleave each request's genre buckets.  Round = position in the
     bucket; within a round genres go in preference order; a movie already taken
     in an earlier (round, genre) is skipped; rounds run while fewer than k
-    movies were taken before them.  -> (req_id, gpos, pos, movieId, score)."""
+    movies were taken before them; ``exclude``d rows are skipped.
+    -> (req_id, gpos, pos, movieId, score)."""
     req = (requests.select("req_id", F.posexplode(F.array_distinct("genres")).alias("gpos", "genre")))
     cand = req.join(buckets, "genre")
+    if exclude is not None:
+        cand = (cand.join(n_excluded, "req_id", "left").where(F.col("pos") <= k + F.coalesce("n_excluded", F.lit(0))).drop("n_excluded")
+                .join(exclude, ["req_id", "movieId"], "left_anti"))
     seq = Window.partitionBy("req_id", "movieId").orderBy("pos", "gpos")
     first = cand.withColumn("dup", F.row_number().over(seq)).where("dup = 1")
     per_round = first.groupBy("req_id", "pos").agg(F.count(F.lit(1)).alias("n_round"))
@@ -89,7 +94,7 @@ def round_robin_merge(requests: DataFrame, buckets: DataFrame, k: int) -> DataFr
 
 
 def genre_onboarding(requests: DataFrame, movies: DataFrame, ratings: DataFrame, k: int = 10,
-                     m: float = 50.0, strict_k: bool = False) -> DataFrame:
+                     m: float = 50.0, strict_k: bool = False, exclude: DataFrame | None = None) -> DataFrame:
     """Round-robin over each request's preferred genres (R11 via W6).
 
     ``requests``: (req_id, genres ARRAY<STRING>) in preference order.  Round r
@@ -103,11 +108,27 @@ def genre_onboarding(requests: DataFrame, movies: DataFrame, ratings: DataFrame,
     bucket is exhausted; positions beyond k are never needed.  The buckets
     therefore hold n_genres x k rows and the per-request candidates are at most
     k x |genres|.
+
+    ``exclude``: (req_id, movieId) rows never returned; they keep their place in
+    the buckets, so a request with s of them needs k + s positions.
     """
-    picked = round_robin_merge(requests, genre_buckets(movies, ratings, k, m), k)
+    if exclude is None:
+        picked = round_robin_merge(requests, genre_buckets(movies, ratings, k, m), k)
+    else:
+        exclude = exclude.select("req_id", "movieId").distinct()
+        own = exclude.groupBy("req_id").agg(F.count(F.lit(1)).alias("n_excluded"))
+        most = own.agg(F.max("n_excluded").alias("n")).first()["n"] or 0
+        picked = round_robin_merge(requests, genre_buckets(movies, ratings, k + most, m), k, exclude, own)
     out = top_k_per_group(picked, "req_id", k if strict_k else None, [F.col("pos"), F.col("gpos")])
     out = out.select("req_id", "rank", "movieId", "score")
     missing = requests.select("req_id").join(out.select("req_id").distinct(), "req_id", "left_anti")
+    if exclude is not None:
+        ranked = global_rank(bayesian_popularity(ratings, m).select("movieId", "score"), order_cols(), rank_col="pop_rank")
+        asked = missing.select(F.col("req_id").alias("userId"))
+        seen = (exclude.join(missing, "req_id", "left_semi").join(ranked.select("movieId", "pop_rank"), "movieId")
+                .select(F.col("req_id").alias("userId"), "pop_rank"))
+        left = first_k_unseen(seen, asked, k).join(ranked, "pop_rank")
+        return out.unionByName(left.select(F.col("userId").alias("req_id"), "rank", "movieId", "score"))
     fb = top_k_global(bayesian_popularity(ratings, m), k, order_cols())
     fallback = missing.crossJoin(F.broadcast(fb.select("rank", "movieId", "score")))
     return out.unionByName(fallback.select("req_id", "rank", "movieId", "score"))

@@ -40,6 +40,13 @@ def q_ks_drift(spark, sf):
     return T.ks_drift(f.where(F.col("event_type") == "view"), f.where(F.col("event_type") == "purchase"))
 
 
+@query("rating_drift_exact", code="T1 (exact p)")
+def q_rating_drift_exact(spark, sf):
+    """Daily KS drift with the exact p-value where both samples have at most
+    10,000 values (no SQL form; checked by enumeration in tests)."""
+    return T.rating_drift_by_day(S.rating_feed(spark, sf), exact_below=10_000)
+
+
 @query("psi", code="T4", floats=("psi",), sql="""
 , b AS (SELECT rating AS x, count(*) AS cb FROM rating_feed WHERE event_type = 'view' GROUP BY 1)
 , l AS (SELECT rating AS x, count(*) AS cl FROM rating_feed WHERE event_type = 'purchase' GROUP BY 1)

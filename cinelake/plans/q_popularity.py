@@ -93,6 +93,24 @@ def q_genre_onboarding(spark, sf):
     return P.genre_onboarding(P.first_rated_genres(r, m), m, r, k=10)
 
 
+ONBOARD_UNSEEN_SQL = (ONBOARD_SQL
+    .replace("FROM req r JOIN buckets b ON b.genre = r.genre)", """FROM req r JOIN buckets b ON b.genre = r.genre
+    WHERE NOT EXISTS (SELECT 1 FROM interactions i WHERE i.userId = r.req_id AND i.movieId = b.movieId))""")
+    .split("UNION ALL")[0] + """UNION ALL
+SELECT req_id, rank, movieId, score FROM (
+  SELECT u.req_id, p.movieId, p.score, row_number() OVER (PARTITION BY u.req_id ORDER BY p.score DESC, p.movieId) AS rank
+  FROM (SELECT userId AS req_id FROM firstm WHERE userId NOT IN (SELECT req_id FROM picked)) u CROSS JOIN pop p
+  WHERE NOT EXISTS (SELECT 1 FROM interactions i WHERE i.userId = u.req_id AND i.movieId = p.movieId))
+WHERE rank <= 10""")
+
+
+@query("genre_onboarding_unseen", code="R11", floats=("score",), sql=ONBOARD_UNSEEN_SQL)
+def q_genre_onboarding_unseen(spark, sf):
+    """Genre onboarding that leaves out what each user has rated."""
+    r, m = S.interactions(spark, sf), S.movies(spark, sf)
+    return P.genre_onboarding(P.first_rated_genres(r, m), m, r, k=10, exclude=r.select(F.col("userId").alias("req_id"), "movieId"))
+
+
 @query("popular_seeds", code="P14", floats=("score",), sql="""
 SELECT row_number() OVER (ORDER BY score DESC, movieId) AS rank, movieId, title, score FROM (
   SELECT p.movieId, m.title, p.score FROM pop p JOIN movies m ON m.movieId = p.movieId

@@ -73,3 +73,25 @@ def test_latency_summary_empty_is_zero(spark):
     e = spark.createDataFrame([], "latency_ms double")
     got = T.latency_summary(e).first()
     assert (got.p50, got.p95, got.p99, got.mean) == (0.0, 0.0, 0.0, 0.0)
+
+
+@pytest.mark.parametrize("n1,n2", [(3, 4), (4, 6), (5, 5), (2, 9)])
+def test_exact_ks_p_by_enumeration(n1, n2):
+    from itertools import combinations
+    far = []
+    for c in combinations(range(n1 + n2), n1):
+        steps = np.isin(np.arange(n1 + n2), c)
+        far.append(np.abs(np.cumsum(steps) / n1 - np.cumsum(~steps) / n2).max())
+    far = np.array(far)
+    for d in sorted({round(x, 12) for x in far}):
+        assert T.exact_ks_p(d, n1, n2) == pytest.approx((far >= d - 1e-9).mean())
+
+
+def test_exact_p_replaces_the_series_for_small_samples(spark, sf):
+    from cinelake.plans.registry import load_all
+    from cinelake.sources import tables as S
+    stat = T.ks_statistic(S.rating_feed(spark, sf).where("event_type = 'view'"),
+                          T.daily_windows(S.rating_feed(spark, sf).where("event_type = 'purchase'")), "rating", group="day")
+    want = {r.day: T.exact_ks_p(r.D, min(r.n_base, r.n_live), max(r.n_base, r.n_live)) for r in stat.collect() if r.n_live >= 3}
+    got = {r.day: r for r in load_all()["rating_drift_exact"].spark(spark, sf).collect()}
+    assert want and all(got[d].p_value == pytest.approx(p, abs=1e-6) and got[d].drift_detected == (p < 0.05) for d, p in want.items())

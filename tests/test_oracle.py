@@ -12,7 +12,7 @@ from cinelake.plans.registry import load_all
 REG = load_all()
 # keys whose values test_model_values.py checks
 ELSEWHERE = {"svd_explained_variance", "svd_predict", "svd_recommend", "svd_fit", "latent_item_neighbours", "logistic_preference",
-             "gbt_preference", "feature_importance", "pca_dense", "fit_pipeline", "pipeline_recommend"}
+             "rating_drift_exact", "gbt_preference", "feature_importance", "pca_dense", "fit_pipeline", "pipeline_recommend"}
 SLOW = {"benchmark_models", "component_ablation", "hybrid_recommend", "benchmark_report", "personalization_lift",
         "recommend_from_profile", "tfidf_documents", "write_report", "full_outer_candidates", "union_candidates",
         "hybrid_fuse", "genre_penalty_prefix", "diversity_rerank", "corating_self_join"}
