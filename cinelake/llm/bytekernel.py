@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 BASE = 0x9E3779B97F4A7C15          # odd, so that it has an inverse modulo 2**64
 WORD_BASE = 0xC2B2AE3D27D4EB4F
 

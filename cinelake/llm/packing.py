@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.llm.common import mixed_partitions, written
-from cinelake.llm.tokens import encoder, text_groups
+from cinelake.llm.tokens import encoder, row_groups, text_groups
 
 WINDOW = 2048
 SHARD = 512                    # tails of one inverted index
@@ -50,7 +50,7 @@ def _sketches(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _tokenise(path: str, window: int, end_id: int):
     def run(batches):
-        for batch in batches:
+        for batch in row_groups(batches):
             ids_of, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             at = 0
             for group in text_groups([t or "" for t in texts]):
@@ -150,7 +150,7 @@ def _pack(window: int, shard: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
         pool, fresh, doc_type = [], 0, None   # pool: ((doc_id, start, doc_tokens), ids)
-        for batch in batches:
+        for batch in row_groups(batches):
             doc_type = batch.column("doc_id").type
             for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "doc_tokens", "ids"))):
                 pool.append((r[:3], np.frombuffer(r[3], "<u4")))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cinelake.llm.common import mixed_partitions
 from cinelake.llm.rangecoder import BLOCK, pack_segment, unpack_segment
-from cinelake.llm.tokens import encoder, text_groups
+from cinelake.llm.tokens import encoder, row_groups, text_groups
 
 SEGMENT = 2048 * BLOCK         # ids from which a segment is closed
 
@@ -47,7 +47,7 @@ def _write(path: str, end_id: int, segment: int):
             number, before, held, names, sizes, ids = number + 1, before + len(flat), 0, [], [], []
             return row
 
-        for batch in batches:
+        for batch in row_groups(batches):
             doc_ids, at = batch.column("doc_id"), 0
             for group in text_groups([t or "" for t in batch.column("text").to_pylist()]):
                 for i, found in enumerate(encoder(path).encode(group)):

@@ -17,9 +17,10 @@ from itertools import repeat
 
 import numpy as np
 
-CACHE_UNITS = 1_200_000
-CACHE_IDS = 8_000_000
+CACHE_UNITS = 500_000
+CACHE_IDS = 4_000_000
 JOINED_UNITS = 20_000
+ROWS = 1000                    # of an Arrow batch whose texts are Python strings at a time
 
 _INNER_SPACE = re.compile(r"\s")
 _STOPS = (".", ",")
@@ -141,6 +142,13 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def row_groups(batches, rows: int = ROWS):
+    """The Arrow batches in slices of at most ``rows`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_groups(texts: list[str], chars: int = 1 << 21):
     """Consecutive groups of at most ``chars`` characters, or one longer text."""
     group, size = [], 0
