@@ -17,8 +17,8 @@ from itertools import repeat
 
 import numpy as np
 
-CACHE_UNITS = 500_000
-CACHE_IDS = 4_000_000
+CACHE_UNITS = 800_000
+CACHE_IDS = 5_500_000
 JOINED_UNITS = 20_000
 ROWS = 1000                    # of an Arrow batch whose texts are Python strings at a time
 
