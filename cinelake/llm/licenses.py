@@ -1,22 +1,32 @@
 """Licence recognition by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences (at line ends and behind ``. ! ? ; :`` before
-white space), each is normalised (lower case, every run of characters other
-than a-z 0-9 . + - one blank, no full stops at the end) and known licence
-sentences become identifiers. A rule is an ordered sequence of identifiers; it
-matches where they follow one another in the document's sequence of
-identifiers, other text between them not counted. A rule that is part of a
-longer matching rule of the same licence is not listed.
+A text becomes words (lower case, every run of characters other than
+a-z 0-9 . + - one blank) with marks between sentences and lines: a hard mark
+behind ``. ! ?`` before white space and for blank lines, a soft one behind
+``; :`` before blanks and for other line ends; full stops and blanks at a mark
+are dropped. A known licence sentence, in any of its wordings, is found where
+its words follow one another from one mark to another, with any soft marks
+between them (wrapped lines) and hard ones only where the wording has them. Of
+sentences that overlap the one that begins first counts, of those the longest.
+The found sentences become identifiers. A rule is an ordered sequence of
+identifiers; it matches where they follow one another in the document's
+sequence of identifiers, other text between them not counted. A rule that is
+part of a longer matching rule of the same licence is not listed.
 
 Only texts with one of ``HINTS`` are cut at all; every known sentence holds one
 of them, so nothing is lost.
 
+``ORACLE_SQL`` knows the sentences of ``SENTENCES`` only, each within one piece
+between two cuts; it agrees for texts without wrapped or other wordings.
+
 Defined results: one row out per row in. Null, empty and licence-free texts have
 empty lists. Repeated rows get equal results. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +66,27 @@ SENTENCES = {
     "reserved": "all rights reserved",
 }
 
+# Further standard wordings, (identifier, wording). A | stands where
+# the standard text has a sentence end or a blank line inside.
+WORDINGS = [
+    ("apache-under", "licensed under the apache license version 2.0 the license"),
+    ("apache-copy", "you may obtain a copy of the license at | http www.apache.org licenses license-2.0"),
+    ("apache-copy", "you may obtain a copy of the license at | https www.apache.org licenses license-2.0"),
+    ("mit-title", "mit license"),
+    ("mit-title", "the mit license mit"),
+    ("mit-notice", "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or "
+                   "substantial portions of the software"),
+    ("mpl-subject", "this source code form is subject to the terms of the mozilla public license v | 2.0"),
+    ("cc-by", "this work is licensed under cc by 4.0"),
+    ("cc-by-sa", "this work is licensed under cc by-sa 4.0"),
+    ("cc-by-nc", "this work is licensed under cc by-nc 4.0"),
+    ("cc-by-long", "this work is licensed under the creative commons attribution 4.0 international license"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution-sharealike 4.0 international license"),
+    ("cc-by-sa", "this work is licensed under the creative commons attribution-sharealike 4.0 international license"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution-noncommercial 4.0 international license"),
+    ("cc-by-nc", "this work is licensed under the creative commons attribution-noncommercial 4.0 international license"),
+]
+
 # Rules in order, (rule, licence, sequence of identifiers).
 RULES = [
     ("apache-2.0-header", "Apache-2.0", ("apache-under", "apache-comply", "apache-copy", "apache-warranty", "apache-see")),
@@ -85,6 +116,28 @@ CUT = r"[.!?;:]+\s+|[.!?;:]*\n+"
 OTHER = r"[^a-z0-9.+-]+"
 
 
+# Wordings as they are looked up, with their identifiers.
+KNOWN = {w.replace(" | ", " "): i for i, w in [*SENTENCES.items(), *WORDINGS]}
+
+
+def _marked(text):
+    """The words of a lower-case text with | for a hard mark, a line feed for a soft one."""
+    x = F.regexp_replace(F.translate(text, "|", "/"), r"(?<=[.!?])\s+", "|")
+    x = F.regexp_replace(x, r"(?<=[;:])[^\S\n]+", "\n")
+    x = F.regexp_replace(x, r"[^a-z0-9.+|\n-]+", " ")
+    x = F.regexp_replace(F.concat(F.lit("|"), x, F.lit("|")), r"\n[ \n]*\n", "|")
+    x = F.regexp_replace(x, r"(?<![. ])[. ]++(?=[|\n])|(?<=[|\n]) ", "")
+    return F.regexp_replace(x, r"[|\n]{2,}", "|")
+
+
+def _sentence() -> str:
+    """The regular expression of a known sentence in a marked text, longest first."""
+    def words(w):
+        return r"[ |\n]".join(r"[ \n]".join(map(re.escape, part.split())) for part in w.split(" | "))
+    wordings = sorted([*SENTENCES.values(), *(w for _, w in WORDINGS)], key=len, reverse=True)
+    return r"(?<=[|\n])(?:" + "|".join(map(words, wordings)) + r")(?=[|\n])"
+
+
 def _pattern(ids) -> str:
     return "," + ",".join(ids) + ","
 
@@ -98,15 +151,11 @@ def _weaker() -> dict[str, list[str]]:
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_sentences (recognised), and comma-joined sentence_ids (in their
     order in the text), rules and licences (in the order of the rules)."""
-    known = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (s, i)])
-
-    def normal(x):
-        return F.rtrim(F.trim(F.regexp_replace(x, OTHER, " ")), F.lit(". "))
-
+    known = F.create_map(*[F.lit(x) for w, i in KNOWN.items() for x in (w, i)])
     low = F.lower("text")
     hinted = low.rlike("|".join(HINTS))
-    ids = F.transform(F.filter(F.transform(F.split(low, CUT), normal), lambda s: s.isin(*SENTENCES.values())),
-                      lambda s: F.element_at(known, s))
+    ids = F.transform(F.regexp_extract_all(_marked(low), F.lit(_sentence()), F.lit(0)),
+                      lambda s: F.element_at(known, F.translate(s, "|\n", "  ")))
     found = docs.select("doc_id", F.when(hinted, F.concat_ws(",", ids)).otherwise("").alias("sentence_ids")).select(
         "doc_id", F.coalesce("sentence_ids", F.lit("")).alias("sentence_ids"))
     run = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))

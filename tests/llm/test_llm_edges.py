@@ -308,6 +308,84 @@ def test_licenses_edges(docs, none, spark):
                    2: (2, "mit-released", "MIT"), 3: (1, "", ""), 4: (0, "", "")}
 
 
+STANDARD = {
+    "apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "apache-2.0-short": "Licensed under the Apache License,\nVersion 2.0.",
+    "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    "mit-released": "Released under\nthe MIT License.",
+    "mit-short": "Licensed under the MIT\nLicense.",
+    "gpl-3.0-short": "This work is licensed under the GNU General\nPublic License, version 3.",
+    "gpl-3.0-header": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "bsd-2-clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.""",
+    "mpl-2.0-header": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "cc-by-4.0": "This work is licensed under CC\nBY 4.0.",
+    "cc-by-4.0-long": "This work is licensed under a Creative Commons Attribution 4.0\nInternational License.",
+    "cc-by-sa-4.0": "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.",
+    "cc-by-nc-4.0": "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.",
+    "unlicense": "This is free and unencumbered software released into\nthe public domain.",
+    "public-domain": "This work is in\nthe public domain.",
+    "all-rights-reserved": "Copyright (c) 2020 Some Body. All\nrights reserved.",
+}
+STANDARD["mit-title-text"] = "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + STANDARD["mit-text"]
+STANDARD["gpl-3.0-grant"] = STANDARD["gpl-3.0-header"].split("\n\n")[0]
+
+
+def test_licenses_standard_texts(spark):
+    assert set(STANDARD) == {r for r, _, _ in licenses.RULES}
+    rows = []
+    for r, text in STANDARD.items():
+        for kind, t in (("plain", text), ("comment", "\n".join(f" * {x}" for x in text.split("\n"))), ("crlf", text.replace("\n", "\r\n"))):
+            rows.append((f"{r} {kind}", f"/* file\n{t}\n*/\n\nint main;\n"))
+    rows += [("ends", "These are all. Rights reserved."), ("blank line", "Released under\n\nthe MIT License."), ("longer", "Licensed under the MIT\nLicense of old.")]
+    got = {r.doc_id: (r.rules, r.licences) for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    licence = {r: x for r, x, _ in licenses.RULES}
+    want = {d: (d.split()[0], licence[d.split()[0]]) for d, _ in rows[:-3]}
+    assert got == {**want, "ends": ("", ""), "blank line": ("", ""), "longer": ("", "")}
+
+
 def test_crc_of_pieces_is_unsigned(docs):
     from cinelake.llm.queries import packed
     assert all(0 <= r.ids_crc32 < 1 << 32 for r in packed(docs).collect())
