@@ -386,6 +386,14 @@ def test_licenses_standard_texts(spark):
     assert got == {**want, "ends": ("", ""), "blank line": ("", ""), "longer": ("", "")}
 
 
+def test_licenses_prefilter_loses_nothing(spark):
+    gaps = ("  ", "\t", "\u00a0", "\n", "\r\n * ", ", ")
+    rows = ([(f"r{i}", f"Intro. All rights{g}reserved.") for i, g in enumerate(gaps)]
+            + [(f"p{i}", f"This work is in the public{g}domain.") for i, g in enumerate(gaps)])
+    got = {r.doc_id: (r.n_sentences, r.rules) for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {d: (1, "all-rights-reserved" if d[0] == "r" else "public-domain") for d, _ in rows}
+
+
 def test_crc_of_pieces_is_unsigned(docs):
     from cinelake.llm.queries import packed
     assert all(0 <= r.ids_crc32 < 1 << 32 for r in packed(docs).collect())
