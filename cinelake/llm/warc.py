@@ -114,6 +114,28 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
     return out
 
 
+def parsed_records(records: DataFrame) -> DataFrame:
+    """record_id, payload_bytes, payload_digest, record_type and refers_to of
+    rebuilt records, from the header and block that each is parsed into; a
+    revisit has no block, its digest and size are those of the payload that it
+    refers to. A record that is not whole fails the job."""
+    end = len(RECORD_END)
+    head = F.substring_index(F.col("record").cast("string"), RECORD_END, 1)
+    size = F.length("record") - F.octet_length("header") - end
+    parts = records.withColumn("header", F.concat(head, F.lit(RECORD_END)).cast("binary")).select(
+        "record_id", "refers_to", "header", "payload", _field("WARC-Type").alias("record_type"),
+        F.substr("record", F.octet_length("header") + 1, size).alias("block"),
+        (F.substr("record", F.length("record") - end + 1, F.lit(end)) == F.lit(RECORD_END.encode())).alias("ended"))
+    full = parts.withColumn("full", F.when(F.col("record_type") == "revisit", F.col("payload")).otherwise(F.col("block"))).select(
+        "record_id", "refers_to", "header", "record_type", "ended", F.length("block").alias("block_bytes"),
+        F.length("full").cast("bigint").alias("payload_bytes"), F.sha1("full").alias("sha1"))
+    whole = (F.col("ended") & F.startswith(F.col("header").cast("string"), F.lit(f"WARC/1.1{CRLF}"))
+             & (_field("Content-Length") == F.col("block_bytes").cast("string"))
+             & (_field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("sha1"))))
+    bad = F.raise_error(F.concat(F.lit("rebuilt record does not match its header: "), F.col("header").cast("string")))
+    return full.select("record_id", "payload_bytes", F.when(whole, F.col("sha1")).otherwise(bad).alias("payload_digest"), "record_type", "refers_to")
+
+
 def export_files(spark: SparkSession, path: str, target: str, records_per_file: int = 100_000) -> None:
     """Writes the records of an archive as plain WARC 1.1 files. A record ends in
     an empty line, which is the line separator of the text writer here."""
@@ -127,11 +149,12 @@ def page_records(pages: DataFrame) -> DataFrame:
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
-    """Writes pages as an archive in the shared folder and reads it back."""
+    """Writes pages as an archive in the shared folder, reads it back and parses
+    every rebuilt record."""
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archive(page_records(pages), path)
-    return read_records(spark, path, payloads=False).select(
+    return parsed_records(read_records(spark, path)).select(
         F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

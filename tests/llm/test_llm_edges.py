@@ -6,6 +6,7 @@ import zlib
 import llm_brute as brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cinelake.llm import decontam, language, licenses, line_dedup, packing, quality, rangecoder, simhash, tokenfile, toxicity, warc
@@ -291,6 +292,23 @@ def test_warc_reader_finds_damage(spark):
         warc.read_records(spark, f"{path}-bad").collect()
 
 
+@pytest.mark.parametrize("damage", ["left(record, length(record) - 1)", "overlay(record placing cast('~' as binary) from length(record) - 5)",
+                                    "right(record, length(record) - 9)"])
+def test_warc_query_rebuilds_records(spark, monkeypatch, damage):
+    rows = [(1, "u", "abc"), (2, "ü", "é" * 600), (3, "u", "é" * 600)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert sorted((r.page_id, r.payload_bytes, r.record_type) for r in warc.archive_pages(pages).collect()) == [
+        (1, 3, "response"), (2, 1200, "revisit"), (3, 1200, "response")]
+    read = warc.read_records
+
+    def damaged(*args, **kwargs):
+        out = read(*args, **kwargs)
+        return out.withColumn("record", F.expr(f"cast({damage} as binary)")) if "record" in out.columns else out
+    monkeypatch.setattr(warc, "read_records", damaged)
+    with pytest.raises(Exception, match="rebuilt record"):
+        warc.archive_pages(pages).collect()
+
+
 def test_licenses_edges(docs, none, spark):
     assert licenses.scan(docs).where("licences <> '' or n_sentences <> 0").count() == 0
     assert licenses.scan(docs).count() == len(ROWS) and licenses.scan(none).count() == 0
