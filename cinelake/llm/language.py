@@ -15,9 +15,11 @@ all rows are scored, over their whole texts. The model has one number for each
 piece and language, whatever the size of the input.
 
 Defined results: one row out per row in. ``und`` (score 0) for a text that is
-null or has no letter, or if there is nothing to learn from. Words longer than
-``WORD_BYTES`` are scored in parts of that length. Null doc_ids count as the
-empty text for the fold. Other columns are ignored, whatever their names.
+null or has no letter, or if there is nothing to learn from. Words of any length
+are scored over all their segmentations; those longer than ``WORD_BYTES`` byte
+by byte in logarithms, with the sums of the last bytes carried on. Null doc_ids
+count as the empty text for the fold. Other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -35,12 +37,13 @@ from cinelake.llm.common import if_small, written
 
 SAMPLE_DOCS = 1000        # labelled documents of a language that the fit draws
 ROUNDS = 2
-PIECE_BYTES = 10
+PIECE_BYTES = 33          # longest piece of the registered vocabulary; cuts nothing
 WORD_BYTES = 40
 FLOOR = 1e-6              # least probability of a single byte, so that any word has a segmentation
 SMOOTH = 0.01             # added to each piece's expected uses
 CACHE_WORDS = 400_000
 CHUNK = 1 << 22
+LONG_CELLS = 2_000_000    # numbers of one array over long words
 MAX_LANGUAGES = 1000
 
 _SPACE = 0x20
@@ -56,7 +59,7 @@ class Pieces:
             for line in f:
                 piece = base64.b64decode(line.split()[0]).lower()
                 body = piece[1:] if piece[:1] == b" " else piece
-                if body and len(piece) <= PIECE_BYTES and bk.LETTER_DIGIT[list(body)].all():
+                if body and bk.LETTER_DIGIT[list(body)].all():
                     found.add(piece)
         found |= {bytes([b]) for b in range(256)}
         self.pieces = sorted(found)
@@ -67,6 +70,7 @@ class Pieces:
         self.order = np.argsort(h)
         self.hashes = h[self.order]
         self.single = size == 1
+        self.sizes = np.unique(size)
 
     def __len__(self):
         return len(self.pieces)
@@ -92,13 +96,6 @@ def _words(data: np.ndarray, docs: np.ndarray):
     joined, starts, ends = bk.joined_words(ws, bk.LOWER)
     buf = np.concatenate([np.array([_SPACE], np.uint8), joined])
     ends = ends + 1                                     # the blank before the word is at its old start
-    parts = np.maximum(1, -(-(ends - starts) // WORD_BYTES))
-    if len(parts) and parts.max() > 1:                  # long words in parts
-        step = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-        a = np.repeat(starts, parts) + step * WORD_BYTES
-        ends, starts = np.minimum(a + WORD_BYTES, np.repeat(ends, parts)), a
-        first = np.concatenate([[0], np.cumsum(parts)])[ws.first]
-        return buf, starts, ends, first
     return buf, starts, ends, ws.first
 
 
@@ -109,7 +106,7 @@ class Lattice:
         self.n = n
         self.at = {}
         for i in range(1, n + 1):
-            for size in range(1, min(i, PIECE_BYTES) + 1):
+            for size in voc.sizes[voc.sizes <= i].tolist():
                 a = starts + (i - size)
                 found = voc.find(bk.mix((run[a + size] - run[a]) * inv[a]))
                 if (found < len(voc)).any():
@@ -137,11 +134,65 @@ def _running(buf: np.ndarray):
     return run, inv
 
 
+def _log(probs: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(probs)
+
+
+def _ending(voc: Pieces, run, inv, starts, i: int) -> np.ndarray:
+    """Numbers [size, words] of the pieces that end behind the i-th byte of words at least that long."""
+    sizes = voc.sizes[voc.sizes <= i]
+    a = starts + (i - sizes)[:, None]
+    return voc.find(bk.mix((run[starts + i] - run[a]) * inv[a]))
+
+
+def _log_sum(terms: np.ndarray) -> np.ndarray:
+    top = terms.max(axis=0)
+    return top + np.log(np.exp(terms - top).sum(axis=0))
+
+
+def _long_scores(voc: Pieces, logs: np.ndarray, run, inv, starts, size) -> np.ndarray:
+    """``word_scores`` of long words: the sums of the last bytes stand in a ring."""
+    k, ring_size = logs.shape[1], int(voc.sizes[-1]) + 1
+    out = np.empty((len(starts), k))
+    order = np.argsort(-size, kind="stable")
+    step = max(1, LONG_CELLS // (ring_size * k))
+    for part in np.split(order, range(step, len(order), step)):
+        ring = np.full((ring_size, len(part), k), -np.inf)
+        ring[0] = 0.0
+        for i in range(1, int(size[part[0]]) + 1):
+            live = int(np.searchsorted(-size[part], -i, side="right"))
+            found = _ending(voc, run, inv, starts[part[:live]], i)
+            ring[i % ring_size, :live] = _log_sum(ring[(i - voc.sizes[:len(found)]) % ring_size, :live] + logs[found])
+            ended = np.flatnonzero(size[part[:live]] == i)
+            out[part[ended]] = ring[i % ring_size, ended]
+    return out
+
+
+def _long_uses(voc: Pieces, logs: np.ndarray, run, inv, starts, n: int, own, count, out: np.ndarray) -> None:
+    """Adds the expected uses in long words of one length to ``out``."""
+    alpha, beta = np.full((n + 1, len(starts)), -np.inf), np.full((n + 1, len(starts)), -np.inf)
+    alpha[0], beta[n] = 0.0, 0.0
+    for i in range(1, n + 1):
+        found = _ending(voc, run, inv, starts, i)
+        alpha[i] = _log_sum(alpha[i - voc.sizes[:len(found)]] + logs[found, own])
+    for i in range(n, 0, -1):
+        found = _ending(voc, run, inv, starts, i)
+        at = i - voc.sizes[:len(found)]
+        here = logs[found, own] + beta[i]
+        beta[at] = np.logaddexp(beta[at], here)
+        np.add.at(out, (found * logs.shape[1] + own).ravel(), (np.exp(alpha[at] + here - alpha[n]) * count).ravel())
+
+
 def word_scores(voc: Pieces, probs: np.ndarray, buf, starts, ends) -> np.ndarray:
     """Log of the summed probability of all segmentations: [words, languages]."""
     run, inv = _running(buf)
     out = np.empty((len(starts), probs.shape[1]))
-    for group in _by_length(ends - starts):
+    long = np.flatnonzero(ends - starts > WORD_BYTES)
+    if len(long):
+        out[long] = _long_scores(voc, _log(probs), run, inv, starts[long], (ends - starts)[long])
+    short = np.flatnonzero(ends - starts <= WORD_BYTES)
+    for group in (short[g] for g in _by_length((ends - starts)[short])):
         n = int(ends[group[0]] - starts[group[0]])
         for i in range(0, len(group), 20_000):
             part = group[i:i + 20_000]
@@ -156,6 +207,12 @@ def expected_uses(voc: Pieces, probs: np.ndarray, buf, starts, ends, lang, count
     out = np.zeros((len(voc) + 1) * k)
     for group in _by_length(ends - starts):
         n = int(ends[group[0]] - starts[group[0]])
+        if n > WORD_BYTES:
+            step = max(1, LONG_CELLS // n)
+            for i in range(0, len(group), step):
+                part = group[i:i + step]
+                _long_uses(voc, _log(probs), run, inv, starts[part], n, lang[part], count[part], out)
+            continue
         for i in range(0, len(group), 20_000):
             part = group[i:i + 20_000]
             lat, own = Lattice(voc, run, inv, starts[part], n), lang[part]

@@ -224,6 +224,39 @@ def test_language_forward_sums_all_segmentations():
     assert bk.LETTER_DIGIT[0x61]
 
 
+def test_language_sums_all_segmentations():
+    voc = language.pieces(PIECES)
+    number = {p: i for i, p in enumerate(voc.pieces)}
+    longest = max(map(len, number))
+    assert longest > 10
+    words = ["international", "responsibilities", "a" * 41, "東京都は日本の首都であり世界最大の都市の一つである", "x1" * 700, "достопримечательность" * 3]
+    texts = [w.encode() for w in words]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    buf, starts, ends, _ = language._words(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    spans = [buf.tobytes()[a:b] for a, b in zip(starts, ends)]
+    assert spans == [b" " + t for t in texts]                          # no word is cut
+    rng = np.random.default_rng(2)
+    probs = np.vstack([rng.random((len(voc), 2)) / 100, np.zeros((1, 2))])
+    got = language.word_scores(voc, probs, buf, starts, ends)
+    lang, count = np.arange(len(words)) % 2, np.arange(1.0, len(words) + 1)
+    uses = np.zeros((len(voc), 2))
+    for w, word in enumerate(spans):
+        n, logs = len(word), {}
+        for k in range(2):
+            alpha, beta = [-np.inf] * (n + 1), [-np.inf] * (n + 1)
+            alpha[0] = beta[n] = 0.0
+            edges = [(a, b, number[word[a:b]]) for b in range(1, n + 1) for a in range(max(0, b - longest), b) if word[a:b] in number]
+            for a, b, p in edges:
+                alpha[b] = np.logaddexp(alpha[b], alpha[a] + np.log(probs[p, k]))
+            assert np.isclose(got[w, k], alpha[n], rtol=1e-9)
+            if k == lang[w]:
+                for a, b, p in reversed(edges):
+                    beta[a] = np.logaddexp(beta[a], beta[b] + np.log(probs[p, k]))
+                for a, b, p in edges:
+                    uses[p, k] += count[w] * np.exp(alpha[a] + np.log(probs[p, k]) + beta[b] - alpha[n])
+    assert np.allclose(language.expected_uses(voc, probs, buf, starts, ends, lang, count), uses)
+
+
 def labelled(spark, n=400):
     rows, labels = [], []
     for i in range(n):
