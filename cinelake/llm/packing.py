@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.llm.common import mixed_partitions, written
-from cinelake.llm.tokens import encoder, row_groups, text_groups
+from cinelake.llm.tokens import encoder, row_groups, with_end
 
 WINDOW = 2048
 SHARD = 512                    # tails of one inverted index
@@ -48,30 +48,23 @@ def _sketches(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _tokenise(path: str, window: int, end_id: int):
+def _tokenise(path: str, window: int, end_id: int, special: bool):
     def run(batches):
-        for batch in row_groups(batches):
-            ids_of, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            at = 0
-            for group in text_groups([t or "" for t in texts]):
-                rows, start, parts, whole, total = [], [], [], [], []
-                for i, ids in enumerate(encoder(path).encode(group)):
-                    ids = np.append(ids, np.uint32(end_id))
-                    for s in range(0, len(ids), window):
-                        rows.append(at + i)
-                        start.append(s)
-                        parts.append(ids[s:s + window])
-                        total.append(len(ids))
-                sizes = np.array([len(p) for p in parts])
-                bounds = np.concatenate([[0], np.cumsum(sizes)])
-                flat = np.concatenate(parts)
-                raw = flat.astype("<u4").tobytes()
+        for batch in batches:
+            doc_ids = batch.column("doc_id")
+            for i, j, flat, bounds in encoder(path, special).encode(batch.column("text")):
+                flat, bounds = with_end(flat, bounds, end_id)
+                total = np.diff(bounds)
+                count = -(-total // window)
+                row = np.repeat(np.arange(j - i), count)
+                start = window * (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count))
+                size = np.minimum(window, total[row] - start)
+                cuts = np.concatenate([[0], np.cumsum(size)])
+                raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(4 * cuts), pa.py_buffer(flat.astype("<u4"))])
                 yield pa.RecordBatch.from_arrays(
-                    [ids_of.take(pa.array(rows)), pa.array(start, pa.int64()), pa.array(sizes, pa.int64()),
-                     pa.array([raw[4 * a:4 * b] for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
-                     pa.array(total, pa.int64()), pa.array(_sketches(flat, bounds), pa.int64())],
+                    [doc_ids.slice(i, j - i).take(pa.array(row)), pa.array(start, pa.int64()), pa.array(size, pa.int64()),
+                     raw.cast(pa.binary()), pa.array(total[row], pa.int64()), pa.array(_sketches(flat, cuts), pa.int64())],
                     names=["doc_id", "start", "length", "ids", "doc_tokens", "sketch"])
-                at += len(group)
     return run
 
 
@@ -183,13 +176,14 @@ def _powers_of_two(pieces):
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = 1, shard: int = SHARD) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = 1, shard: int = SHARD,
+         special: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian unsigned
     32-bit), doc_tokens, sequence_id, offset."""
     src = docs.select("doc_id", "text")
     kind = dict(src.dtypes)["doc_id"]
     parts = written(src.mapInArrow(
-        _tokenise(tokenizer, window, end_id),
+        _tokenise(tokenizer, window, end_id, special),
         f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sketch bigint"), "packing-parts")
     out = f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
     full = (parts.where(F.col("length") == window)

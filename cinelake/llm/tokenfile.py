@@ -22,14 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinelake.llm import bytekernel as bk
 from cinelake.llm.common import mixed_partitions
 from cinelake.llm.rangecoder import BLOCK, pack_segment, unpack_segment
-from cinelake.llm.tokens import encoder, row_groups, text_groups
+from cinelake.llm.tokens import encoder, with_end
 
 SEGMENT = 2048 * BLOCK         # ids from which a segment is closed
 
 
-def _write(path: str, end_id: int, segment: int):
+def _write(path: str, end_id: int, segment: int, special: bool):
     def run(batches):
         part = TaskContext.get().partitionId()
         number = before = held = 0
@@ -37,39 +38,43 @@ def _write(path: str, end_id: int, segment: int):
 
         def close():
             nonlocal number, before, held, names, sizes, ids
-            flat = np.concatenate(ids)
+            flat, docs = np.concatenate(ids), pa.concat_arrays(names)
             row = pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([before], pa.int64()),
                  pa.array([len(flat)], pa.int64()),
-                 pa.array([pa.concat_arrays(names).to_pylist()], pa.list_(names[0].type)), pa.array([sizes], pa.list_(pa.int64())),
+                 bk.list_array(docs, np.array([len(docs)])), bk.list_array(np.concatenate(sizes), np.array([len(docs)])),
                  pa.array([pack_segment(flat)], pa.binary())],
                 names=["part", "number", "before", "n_ids", "doc_ids", "doc_tokens", "data"])
             number, before, held, names, sizes, ids = number + 1, before + len(flat), 0, [], [], []
             return row
 
-        for batch in row_groups(batches):
-            doc_ids, at = batch.column("doc_id"), 0
-            for group in text_groups([t or "" for t in batch.column("text").to_pylist()]):
-                for i, found in enumerate(encoder(path).encode(group)):
-                    names.append(doc_ids.slice(at + i, 1))
-                    sizes.append(len(found) + 1)
-                    ids += [found, np.array([end_id], np.uint32)]
-                    held += len(found) + 1
+        for batch in batches:
+            doc_ids = batch.column("doc_id")
+            for i, j, flat, bounds in encoder(path, special).encode(batch.column("text")):
+                flat, bounds = with_end(flat, bounds, end_id)
+                a, n = 0, j - i
+                while a < n:           # whole documents up to the one that fills the segment
+                    b = min(int(np.searchsorted(bounds, bounds[a] + segment - held)), n)
+                    names.append(doc_ids.slice(i + a, b - a))
+                    sizes.append(np.diff(bounds[a:b + 1]))
+                    ids.append(flat[bounds[a]:bounds[b]])
+                    held += int(bounds[b] - bounds[a])
+                    a = b
                     if held >= segment:
                         yield close()
-                at += len(group)
         if held:
             yield close()
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, segment: int = SEGMENT) -> None:
-    """Encodes ``docs(doc_id, text)`` and writes the token file ``path``."""
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, segment: int = SEGMENT, special: bool = False) -> None:
+    """Encodes ``docs(doc_id, text)`` and writes the token file ``path``. With
+    ``special``, strings of special tokens in a text are ordinary text."""
     src = docs.select("doc_id", "text")
     ordered = (src.repartitionByRange(mixed_partitions(docs.sparkSession), F.col("doc_id"), F.xxhash64("text"))
                .sortWithinPartitions("doc_id", F.xxhash64("text"), "text"))
     kind = dict(src.dtypes)["doc_id"]
-    ordered.mapInArrow(_write(tokenizer, end_id, segment),
+    ordered.mapInArrow(_write(tokenizer, end_id, segment, special),
                        f"part int, number int, before bigint, n_ids bigint, doc_ids array<{kind}>, doc_tokens array<bigint>, data binary"
                        ).write.parquet(path)
 

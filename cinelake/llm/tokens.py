@@ -1,145 +1,234 @@
-"""Token ids of whole texts with a public tokenizer, by a word cache.
-
-A byte-level BPE cuts a text into pre-tokens first and merges inside each. A
-white-space character with no other beside it always begins a pre-token, so a
-text may be cut before each such blank and around each such newline, and the
-ids of the units follow one another; so it may before a full stop or comma
-that no other punctuation precedes. Each distinct unit is encoded once per Python worker by the
-tokenizers library and then looked up. Texts with adjoining white space (or a
-NUL) are encoded whole. The cache is bounded and simply begun anew when full.
+"""Token ids of whole texts with a public tokenizer, by a cache of text units.
+
+A byte-level BPE cuts a text into pre-tokens first and merges inside each, with
+no look behind. A pre-token ends wherever white space begins, and before a full
+stop or comma behind an ASCII letter or digit; so a text may be cut there, and
+the ids of its units follow one another. The units of many texts are slices of
+one byte buffer; Arrow encodes them as a dictionary (exactly, by their bytes),
+and only units that the worker has not seen yet are tokenised: ordinary words
+by a byte-pair encoder over the vocabulary and merges of the same tokenizer
+file, all others (longer ones, with inner white space or special strings) by
+the tokenizers library itself. The cache is bounded and simply begun anew when
+full. Files of another kind than plain byte-level BPE, whose merges are not its
+ids in order, encode every text whole with the library.
+
+``special`` says what strings of special tokens inside a text are: with False,
+as in the library's plain call, their ids; with True, ordinary text.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+
+from cinelake.llm import bytekernel as bk
 
 CACHE_UNITS = 800_000
 CACHE_IDS = 5_500_000
-JOINED_UNITS = 20_000
-ROWS = 1000                    # of an Arrow batch whose texts are Python strings at a time
+CHUNK = 1 << 22                # bytes of the texts that are cut together, or one longer text
+JOINED = 1 << 18               # bytes of units that are tokenised together
+ROWS = 1000                    # of an Arrow batch whose values are Python objects at a time
+LONG_UNIT = 200                # longer units are left to the library
+
+# Fixed value: how a byte-level BPE file with use_regex cuts a text.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+# Classes of bytes: white space, what some count as such, letters and digits, stops, beyond ASCII.
+_OTHER, _SPACE, _SEPARATOR, _ALNUM, _STOP, _WIDE = range(6)
+_CLASS = bytes(_SPACE if b == 0x20 or 0x09 <= b <= 0x0D else _SEPARATOR if 0x1C <= b <= 0x1F else _WIDE if b >= 0x80
+               else _ALNUM if chr(b).isalnum() else _STOP if chr(b) in ".," else _OTHER for b in range(256))
+
+_ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
+
+
+def _ends_in_wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before each position is white space beyond ASCII."""
+    c1 = data[at - 1]
+    c2 = data[np.maximum(at - 2, 0)]
+    c3 = data[np.maximum(at - 3, 0)]
+    two = (c2 == 0xC2) & ((c1 == 0x85) | (c1 == 0xA0))
+    general = (c3 == 0xE2) & (c2 == 0x80) & ((c1 <= 0x8A) | (c1 == 0xA8) | (c1 == 0xA9) | (c1 == 0xAF))
+    others = ((c3 == 0xE1) & (c2 == 0x9A) & (c1 == 0x80)) | ((c3 == 0xE2) & (c2 == 0x81) & (c1 == 0x9F)) | ((c3 == 0xE3) & (c2 == 0x80) & (c1 == 0x80))
+    return two | general | others
 
-_INNER_SPACE = re.compile(r"\s")
-_STOPS = (".", ",")
-# marks of units: white space inside; begins with a stop; ends in something other than a letter or digit
-_UNFIT, _STOP, _OPEN = 1, 2, 4
 
-_ENCODERS: dict[str, "Encoder"] = {}
+def _may_hold_wide_space(data: np.ndarray) -> np.ndarray:
+    """Marks lead bytes of characters among which white space beyond ASCII lies."""
+    nxt = np.append(data[1:], 0)
+    return ((data == 0xC2) & ((nxt == 0x85) | (nxt == 0xA0))) | ((data == 0xE1) & (nxt == 0x9A)) | (
+        (data == 0xE2) & ((nxt == 0x80) | (nxt == 0x81))) | ((data == 0xE3) & (nxt == 0x80))
+
+
+def _byte_of() -> dict[str, int]:
+    """Byte-level BPE files write each byte as one printable character."""
+    plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
 class Encoder:
-    """Encodes lists of texts with the tokenizer file at ``path``."""
+    """Encodes string columns with the tokenizer file at ``path``."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
-        self.newline = self._library(["\n"])[0][0]
+        self.tokenizer.encode_special_tokens = special
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.words = None
+        with open(path, encoding="utf-8") as f:
+            kind = json.load(f)
+        before = kind.get("pre_tokenizer") or {}
+        added = kind.get("added_tokens") or []
+        if (before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
+                and not kind.get("normalizer") and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
+                and not any(re.search(r"[\s.,]", t) for t in self.marks)):
+            self.words = self._merges(kind["model"])
         self._clear()
 
+    def _merges(self, model: dict):
+        """A byte-pair encoder with the file's vocabulary, if ids are merge ranks."""
+        import tiktoken
+
+        vocab, own = model["vocab"], set(self.marks)
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+        names = sorted((i, t) for t, i in vocab.items() if t not in own)
+        if (model.get("type") != "BPE" or model.get("ignore_merges") or model.get("dropout") or model.get("continuing_subword_prefix")
+                or model.get("end_of_word_suffix") or [t for _, t in names[256:]] != ["".join(m) for m in pairs]
+                or any(len(t) != 1 for _, t in names[:256]) or [i for i, _ in names] != list(range(len(names)))):
+            return None
+        of = _byte_of()
+        return tiktoken.Encoding("words", pat_str=PATTERN, special_tokens={},
+                                 mergeable_ranks={bytes(of[c] for c in t): i for i, t in names})
+
     def _clear(self):
-        self.index: dict[str, int] = {}
+        self.index: dict[bytes, int] = {}
         self.pool = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
+        self.starts = np.zeros(1 << 14, np.int32)
         self.sizes = np.zeros(1 << 14, np.int32)
-        self.marks = np.zeros(1 << 14, np.uint8)
         self.used = 0
-        self._store([""], np.zeros(0, np.uint32), np.array([0, 0]))
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, units: list[str]):
-        """Ids of new units. They are encoded as lines of one text: a newline is
-        a pre-token between them, so its id, which no other unit holds, parts
-        their ids. Units with white space behind their first character make
-        their text unfit and get no ids."""
-        unfit = [u for u in units if u != "\n" and (u[-1].isspace() or _INNER_SPACE.search(u, 1))]
-        self._store(unfit, np.zeros(0, np.uint32), np.zeros(len(unfit) + 1, np.int64), _UNFIT)
-        if "\n" in units:
-            self._store(["\n"], np.array([self.newline], np.uint32), np.array([0, 1]))
-        skip = {"\n", *unfit}
-        lines = [u for u in units if u not in skip]
-        for i in range(0, len(lines), JOINED_UNITS):
-            part = lines[i:i + JOINED_UNITS]
-            ids = np.array(self._library(["\n".join(part) + "\n"])[0], np.uint32)
-            gaps = np.flatnonzero(ids == self.newline)
+    def _learn(self, raw: bytes, starts: np.ndarray, ends: np.ndarray):
+        """Ids of the new units ``raw[start:end]``. Plain words, with a blank in
+        front at most, are encoded as lines of one text: a newline is a
+        pre-token between them, so its id, which no word holds, parts their ids."""
+        data = np.frombuffer(raw, np.uint8)
+        kinds = np.frombuffer(raw.translate(_CLASS), np.uint8)
+        odd = (kinds == _SPACE) | (kinds == _SEPARATOR) | _may_hold_wide_space(data)
+        blank = data[starts] == 0x20
+        run = np.concatenate([[0], np.cumsum(odd)])
+        plain = (run[ends] - run[starts] == blank) & (ends - starts <= LONG_UNIT) & (ends - starts > blank)
+        names = [raw[a:b] for a, b in zip(starts[plain].tolist(), ends[plain].tolist())]
+        others = [raw[a:b] for a, b in zip(starts[~plain].tolist(), ends[~plain].tolist())]
+        marks = [m.encode() for m in self.marks]
+        for i, j in bk.doc_chunks(np.concatenate([[0], np.cumsum([len(u) for u in names])]).astype(np.int64), JOINED):
+            part = names[i:j]
+            joined = b"\n".join(part) + b"\n"
+            if any(m in joined for m in marks):
+                others += [u for u in part if any(m in u for m in marks)]
+                part = [u for u in part if not any(m in u for m in marks)]
+                joined = b"".join(u + b"\n" for u in part)
+            ids = np.array(self.words.encode_ordinary(joined.decode("utf-8", "replace")), np.uint32)
+            gaps = np.flatnonzero(ids == self.words.encode_single_token("\n"))
             assert len(gaps) == len(part), "a unit holds a newline"
-            self._store(part, ids[ids != self.newline], np.concatenate([[0], gaps + 1]) - np.arange(len(part) + 1))
-
-    def _store(self, units: list[str], ids: np.ndarray, bounds: np.ndarray, mark: int = 0):
+            keep = np.ones(len(ids), bool)
+            keep[gaps] = False
+            self._store(part, ids[keep], np.concatenate([[0], gaps + 1 - np.arange(1, len(part) + 1)]))
+        for i, j in bk.doc_chunks(np.concatenate([[0], np.cumsum([len(u) for u in others])]).astype(np.int64), JOINED):
+            found = self._library([u.decode("utf-8", "replace") for u in others[i:j]])
+            self._store(others[i:j], np.array([x for ids in found for x in ids], np.uint32),
+                        np.concatenate([[0], np.cumsum([len(ids) for ids in found])]))
+
+    def _store(self, units: list[bytes], ids: np.ndarray, bounds: np.ndarray):
         at, n = len(self.index), len(units)
         while at + n > len(self.starts):
-            self.starts, self.sizes, self.marks = (np.resize(x, 2 * len(x)) for x in (self.starts, self.sizes, self.marks))
+            self.starts, self.sizes = (np.resize(x, 2 * len(x)) for x in (self.starts, self.sizes))
         while self.used + len(ids) > len(self.pool):
             self.pool = np.resize(self.pool, 2 * len(self.pool))
         self.pool[self.used:self.used + len(ids)] = ids
         self.starts[at:at + n] = self.used + bounds[:-1]
         self.sizes[at:at + n] = np.diff(bounds)
-        self.marks[at:at + n] = [mark | (_STOP * (u[:1] in _STOPS and u != "")) | (_OPEN * (u != "" and u != "\n" and not u[-1].isalnum()))
-                                 for u in units]
         self.used += len(ids)
         self.index.update(zip(units, range(at, at + n)))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, as uint32."""
+    def _units(self, raw: bytes, docs: np.ndarray) -> np.ndarray:
+        """Where units start in ``raw``, whose texts have the offsets ``docs``."""
+        data = np.frombuffer(raw, np.uint8)
+        kinds = np.frombuffer(raw.translate(_CLASS), np.uint8)
+        here, before = kinds[1:], kinds[:-1]
+        cut = np.zeros(len(kinds), bool)
+        cut[1:] = ((here == _SPACE) & (before != _SPACE) & (before != _SEPARATOR)) | ((here == _STOP) & (before == _ALNUM))
+        at = np.flatnonzero(cut)
+        wide = at[kinds[at - 1] == _WIDE]
+        cut[wide[_ends_in_wide_space(data, wide)]] = False
+        cut[docs[:-1][docs[:-1] < docs[1:]]] = True
+        return np.flatnonzero(cut)
+
+    def _encode_chunk(self, raw: bytes, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not raw:
+            return np.zeros(0, np.uint32), np.zeros(len(docs), np.int64)
+        if self.words is None:
+            found = self._library([raw[a:b].decode("utf-8", "replace") for a, b in zip(docs[:-1].tolist(), docs[1:].tolist())])
+            return (np.array([x for ids in found for x in ids], np.uint32),
+                    np.concatenate([[0], np.cumsum([len(ids) for ids in found])]).astype(np.int64))
         if len(self.index) > CACHE_UNITS or self.used > CACHE_IDS:
             self._clear()
-        out: list[np.ndarray | None] = [None] * len(texts)
-        rest = [i for i, t in enumerate(texts) if "\x00" not in t]
-        for stops in (True, False):
-            rest = self._cut(texts, rest, stops, out) if rest else rest
-        rest = [i for i in range(len(texts)) if out[i] is None]
-        for i, ids in zip(rest, self._library([texts[i] for i in rest])):
-            out[i] = np.array(ids, np.uint32)
-        return out
-
-    def _cut(self, texts, which: list[int], stops: bool, out) -> list[int]:
-        """Fills in the ids of the texts that may be cut so; returns the others."""
-        units: list[str] = []
-        bounds = [0]
-        for i in which:
-            cut = texts[i].replace(" ", "\x00 ").replace("\n", "\x00\n\x00")
-            if stops:
-                cut = cut.replace(".", "\x00.").replace(",", "\x00,")
-            units += cut.split("\x00")
-            bounds.append(len(units))
-        at = np.array(list(map(self.index.get, units, repeat(-1))), np.int64)
-        new = np.flatnonzero(at < 0).tolist()
-        if new:
-            self._learn(list(dict.fromkeys([units[i] for i in new])))
-            at[new] = [self.index[units[i]] for i in new]
-        edges = np.array(bounds)
-        marks, empty = self.marks[at], at == 0
-        empty[edges[:-1]] = False                        # nothing before a text's first cut or behind its last one
-        empty[edges[1:] - 1] = False
-        bad = empty | (marks & _UNFIT > 0)
-        if stops:
-            closed = np.ones(len(at), bool)
-            closed[1:] = marks[:-1] & _OPEN == 0
-            closed[edges[:-1]] = True
-            bad |= (marks & _STOP > 0) & ~closed
-        unfit = np.unique(np.searchsorted(edges, np.flatnonzero(bad), "right") - 1).tolist()
-        sizes = self.sizes[at].astype(np.int64)
-        ends = np.cumsum(sizes)
-        flat = self.pool[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(int(ends[-1]))]
-        cuts = np.concatenate([[0], ends])[edges]
-        skip = set(unfit)
-        for k, (i, a, b) in enumerate(zip(which, cuts[:-1].tolist(), cuts[1:].tolist())):
-            if k not in skip:
-                out[i] = flat[a:b]
-        return [which[k] for k in unfit]
-
-
-def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        units = self._units(raw, docs)
+        edges = pa.py_buffer(np.append(units, len(raw)).astype(np.int32))
+        coded = pa.Array.from_buffers(pa.binary(), len(units), [None, edges, pa.py_buffer(raw)]).dictionary_encode()
+        own, bounds = bk.text_buffers(coded.dictionary)
+        own = own[bounds[0]:bounds[-1]].tobytes()
+        bounds = bounds - bounds[0]
+        edges = bounds.tolist()
+        index = self.index
+        places = np.array([index.get(own[a:b], -1) for a, b in zip(edges, edges[1:])], np.int64)
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            self._learn(own, bounds[new], bounds[new + 1])
+            places[new] = [index[own[edges[i]:edges[i + 1]]] for i in new.tolist()]
+        del own, edges
+        at = places[coded.indices.to_numpy()]
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        step = np.repeat(self.starts[at] - (ends - sizes).astype(np.int32), sizes)
+        step += np.arange(len(step), dtype=np.int32)
+        return self.pool[step], np.concatenate([[0], ends])[np.searchsorted(units, docs)]
+
+    def encode(self, texts: pa.Array):
+        """Yields (first row, last row, ids, bounds) for consecutive rows of a
+        string column: ``ids[bounds[i]:bounds[i + 1]]`` are those of the i-th
+        text from the first row on. A null text is empty."""
+        data, offsets = bk.text_buffers(texts)
+        for i, j in bk.doc_chunks(offsets, CHUNK):
+            docs = offsets[i:j + 1] - offsets[i]
+            flat, bounds = self._encode_chunk(data[offsets[i]:offsets[j]].tobytes(), docs)
+            yield i, j, flat, bounds
+
+
+def encoder(path: str, special: bool = False) -> Encoder:
+    if (path, special) not in _ENCODERS:
+        _ENCODERS[path, special] = Encoder(path, special)
+    return _ENCODERS[path, special]
+
+
+def with_end(flat: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with ``end_id`` behind each text, and the new bounds."""
+    n = len(bounds) - 1
+    out = np.empty(len(flat) + n, np.uint32)
+    ends = bounds[1:] + np.arange(n)
+    held = np.ones(len(out), bool)
+    held[ends] = False
+    out[held] = flat
+    out[ends] = end_id
+    return out, np.concatenate([[0], ends + 1])
 
 
 def row_groups(batches, rows: int = ROWS):
@@ -147,16 +236,3 @@ def row_groups(batches, rows: int = ROWS):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
-
-
-def text_groups(texts: list[str], chars: int = 1 << 21):
-    """Consecutive groups of at most ``chars`` characters, or one longer text."""
-    group, size = [], 0
-    for t in texts:
-        if group and size + len(t) > chars:
-            yield group
-            group, size = [], 0
-        group.append(t)
-        size += len(t)
-    if group:
-        yield group

@@ -130,7 +130,6 @@ def test_decontamination_edges(docs, none, spark):
 
 def test_packing_edges(docs, none):
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     pieces = packing.pack(docs, BPE, shard=4).collect()
     want = sorted([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for _, t, _, _ in ROWS)
     assert sum(p.length for p in pieces) == sum(map(len, want))
@@ -162,7 +161,6 @@ def test_packing_neighbours():
 
 def test_token_file_edges(docs, none, spark):
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     path = scratch_path(spark, "tokens")
     tokenfile.write_tokens(docs, path, BPE, segment=5000)
     got = sorted(tokenfile.read_tokens(spark, path).collect(), key=lambda r: r.start)

@@ -26,7 +26,6 @@ def documents(sf):
 @pytest.fixture(scope="module")
 def tokenizer():
     t = Tokenizer.from_file(BPE)
-    t.encode_special_tokens = True
     return t
 
 
