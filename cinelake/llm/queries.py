@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontam, language, licenses, line_dedup, packing, quality, simhash, tokenfile, toxicity, warc
+from cinelake.llm import decontam, digest, hardneg, language, lexical, licenses, line_dedup, packing, quality, simhash, tokenfile, toxicity, warc
 from cinelake.llm.common import BPE, PIECES, scratch_path, table
 
 
@@ -57,5 +57,19 @@ def op10_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).drop("k1", "k2")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_file, op2_warc, op3_line_dedup, op4_toxicity, op5_language, op6_packing, op7_simhash, op8_decontamination, op9_licenses, op10_quality)}
-ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE_SQL, "op3_line_dedup": line_dedup.ORACLE_SQL, "op9_licenses": licenses.ORACLE_SQL}
+def op11_hard_negatives(spark, sf_dir):
+    return hardneg.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark, sf_dir):
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_digest(spark, sf_dir):
+    return digest.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_file, op2_warc, op3_line_dedup, op4_toxicity, op5_language, op6_packing, op7_simhash, op8_decontamination, op9_licenses, op10_quality,
+    op11_hard_negatives, op12_lexical_search, op13_digest)}
+ORACLE_SQL: dict[str, str] = {"op2_warc": warc.ORACLE_SQL, "op3_line_dedup": line_dedup.ORACLE_SQL, "op9_licenses": licenses.ORACLE_SQL,
+    "op11_hard_negatives": hardneg.ORACLE_SQL, "op12_lexical_search": lexical.ORACLE_SQL}
