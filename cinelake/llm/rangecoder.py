@@ -26,7 +26,7 @@ BLOCK = 2048
 MAGIC = b"TKR2"
 STEP = 12                     # added to a symbol's frequency; BLOCK * STEP + the first total stays below 2**15
 FIRST = 4                     # first frequency of every symbol
-SLOTS = 512                   # of each block's order-1 and order-2 tables; a power of two
+SLOTS = 256                   # of each block's order-1 and order-2 tables; a power of two
 MAX_BITS = 20                 # ids below 2**20
 
 _ALL = np.uint64((1 << 64) - 1)
@@ -134,8 +134,9 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     grid = np.ascontiguousarray(flat.reshape(n, block).T)
     model, done = _Model(n), []
     low, span = np.zeros(n, np.uint64), np.full(n, _ALL)
-    digits = np.zeros((block * 5 // 4 + 8, n), np.uint64)
-    used = np.zeros(n, np.int64)
+    room = block * 5 // 4 + 8
+    digits = np.zeros(n * room, np.uint64)                  # each block's digits stand together
+    used = first = np.arange(n) * room
     for t, m in enumerate(_active(sizes).tolist()):
         now = grid[t, :m]
         if m < len(low):                                    # the last block is shorter: its state stays as it is
@@ -154,23 +155,24 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
         add += low
         over = np.flatnonzero(add < low)
         if len(over):
-            digits[used[over] - 1, over] += np.uint64(1)
+            digits[used[over] - 1] += np.uint64(1)
         low, span = add, r
-        out = np.flatnonzero(span < _LEAST)
-        digits[used[out], out] = low[out] >> _DIGIT
+        full = span < _LEAST
+        out = np.flatnonzero(full)
+        digits[used[out]] = low[out] >> _DIGIT
         low[out] <<= _DIGIT
         span[out] <<= _DIGIT
-        used[out] += 1
+        used = used + full
         model.learn(symbol, now)
     for rest_low, rest_used in reversed(done):
         low, used = np.concatenate([low, rest_low]), np.concatenate([used, rest_used])
-    lanes = np.arange(n)
     for k in (32, 0):                                       # the last two digits
-        digits[used, lanes] = (low >> np.uint64(k)) & _LOW32
-        used += 1
+        digits[used] = (low >> np.uint64(k)) & _LOW32
+        used = used + 1
+    digits, used = digits.reshape(n, room), used - first
     for c in range(int(used.max()) - 1, 0, -1):
-        digits[c - 1] += digits[c] >> _DIGIT
-    out = np.ascontiguousarray(digits[:int(used.max())].T.astype(np.uint32)).astype(">u4")
+        digits[:, c - 1] += digits[:, c] >> _DIGIT
+    out = digits[:, :int(used.max())].astype(np.uint32).astype(">u4")
     return [out[i, :used[i]].tobytes() for i in range(n)]
 
 
