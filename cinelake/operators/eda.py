@@ -13,7 +13,9 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinelake.functions.ranking import top_k_per_group
 from cinelake.functions.text import genre_array
+from cinelake.session import cut_lineage
 
 
 def table_dims(tables: dict[str, DataFrame]) -> DataFrame:
@@ -262,3 +264,59 @@ def column_types(tables: dict[str, DataFrame]) -> DataFrame:
             "n_values", "n_distinct")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def profile_columns(tables: dict[str, DataFrame], k: int = 5) -> DataFrame:
+    """A24 over any tables: per column its type family, non-null values, nulls,
+    distinct values, least and largest value, and the ``k`` most frequent ones
+    as text, ``value (count)``, ties in order of the text. Values are counted as
+    (column, text) pairs, so no task holds the values of a column."""
+    out = None
+    for name, df in tables.items():
+        kinds = {f.name: TYPE_FAMILIES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+        cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("x"))
+                                              for c in df.columns])).alias("s")).select("s.*")
+        per = cells.groupBy("column_name", "x").agg(F.count(F.lit(1)).alias("n"))
+        per = cut_lineage(per)                                   # read by the counts and by the ranks
+        counts = per.groupBy("column_name").agg(F.sum(F.when(F.col("x").isNotNull(), F.col("n")).otherwise(0)).alias("n_values"),
+                                                F.sum(F.when(F.col("x").isNull(), F.col("n")).otherwise(0)).alias("n_nulls"),
+                                                F.count("x").alias("n_distinct"))
+        top = top_k_per_group(per.where(F.col("x").isNotNull()), "column_name", k, [F.col("n").desc(), F.col("x").asc()])
+        top = top.groupBy("column_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "x", "n"))),  # k rows a column
+                                             lambda r: F.format_string("%s (%d)", r["x"], r["n"])), ", ").alias("top_values"))
+        ends = df.agg(*[f(F.col(c)).cast("string").alias(f"{c}__{e}") for c in df.columns for f, e in ((F.min, "min"), (F.max, "max"))])
+        ends = ends.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__min").alias("min_value"),
+                                                        F.col(f"{c}__max").alias("max_value")) for c in df.columns])).alias("s")).select("s.*")
+        types = F.create_map(*[F.lit(x) for c in df.columns for x in (c, kinds[c])])
+        one = ends.join(counts, "column_name", "left").join(top, "column_name", "left").select(
+            F.lit(name).alias("table_name"), "column_name", F.element_at(types, F.col("column_name")).alias("data_type"),
+            *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_values", "n_nulls", "n_distinct")], "min_value", "max_value", "top_values")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def sketch_columns(tables: dict[str, DataFrame], k: int = 5, items: int = 10_000) -> DataFrame:
+    """A24 in one pass and bounded memory, by mergeable sketches: HyperLogLog for
+    distinct values (2**14 registers: standard error 0.8 %), KLL for the
+    quartiles of numeric columns (size 400: rank error about 0.7 %) and heavy
+    hitters over ``items`` counters (exact up to that many distinct values, and
+    for larger ones a count is over by at most 3.5 rows in ``items`` of all)."""
+    from pyspark.sql import types as T
+    out = None
+    for name, df in tables.items():
+        aggs, rows = [], []
+        for f in df.schema.fields:
+            c, number = f.name, isinstance(f.dataType, T.NumericType)
+            text = F.col(c).cast("string")
+            aggs += [F.count(c).alias(f"{c}__n"), F.hll_sketch_agg(text, F.lit(14)).alias(f"{c}__hll"),
+                     F.expr(f"approx_top_k(cast(`{c}` AS string), {k + 1}, {items})").alias(f"{c}__top")]
+            if number:
+                aggs.append(F.expr(f"kll_sketch_agg_double(cast(`{c}` AS double), 400)").alias(f"{c}__kll"))
+            q = lambda p: F.expr(f"kll_sketch_get_quantile_double(`{c}__kll`, {p}D)") if number else F.lit(None).cast("double")  # noqa: E731, B023
+            found = F.slice(F.filter(F.col(f"{c}__top"), lambda r: r["item"].isNotNull()), 1, k)
+            rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__n").alias("n_values"), F.hll_sketch_estimate(f"{c}__hll").alias("n_distinct"),
+                                 q(0.25).alias("p25"), q(0.5).alias("p50"), q(0.75).alias("p75"),
+                                 F.transform(found, lambda r: F.struct(r["item"].alias("value"), r["count"].alias("n"))).alias("top")))
+        one = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("s")).select(F.lit(name).alias("table_name"), "s.*")
+        out = one if out is None else out.unionByName(one)
+    return out

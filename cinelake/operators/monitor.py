@@ -128,6 +128,40 @@ def psi(base: DataFrame, live: DataFrame, value: str = "rating", eps: float = PS
     return j.agg(F.sum((a - e) * F.log(a / e)).alias("psi"), F.count(F.lit(1)).alias("n_bins"))
 
 
+def rank_edges(base: DataFrame, value: str, n_bins: int = 10) -> list[float]:
+    """The baseline values of rank ceil(N * i / n_bins), i = 1 .. n_bins - 1,
+    without repeats: n_bins - 1 numbers at most, found through a running count
+    over the distinct values."""
+    counts = base.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    run = global_running_sums(counts, [F.col("x").asc()], ["n"], prefix="cum_")
+    total = run.agg(F.max("cum_n").alias("t")).first()["t"]
+    if not total:
+        return []
+    ranks = [-(-total * i // n_bins) for i in range(1, n_bins)]
+    held = F.exists(F.array(*[F.lit(r) for r in ranks]), lambda r: (r > F.col("cum_n") - F.col("n")) & (r <= F.col("cum_n")))
+    return sorted(r["x"] for r in run.where(held).select("x").collect()) if ranks else []
+
+
+def psi_binned(base: DataFrame, live: DataFrame, value: str, n_bins: int = 10, eps: float = PSI_EPS) -> DataFrame:
+    """T4 of a continuous column: the bins are cut at baseline ranks, a value
+    belongs to the bin of the first edge not below it (the last bin is open).
+    Per bin: (bin, upper, n_base, n_live, psi); the index is the sum of ``psi``.
+    Nulls are in no bin."""
+    edges = rank_edges(base, value, n_bins)
+    bounds = F.array(*[F.lit(e) for e in edges]) if edges else F.array().cast("array<double>")
+    of = lambda c: F.size(F.filter(bounds, lambda e: e < c)).cast("int")
+    one = lambda df, name: (df.where(F.col(value).isNotNull()).groupBy(of(F.col(value).cast("double")).alias("bin"))
+                            .agg(F.count(F.lit(1)).alias(name)))
+    spark = base.sparkSession
+    bins = spark.range(len(edges) + 1).select(F.col("id").cast("int").alias("bin"), F.get(bounds, F.col("id").cast("int")).alias("upper"))
+    j = bins.join(one(base, "n_base"), "bin", "left").join(one(live, "n_live"), "bin", "left").fillna(0, subset=["n_base", "n_live"])
+    t = j.agg(F.sum("n_base").alias("tb"), F.sum("n_live").alias("tl"))
+    j = j.crossJoin(F.broadcast(t))                                            # one-row frame
+    share = lambda n, total: F.greatest(F.coalesce(F.try_divide(F.col(n), F.col(total)), F.lit(0.0)), F.lit(eps))
+    e, a = share("n_base", "tb"), share("n_live", "tl")
+    return j.select("bin", "upper", "n_base", "n_live", ((a - e) * F.log(a / e)).alias("psi"))
+
+
 def latency_last_n(feed: DataFrame, n: int = 10_000) -> DataFrame:
     """The n most recent latency records (by ts, then event id), numbered
     by recency.  Selected exactly through an hourly histogram (newest hour

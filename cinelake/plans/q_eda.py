@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cinelake.functions.quantiles import exact_percentiles
 from cinelake.operators import eda as E
 from cinelake.operators.prep import epoch_seconds
 from cinelake.plans.registry import query
@@ -268,12 +269,13 @@ FROM (SELECT movieId, avg(rating) AS m_mean FROM interactions GROUP BY movieId)"
 def q_catalog_insights(spark, sf):
     r, m = S.interactions(spark, sf), S.movies(spark, sf)
     ms = E.movie_stats(r)
-    a = ms.agg(F.count(F.lit(1)).alias("n_rated_titles"), F.percentile("m_mean", 0.5).alias("median_movie_mean"),
-               F.percentile("m_mean", 0.9).alias("q90_movie_mean"), F.stddev_samp("m_mean").alias("std_movie_mean"))
+    a = ms.agg(F.count(F.lit(1)).alias("n_rated_titles"), F.stddev_samp("m_mean").alias("std_movie_mean"))
+    p = exact_percentiles(ms, "m_mean", {"median_movie_mean": 0.5, "q90_movie_mean": 0.9})
     g = r.agg(F.countDistinct("userId").alias("n_users"), F.count(F.lit(1)).alias("total_ratings"),
               F.avg("rating").alias("global_mean"))
     c = m.agg(F.count(F.lit(1)).alias("n_catalog"))
-    return c.crossJoin(g).crossJoin(a)   # one-row frames
+    return c.crossJoin(g).crossJoin(a).join(p, F.lit(True), "left").select(            # one-row frames
+        "n_catalog", "n_users", "total_ratings", "global_mean", "n_rated_titles", "median_movie_mean", "q90_movie_mean", "std_movie_mean")
 
 
 @query("mean_histogram", code="A23", floats=("mean_bin",), sql="""
@@ -307,6 +309,30 @@ def q_profile_table(spark, sf):
     return E.profile_table(S.interactions(spark, sf), "ratings")
 
 
+def _profile_sql(table, view, column, kind):
+    text = f"CAST({column} AS VARCHAR)"
+    return f"""SELECT '{table}' AS table_name, '{column}' AS column_name, '{kind}' AS data_type, count({column}) AS n_values,
+  count_if({column} IS NULL) AS n_nulls, count(DISTINCT {column}) AS n_distinct, CAST(min({column}) AS VARCHAR) AS min_value,
+  CAST(max({column}) AS VARCHAR) AS max_value,
+  (SELECT string_agg(x || ' (' || n || ')', ', ' ORDER BY n DESC, x) FROM (SELECT {text} AS x, count(*) AS n FROM {view}
+     WHERE {column} IS NOT NULL GROUP BY 1 ORDER BY n DESC, x LIMIT 5)) AS top_values FROM {view}"""
+
+
+@query("profile_columns", code="A24", sql="\nUNION ALL ".join(
+    _profile_sql(t, v, c, k) for t, v, cols in COLUMN_TYPES for c, k in cols))
+def q_profile_columns(spark, sf):
+    """Types, ends and most frequent values of every column of the four tables."""
+    return E.profile_columns(_canon(spark, sf))
+
+
+@query("profile_sketches", code="A24 (sketches)")
+def q_profile_sketches(spark, sf):
+    """The same columns from mergeable sketches; their errors are held against
+    the exact profile in the tests."""
+    s = E.sketch_columns(_canon(spark, sf))
+    return s.withColumn("top", F.array_join(F.transform("top", lambda r: F.format_string("%s (%d)", r["value"], r["n"])), ", "))
+
+
 @query("genre_affinity", code="A26", floats=("affinity",), sql="""
 SELECT i.userId, g.genre, sum(i.rating - 2.5E0) / max(n.n_u) AS affinity
 FROM interactions i

@@ -59,6 +59,25 @@ def q_psi(spark, sf):
     return T.psi(f.where(F.col("event_type") == "view"), f.where(F.col("event_type") == "purchase"))
 
 
+@query("psi_latency", code="T4 (continuous)", floats=("upper", "psi"), sql="""
+, b AS (SELECT latency_ms AS x FROM rating_feed WHERE event_type = 'view' AND latency_ms IS NOT NULL)
+, l AS (SELECT latency_ms AS x FROM rating_feed WHERE event_type = 'purchase' AND latency_ms IS NOT NULL)
+, r AS (SELECT x, row_number() OVER (ORDER BY x) AS rn, count(*) OVER () AS n FROM b)
+, e AS (SELECT list_sort(list(DISTINCT x)) AS edges FROM r
+        WHERE list_contains(list_transform(range(1, 10), lambda i: (n * i + 9) // 10), rn))
+, bins AS (SELECT unnest(range(0, len(edges) + 1)) AS bin, edges FROM e)
+, cb AS (SELECT len(list_filter(edges, lambda v: v < x)) AS bin, count(*) AS n FROM b, e GROUP BY 1)
+, cl AS (SELECT len(list_filter(edges, lambda v: v < x)) AS bin, count(*) AS n FROM l, e GROUP BY 1)
+, s AS (SELECT bins.bin, edges[bins.bin + 1] AS upper, coalesce(cb.n, 0) AS n_base, coalesce(cl.n, 0) AS n_live,
+          greatest(coalesce(cb.n, 0) / (SELECT count(*) FROM b), 1e-4) AS eb, greatest(coalesce(cl.n, 0) / (SELECT count(*) FROM l), 1e-4) AS al
+        FROM bins LEFT JOIN cb ON cb.bin = bins.bin LEFT JOIN cl ON cl.bin = bins.bin)
+SELECT bin, upper, n_base, n_live, (al - eb) * ln(al / eb) AS psi FROM s""")
+def q_psi_latency(spark, sf):
+    """Ten bins over the latency, cut at baseline ranks."""
+    f = S.rating_feed(spark, sf)
+    return T.psi_binned(f.where(F.col("event_type") == "view"), f.where(F.col("event_type") == "purchase"), "latency_ms")
+
+
 @query("latency_last_n", code="W10", floats=("latency_ms",), sql="""
 SELECT event_id, latency_ms, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS recency FROM (
   SELECT * FROM rating_feed ORDER BY ts DESC, event_id DESC LIMIT 10000)""")
@@ -189,3 +208,51 @@ def q_stream_popularity(spark, sf):
     from cinelake.streaming import drift as D
     counts = D.run_windows(D.rating_event_stream(spark, sf), D.movie_popularity_stream, "movie_popularity")
     return D.window_popularity(counts, bayesian_popularity(S.interactions(spark, sf)))
+
+
+SLICES = 4
+
+
+def _slices():
+    return [F.pmod("event_id", F.lit(SLICES)) == i for i in range(SLICES)]
+
+
+@query("stream_latency_buffer", code="T3 (state)", floats=("latency_ms",), sql="""
+SELECT event_id, latency_ms, row_number() OVER (ORDER BY ts DESC, event_id DESC) AS recency FROM (
+  SELECT * FROM rating_feed ORDER BY ts DESC, event_id DESC LIMIT 10000)""")
+def q_stream_latency_buffer(spark, sf):
+    """The rolling buffer as state of the stream: the feed lands in slices that
+    are not in order of time, the stream is started again for each, and the
+    shards' last buffers are merged."""
+    from pyspark.sql import Window
+    from cinelake.streaming import buffers as B
+    feed = S.rating_feed(spark, sf).select("event_id", F.timestamp_micros(F.timestamp_diff(
+        "MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))).alias("ts"), "latency_ms")
+    newest = B.merged_buffer(B.run_in_slices(spark, feed, _slices(), B.latency_buffer_stream, "latency-buffer"))
+    order = Window.orderBy(F.col("ts").desc(), F.col("event_id").desc())      # the buffer's rows
+    return newest.select("event_id", "latency_ms", F.row_number().over(order).alias("recency"))
+
+
+@query("stream_drift_cumulative", code="T2 (state)", floats=("ks_statistic", "p_value"), sql=f"""
+, f AS (SELECT *, event_id % {SLICES} AS slice FROM rating_feed)
+, b AS (SELECT rating AS x, count(*) AS cb FROM f WHERE event_type = 'view' GROUP BY 1)
+, xs AS (SELECT DISTINCT rating AS x FROM f WHERE event_type IN ('view', 'purchase'))
+, l AS (SELECT slice, rating AS x, count(*) AS cl FROM f WHERE event_type = 'purchase' GROUP BY 1, 2)
+, g AS (SELECT s.slice AS batch, xs.x, coalesce(max(b.cb), 0) AS cb, coalesce(sum(l.cl), 0) AS cl
+        FROM (SELECT DISTINCT slice FROM l) s CROSS JOIN xs LEFT JOIN b ON b.x = xs.x LEFT JOIN l ON l.x = xs.x AND l.slice <= s.slice
+        GROUP BY s.slice, xs.x)
+, c AS (SELECT batch, sum(cb) OVER w AS cum_cb, sum(cl) OVER w AS cum_cl, sum(cb) OVER (PARTITION BY batch) AS n_base,
+               sum(cl) OVER (PARTITION BY batch) AS n_live FROM g
+        WINDOW w AS (PARTITION BY batch ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+, st AS (SELECT batch, n_base, n_live, max(abs(cum_cb / n_base - cum_cl / n_live)) AS D FROM c GROUP BY batch, n_base, n_live)"""
+    + ks_report_sql("st", "row_number() OVER (ORDER BY batch) AS batch,"))
+def q_stream_drift_cumulative(spark, sf):
+    """Drift of all live ratings so far, one row per micro-batch of the stream."""
+    from pyspark.sql import Window
+    from cinelake.streaming import buffers as B
+    f = S.rating_feed(spark, sf)
+    base = f.where(F.col("event_type") == "view")
+    live = f.where(F.col("event_type") == "purchase").select("event_id", "rating")
+    out = B.run_in_slices(spark, live, _slices(), lambda s: B.cumulative_drift_stream(s, base), "rating-drift")
+    ordered = out.withColumn("batch", F.row_number().over(Window.orderBy("batch")))      # one row a micro-batch
+    return T.ks_report(ordered)

@@ -67,7 +67,7 @@ def normalize(df: DataFrame) -> DataFrame:
 
 
 MODULES = ("q_prep", "q_eda", "q_popularity", "q_windows", "q_text", "q_neighbors", "q_latent",
-           "q_hybrid", "q_supervised", "q_evaluate", "q_monitor", "q_store")
+           "q_hybrid", "q_supervised", "q_evaluate", "q_monitor", "q_store", "q_csv")
 
 
 def load_all() -> dict[str, Entry]:

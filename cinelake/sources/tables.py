@@ -103,22 +103,53 @@ def rating_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- CSV layout
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+# Text columns hold doubled quotes, commas and newlines inside quotes; a file
+# with newlines in its fields cannot be split, so only those tables pay for it.
+CSV_TABLES = {"ratings": (RATINGS_SCHEMA, False), "movies": (MOVIES_SCHEMA, True), "tags": (TAGS_SCHEMA, True), "links": (LINKS_SCHEMA, False)}
+_BAD = "_corrupt_record"
+
+
+def csv_rows(spark: SparkSession, data_dir: str, table: str) -> DataFrame:
+    """All records of ``<table>.csv`` (a file or a folder of files) with the
+    table's schema; ``_corrupt_record`` holds the text of malformed ones. Quotes
+    inside a field are doubled, as the published files have them. Every field is
+    parsed, whichever are read: a record is malformed or not for all queries."""
+    schema, multi_line = CSV_TABLES[table]
+    rows = (spark.read.schema(T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())]))
+            .option("header", True).option("escape", '"').option("multiLine", multi_line)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).csv(os.path.join(data_dir, f"{table}.csv")))
+    # always true, but it keeps every field in the scan: a field that is pruned is not looked at
+    return rows.where(F.xxhash64(*schema.names) >= F.lit(-(1 << 63)))
+
+
+def load_csv(spark: SparkSession, data_dir: str, table: str) -> DataFrame:
+    """The well-formed records; empty strings are nulls."""
+    rows = csv_rows(spark, data_dir, table).where(F.col(_BAD).isNull()).drop(_BAD)
+    return rows.select(*[F.nullif(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                         for f in rows.schema.fields])
+
+
+def quarantined_csv(spark: SparkSession, data_dir: str, table: str) -> DataFrame:
+    """(table_name, record): the malformed records that ``load_csv`` leaves out."""
+    rows = csv_rows(spark, data_dir, table)
+    return rows.where(F.col(_BAD).isNotNull()).select(F.lit(table).alias("table_name"), F.col(_BAD).alias("record"))
+
+
+def write_csv(df: DataFrame, data_dir: str, table: str, mode: str = "errorifexists") -> None:
+    """``df`` as ``<table>.csv`` in the published dialect (doubled quotes)."""
+    df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "").csv(os.path.join(data_dir, f"{table}.csv"))
 
 
 def load_ratings_csv(spark: SparkSession, data_dir: str) -> DataFrame:
-    df = read_csv_table(spark, os.path.join(data_dir, "ratings.csv"), RATINGS_SCHEMA)
-    return df.withColumn("ts", F.timestamp_seconds("timestamp"))
+    return load_csv(spark, data_dir, "ratings").withColumn("ts", F.timestamp_seconds("timestamp"))
 
 
 def load_movies_csv(spark: SparkSession, data_dir: str) -> DataFrame:
-    return read_csv_table(spark, os.path.join(data_dir, "movies.csv"), MOVIES_SCHEMA)
+    return load_csv(spark, data_dir, "movies")
 
 
 def load_tags_csv(spark: SparkSession, data_dir: str) -> DataFrame:
-    df = read_csv_table(spark, os.path.join(data_dir, "tags.csv"), TAGS_SCHEMA)
-    return df.withColumn("ts", F.timestamp_seconds("timestamp"))
+    return load_csv(spark, data_dir, "tags").withColumn("ts", F.timestamp_seconds("timestamp"))
 
 
 def load_links_csv(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -126,7 +157,7 @@ def load_links_csv(spark: SparkSession, data_dir: str) -> DataFrame:
     raised.  The path is looked up by Spark, so any store it reads will do."""
     from pyspark.errors import AnalysisException
     try:
-        return read_csv_table(spark, os.path.join(data_dir, "links.csv"), LINKS_SCHEMA)
+        return load_csv(spark, data_dir, "links")
     except AnalysisException as ex:
         if ex.getCondition() != "PATH_NOT_FOUND":
             raise
