@@ -264,9 +264,9 @@ def mine(rows: DataFrame, anchor_every: int = 100, positives: int = 5, negatives
 
 ORACLE_SQL = """
 WITH fine AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-        list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q FROM embeddings
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
       WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.q, r.q)::BIGINT AS score
       FROM fine a JOIN fine r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
 p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
