@@ -1,8 +1,9 @@
 """Neighbourhood recommenders (R1-R4, R9, R9b, R15) as set jobs over all
 seeds / users at once.  Output lists are ``(seed, rank, movieId, sim)``.
 
-All cosine work goes through ``similarity.blocked_topk`` (exact, blocked,
-no all-pairs rows in the shuffle).  R1 additionally collapses movies to their
+Cosines of non-negative vectors go through ``pruned.pruned_topk`` (exact, with
+upper bounds), those of a few dense or signed vectors through
+``similarity.blocked_topk`` (exact, all pairs in blocks).  R1 additionally collapses movies to their
 distinct genre *sets* before scoring, because the similarity of two movies
 depends only on their two sets: heavy genres then cost sets x sets, not
 movies x movies.
@@ -17,6 +18,7 @@ from cinelake.functions.ranking import top_k_per_group
 from cinelake.functions.text import genre_vocab_array
 from cinelake.operators import textfeat as X
 from cinelake.operators.prep import enrich_movies, frequent_tags
+from cinelake.operators.pruned import pruned_topk
 from cinelake.operators.similarity import blocked_topk, l2_normalize, pad_with_zero
 
 SIM_DP = 12   # similarities are rounded before ranking so near-equal floats tie
@@ -69,7 +71,7 @@ def similar_by_tags(movies: DataFrame, tags: DataFrame, k: int = 10) -> DataFram
     """R2: cosine over tag TF-IDF (min_df 2); movies without
     tag terms have no list; only similarities > 0."""
     v = tag_vectors(movies, tags)
-    return _as_list(blocked_topk(v, v, k, min_sim=0.0, strict=True), "seed", k)
+    return _as_list(pruned_topk(v, v, k), "seed", k)
 
 
 def content_vectors(movies: DataFrame, tags: DataFrame, min_tag_freq: int = 2) -> DataFrame:
@@ -84,7 +86,7 @@ def similar_by_content(movies: DataFrame, tags: DataFrame, k: int = 10) -> DataF
     """Cosine over the weighted genre || tag || title stack, clamped at 0,
     zero-similarity rows may fill the list."""
     v = content_vectors(movies, tags)
-    top = blocked_topk(v, v, k, min_sim=0.0, strict=True)
+    top = pruned_topk(v, v, k)
     seeds = v.select(F.col("id").alias("sid")).distinct()
     padded = pad_with_zero(top, seeds, movies.select(F.col("movieId").alias("iid")), k)
     return _as_list(padded, "seed", k)
@@ -107,7 +109,7 @@ def recommend_from_profile(ratings: DataFrame, movies: DataFrame, tags: DataFram
     iv = item_vecs if item_vecs is not None else content_vectors(movies, tags)
     prof = user_profiles(ratings, iv)
     seen = ratings.select(F.col("userId").alias("sid"), F.col("movieId").alias("iid"))
-    top = blocked_topk(prof, iv, k, exclude=seen, exclude_self=False, min_sim=0.0, strict=True)
+    top = pruned_topk(prof, iv, k, exclude=seen, exclude_self=False)
     seeds = prof.select(F.col("id").alias("sid")).distinct()
     padded = pad_with_zero(top, seeds, movies.select(F.col("movieId").alias("iid")), k, exclude=seen,
                            exclude_self=False)
@@ -118,7 +120,7 @@ def item_item_cf(ratings: DataFrame, k: int = 10) -> DataFrame:
     """Cosine between item rating columns (users as terms), clamped at 0,
     zero rows fill from the rated-item universe."""
     v = _vec(ratings, "movieId", "userId", "rating")
-    top = blocked_topk(v, v, k, min_sim=0.0, strict=True)
+    top = pruned_topk(v, v, k)
     seeds = v.select(F.col("id").alias("sid")).distinct()
     padded = pad_with_zero(top, seeds, ratings.select(F.col("movieId").alias("iid")), k)
     return _as_list(padded, "seed", k)
@@ -127,7 +129,7 @@ def item_item_cf(ratings: DataFrame, k: int = 10) -> DataFrame:
 def user_neighbours(ratings: DataFrame, n_neighbors: int = 30) -> DataFrame:
     """The n most similar other users with similarity > 0: (userId, nbr, sim)."""
     v = _vec(ratings, "userId", "movieId", "rating")
-    nb = blocked_topk(v, v, n_neighbors, min_sim=0.0, strict=True)
+    nb = pruned_topk(v, v, n_neighbors)
     return _round(nb).select(F.col("sid").alias("userId"), F.col("iid").alias("nbr"), "sim")
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.functions.ranking import first_k_unseen, global_rank, top_k_per_group
-from cinelake.session import cut_lineage
+from cinelake.session import cut_lineage, written
 
 DENSE_CELLS = 8_000_000      # max doubles in one term-chunk of a block (64 MB)
 MAX_PAIRS = 8_000_000        # max expanded (seed entry, item entry) pairs per step
@@ -133,7 +133,8 @@ def _kernel(k: int, exclude_self: bool, min_sim: float, strict: bool):
         sw, iw = vec["w"].to_numpy(dtype="float64"), right["w"].to_numpy(dtype="float64")
         ns, ni, d = len(sids), len(iids), len(uniq)
         sim = _dot_block(ns, ni, d, s_row, sc, sw, i_row, ic, iw)
-        keep = (sim > min_sim) if strict else (sim >= min_sim)
+        simr = np.round(sim, 12)   # near-equal floats tie, then the id decides
+        keep = (simr > min_sim) if strict else (simr >= min_sim)
         if exclude_self:
             pos = np.searchsorted(iids, sids)
             hit = (pos < ni) & (iids[np.minimum(pos, ni - 1)] == sids)
@@ -147,7 +148,6 @@ def _kernel(k: int, exclude_self: bool, min_sim: float, strict: bool):
             keep[er[ok2], ec[ok2]] = False
         # only entries >= the row's k-th best value can rank: a partial
         # partition per row instead of sorting every scored pair
-        simr = np.round(sim, 12)   # near-equal floats tie, then the id decides
         simr[~keep] = -np.inf
         if ni > k:
             kth = -np.partition(-simr, k - 1, axis=1)[:, k - 1]
@@ -280,9 +280,11 @@ def pad_with_zero(topk: DataFrame, seeds: DataFrame, universe: DataFrame, k: int
     the list (brute-force kNN returns such rows when too few items are
     similar).  The pads are the k smallest unexcluded ranks of the id-ordered
     universe (``first_k_unseen``), so no seed x universe product is formed."""
-    topk = cut_lineage(topk.select("sid", "iid", "sim"))     # read three times below
-    short = (topk.groupBy("sid").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") < k).select("sid")
-             .unionByName(seeds.select("sid").join(topk.select("sid").distinct(), "sid", "left_anti")))
+    topk = written(topk.select("sid", "iid", "sim"), "topk")       # read three times below
+    counts = topk.groupBy("sid").agg(F.count(F.lit(1)).alias("c"))
+    short = written(seeds.select("sid").join(counts, "sid", "left").where(F.coalesce("c", F.lit(0)) < k).select("sid"), "topk-short")
+    if short.isEmpty():
+        return top_k_per_group(topk, "sid", k, [F.col("sim").desc(), F.col("iid").asc()])
     ranked = global_rank(universe.select(F.col("iid").cast("long").alias("iid")).distinct(),
                          [F.col("iid").asc()], rank_col="urank")
     taken = topk.select("sid", "iid").join(short, "sid", "left_semi")

@@ -185,10 +185,25 @@ def q_corating_self_join(spark, sf):
     """The shared-user pair counts behind every item neighbour query, as each
     movie's 10 most co-rated movies.  Not a literal self join on userId (a
     heavy user would emit all pairs of their movies): binary user vectors go
-    through the blocked kernel, whose dot products are the shared-user counts."""
-    from cinelake.operators.similarity import blocked_topk
+    through the kernel with bounds, whose dot products are the shared-user counts."""
+    from cinelake.operators.pruned import pruned_topk
     v = S.interactions(spark, sf).select(F.col("movieId").alias("id"), F.col("userId").alias("term"),
                                          F.lit(1.0).alias("w"))
-    top = blocked_topk(v, v, 10, normalize=False)
+    top = pruned_topk(v, v, 10, normalize=False)
     return top.select(F.col("sid").alias("movieId"), "rank", F.col("iid").alias("other"),
                       F.col("sim").cast("bigint").alias("n_shared"))
+
+
+@query("neighbour_pruning", code="R2/R3/R9/R9b (work)")
+def q_neighbour_pruning(spark, sf):
+    """Of the (seed, run of ids) cells that each neighbour query has, how many
+    its bounds left to be scored."""
+    from cinelake.operators import pruned as P
+    r, m, t = S.interactions(spark, sf), S.movies(spark, sf), S.tags(spark, sf)
+    out = None
+    for name, k, v in (("similar_by_tags", 10, N.tag_vectors(m, t)), ("similar_by_content", 10, N.content_vectors(m, t)),
+                       ("item_item_cf", 10, r.select(F.col("movieId").alias("id"), F.col("userId").alias("term"), F.col("rating").alias("w"))),
+                       ("user_user_cf", 30, r.select(F.col("userId").alias("id"), F.col("movieId").alias("term"), F.col("rating").alias("w")))):
+        one = P.pruned_share(P.candidates(v, v, k)).select(F.lit(name).alias("query"), "cells", "scored", "pruned")
+        out = one if out is None else out.unionByName(one)
+    return out
