@@ -23,31 +23,23 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-MAGIC = b"TKR2"
+MAGIC = b"TKR3"
 STEP = 12                     # added to a symbol's frequency; BLOCK * STEP + the first total stays below 2**15
 FIRST = 4                     # first frequency of every symbol
 SLOTS = 256                   # of each block's order-1 and order-2 tables; a power of two
-MAX_BITS = 20                 # ids below 2**20
+# Order 0: ids of 16 bits in classes of 2**bits neighbours, low ones (single bytes
+# and frequent pairs) finer.
+CLASS_BITS = (3, 3, 4, 5, 6, 7, 8, 10, 11, 12, 14, 15, 14)
 
 _ALL = np.uint64((1 << 64) - 1)
 _LEAST = np.uint64(1 << 32)
 _DIGIT = np.uint64(32)
 _LOW32 = np.uint64((1 << 32) - 1)
-_CLASSES = MAX_BITS           # one class for each power of two, with ids 0 and 1 in the first
-SYMBOLS = _CLASSES + 2
-
-
-def _class_tables() -> tuple[np.ndarray, np.ndarray]:
-    """Least id and number of remaining bits of each class: ids 0 and 1, then
-    every range from a power of two to the next."""
-    bits = np.maximum(np.arange(_CLASSES), 1)
-    return np.where(np.arange(_CLASSES) > 0, 1 << bits, 0).astype(np.int64), bits.astype(np.uint64)
-
-
-CLASS_BASE, CLASS_BITS = _class_tables()
-CLASS_OF = np.repeat(np.arange(_CLASSES, dtype=np.int16), np.left_shift(1, CLASS_BITS.astype(np.int64)))   # of every id
-_BITS = np.concatenate([np.zeros(2, np.uint64), CLASS_BITS])      # by symbol
-_BASE = np.concatenate([np.zeros(2, np.int64), CLASS_BASE])
+SYMBOLS = len(CLASS_BITS) + 2
+CLASS_BASE = np.concatenate([[0], np.cumsum(np.left_shift(1, np.array(CLASS_BITS)))])[:-1]
+CLASS_OF = np.repeat(np.arange(len(CLASS_BITS)), np.left_shift(1, np.array(CLASS_BITS)))[:1 << 16] + 2     # the symbol of every id
+_BITS = np.concatenate([np.zeros(2), CLASS_BITS]).astype(np.uint64)      # by symbol
+_BASE = np.concatenate([np.zeros(2), CLASS_BASE]).astype(np.int64)
 # A row of running frequencies: before each symbol, the total, then padding that
 # no value reaches. Rows are moved as single elements of ROW bytes.
 WIDTH = -(-(SYMBOLS + 1) // 8) * 8
@@ -58,6 +50,7 @@ _RAISE = np.where((np.arange(WIDTH)[None, :] > np.arange(SYMBOLS)[:, None]) & (n
                   STEP, 0).astype(np.int16)
 _RAISE_ROWS = _RAISE.view(_ROW).ravel()
 _BYTE_SUM = np.uint64(0x0101010101010101)
+_NONE = 0xFFFF                # nothing followed yet (or the last id: both sides read it alike)
 
 
 class _Model:
@@ -67,8 +60,8 @@ class _Model:
         lane = np.arange(n)
         self.slot, self.four, self.wide = lane * SLOTS, lane * 4, lane * WIDTH
         self.rows = np.tile(_START, (4 * n, 1)).view(_ROW).ravel()
-        self.one = np.full(n * SLOTS, -1, np.int32)
-        self.two = np.full(n * SLOTS, -1, np.int32)
+        self.one = np.full(n * SLOTS, _NONE, np.uint16)
+        self.two = np.full(n * SLOTS, _NONE, np.uint16)
         self.c1 = np.zeros(n, np.int32)
         self.at1, self.mixed = self.slot.copy(), np.zeros(n, np.int32)
 
@@ -79,7 +72,7 @@ class _Model:
             self.slot, self.four, self.wide = self.slot[:m], self.four[:m], self.wide[:m]
         self.at2 = self.slot + ((self.mixed ^ (self.c1 * 0x5BD1E5)) & (SLOTS - 1))
         one, two = self.one.take(self.at1), self.two.take(self.at2)
-        self.row = self.four + (two >= 0)
+        self.row = self.four + (two != _NONE)
         self.row += self.row
         self.row -= self.four
         self.row += two == one
@@ -107,10 +100,11 @@ class _Model:
 
     def learn(self, symbol, ids):
         """``ids`` (32 bits) followed; the next contexts are theirs."""
+        narrow = ids.astype(np.uint16)
         self.cum += _RAISE_ROWS.take(symbol).view(np.int16)
         self.rows[self.row] = self.cum.view(_ROW)
-        self.one[self.at1] = ids
-        self.two[self.at2] = ids
+        self.one[self.at1] = narrow
+        self.two[self.at2] = narrow
         self.mixed = (self.c1 * 0x2C1B3C) >> 5
         self.c1 = ids
         self.at1 = self.slot + (((ids * 0x297A2D) >> 8) & (SLOTS - 1))
@@ -123,7 +117,7 @@ def _active(sizes: np.ndarray) -> np.ndarray:
 
 
 def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
-    """The coded blocks of ``ids``."""
+    """The coded blocks of ``ids`` (of 16 bits)."""
     n = -(-len(ids) // block)
     if not n:
         return []
@@ -143,15 +137,19 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
             done.append((low[m:], used[m:]))
             low, span, used = low[:m], span[:m], used[:m]
         one, two = model.predict(m)
-        cls = CLASS_OF.take(now)
-        symbol = np.where(two == now, 0, np.where(one == now, 1, cls + 2))
+        symbol = CLASS_OF.take(now)
+        symbol[one == now] = 1
+        symbol[two == now] = 0
         start, size = model.bounds(symbol)
         r = span // model.total()
         add = r * start
         r *= size
         r >>= _BITS.take(symbol)
-        rest = (now - _BASE.take(symbol)) * (symbol > 1)
-        add += r * rest.astype(np.uint64)
+        rest = now - _BASE.take(symbol)
+        rest *= symbol > 1
+        rest = rest.view(np.uint64)
+        rest *= r
+        add += rest
         add += low
         over = np.flatnonzero(add < low)
         if len(over):
@@ -208,43 +206,47 @@ def decode_blocks(blocks: list[bytes], sizes: np.ndarray) -> np.ndarray:
         code[more] = (code[more] << _DIGIT) | stream.take(at[more], mode="clip")
         span[more] <<= _DIGIT
         at[more] += 1
-        ids = np.where(symbol > 1, _BASE.take(symbol) + rest.astype(np.int64), np.where(symbol == 1, one, two)).astype(np.int32)
+        ids = np.where(symbol > 1, (_BASE.take(symbol) + rest.view(np.int64)).astype(np.int32), np.where(symbol == 1, one, two))
         out[t, :m] = ids
         model.learn(symbol, ids)
     return np.concatenate([out[:s, i] for i, s in enumerate(sizes.tolist())]).astype(np.uint32)
 
 
-# A segment is MAGIC, four counts (ids, ids of a block, blocks, bytes of coded
-# blocks; little-endian unsigned 32-bit), then for each block its bytes and the
-# CRC-32 of its ids, then the blocks.
-_HEAD = struct.Struct("<4s4I")
+# A segment is MAGIC, five counts (ids, ids of a block, blocks of a plane, planes,
+# bytes of coded blocks; little-endian unsigned 32-bit), then the bytes of each
+# block of each plane, the CRC-32 of the ids of each block, and the blocks. A
+# plane holds 16 bits of every id; ids below 2**16 have one, others two.
+_HEAD = struct.Struct("<4s5I")
 
 
 def pack_segment(ids: np.ndarray, block: int = BLOCK) -> bytes:
-    if len(ids) and int(ids.max()) >= 1 << MAX_BITS:
-        raise ValueError(f"an id is not below {1 << MAX_BITS}")
-    blocks = encode_blocks(ids, block)
     raw = ids.astype("<u4")
-    sums = [zlib.crc32(raw[i * block:(i + 1) * block].tobytes()) for i in range(len(blocks))]
-    table = np.array([[len(b) for b in blocks], sums], "<u4").T.tobytes()
-    body = b"".join(blocks)
-    return _HEAD.pack(MAGIC, len(ids), block, len(blocks), len(body)) + table + body
+    planes = [raw & np.uint32(0xFFFF)] + ([raw >> np.uint32(16)] if len(ids) and int(ids.max()) >> 16 else [])
+    blocks = [encode_blocks(p, block) for p in planes]
+    n = len(blocks[0])
+    sums = [zlib.crc32(raw[i * block:(i + 1) * block].tobytes()) for i in range(n)]
+    table = np.array([len(b) for plane in blocks for b in plane] + sums, "<u4").tobytes()
+    body = b"".join(b for plane in blocks for b in plane)
+    return _HEAD.pack(MAGIC, len(ids), block, n, len(planes), len(body)) + table + body
 
 
 def unpack_segment(data: bytes) -> np.ndarray:
     """The ids of a segment; raises ValueError if it is damaged."""
     if len(data) < _HEAD.size:
         raise ValueError("truncated segment")
-    magic, count, block, n, size = _HEAD.unpack_from(data)
-    head = _HEAD.size + 8 * n
-    if magic != MAGIC or len(data) != head + size or n != -(-count // block):
+    magic, count, block, n, planes, size = _HEAD.unpack_from(data)
+    head = _HEAD.size + 4 * n * (planes + 1)
+    if magic != MAGIC or len(data) != head + size or not block or n != -(-count // block) or planes not in (1, 2):
         raise ValueError("not a segment, or truncated")
-    table = np.frombuffer(data, "<u4", 2 * n, _HEAD.size).reshape(n, 2)
-    ends = head + np.cumsum(table[:, 0].astype(np.int64))
+    table = np.frombuffer(data, "<u4", n * (planes + 1), _HEAD.size).reshape(planes + 1, n)
+    ends = head + np.cumsum(table[:planes].astype(np.int64).ravel()).reshape(planes, n)
     sizes = np.minimum(block, count - block * np.arange(n))
-    ids = decode_blocks([data[e - s:e] for e, s in zip(ends.tolist(), table[:, 0].tolist())], sizes)
+    ids = np.zeros(count, np.uint32)
+    for p in range(planes):
+        plane = decode_blocks([data[e - s:e] for e, s in zip(ends[p].tolist(), table[p].tolist())], sizes)
+        ids |= plane << np.uint32(16 * p)
     raw = ids.astype("<u4")
-    for i, want in enumerate(table[:, 1].tolist()):
+    for i, want in enumerate(table[planes].tolist()):
         if zlib.crc32(raw[i * block:(i + 1) * block].tobytes()) != want:
             raise ValueError(f"checksum of block {i} does not match")
     return ids

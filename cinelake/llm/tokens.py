@@ -27,8 +27,8 @@ import pyarrow as pa
 
 from cinelake.llm import bytekernel as bk
 
-CACHE_UNITS = 300_000
-CACHE_IDS = 2_000_000
+CACHE_UNITS = 500_000
+CACHE_IDS = 3_500_000
 CHUNK = 1 << 22                # bytes of the texts that are cut together, or one longer text
 JOINED = 1 << 18               # bytes of units that are tokenised together
 ROWS = 1000                    # of an Arrow batch whose values are Python objects at a time

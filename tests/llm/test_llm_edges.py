@@ -174,7 +174,7 @@ def test_token_file_edges(docs, none, spark):
 
 
 @pytest.mark.parametrize("ids", [
-    [], [0], [(1 << 20) - 1, 0, 1, 2, 3], [7] * 5000, [5, 6, 7] * 2000, list(range(4097)),
+    [], [0], [(1 << 20) - 1, 0, 1, 2, 3], [(1 << 32) - 1, 0, 1 << 31], [65535] * 300 + [65534, 0] * 200, [7] * 5000, [5, 6, 7] * 2000, list(range(4097)),
     np.random.default_rng(0).integers(0, 1 << 20, 9000).tolist(), (np.random.default_rng(1).zipf(1.2, 9000) % 50_000).tolist()])
 def test_range_coder_round_trip(ids):
     ids = np.array(ids, np.uint32)
@@ -189,8 +189,6 @@ def test_range_coder_finds_damage():
     for broken in (data[:-1], b"XXXX" + data[4:], data[:200] + bytes([data[200] ^ 1]) + data[201:], b""):
         with pytest.raises(ValueError):
             rangecoder.unpack_segment(bytes(broken))
-    with pytest.raises(ValueError):
-        rangecoder.pack_segment(np.array([1 << 20]))
 
 
 def test_language_edges(docs, none, spark):
