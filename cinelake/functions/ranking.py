@@ -125,8 +125,10 @@ def first_n_exact(df: DataFrame, n: int, order: list[Column], bucket: Column) ->
     the n-th row falls; only that one (bucket, rows before it) pair reaches the
     driver.  Rows of earlier buckets are kept by a plain filter, and the sorted
     limit runs over the boundary bucket alone for the remaining rows.  The
-    result is the same row set as the sort + limit.
+    result is the same row set as the sort + limit; rows without a bucket come
+    last.
     """
+    bucket = F.coalesce(bucket.cast("bigint"), F.lit((1 << 63) - 1))
     hist = df.select(bucket.alias("_b")).groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
     cum = global_running_sums(hist, [F.col("_b").asc()], ["_c"])
     hit = cum.where(F.col("cum__c") >= F.lit(n)).orderBy("_b").limit(1).select(

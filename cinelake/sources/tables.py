@@ -137,7 +137,8 @@ def quarantined_csv(spark: SparkSession, data_dir: str, table: str) -> DataFrame
 
 def write_csv(df: DataFrame, data_dir: str, table: str, mode: str = "errorifexists") -> None:
     """``df`` as ``<table>.csv`` in the published dialect (doubled quotes)."""
-    df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "").csv(os.path.join(data_dir, f"{table}.csv"))
+    (df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(os.path.join(data_dir, f"{table}.csv")))
 
 
 def load_ratings_csv(spark: SparkSession, data_dir: str) -> DataFrame:
