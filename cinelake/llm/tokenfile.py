@@ -27,7 +27,8 @@ from cinelake.llm.common import mixed_partitions
 from cinelake.llm.rangecoder import BLOCK, pack_segment, unpack_segment
 from cinelake.llm.tokens import encoder, with_end
 
-SEGMENT = 2048 * BLOCK         # ids from which a segment is closed
+SEGMENT = 4096 * BLOCK         # ids from which a segment is closed
+CACHED = 1_200_000             # units of text that a worker remembers
 
 
 def _write(path: str, end_id: int, segment: int, special: bool):
@@ -50,7 +51,7 @@ def _write(path: str, end_id: int, segment: int, special: bool):
 
         for batch in batches:
             doc_ids = batch.column("doc_id")
-            for i, j, flat, bounds in encoder(path, special).encode(batch.column("text")):
+            for i, j, flat, bounds in encoder(path, special, CACHED).encode(batch.column("text")):
                 flat, bounds = with_end(flat, bounds, end_id)
                 a, n = 0, j - i
                 while a < n:           # whole documents up to the one that fills the segment

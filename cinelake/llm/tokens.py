@@ -28,7 +28,7 @@ import pyarrow as pa
 from cinelake.llm import bytekernel as bk
 
 CACHE_UNITS = 500_000
-CACHE_IDS = 3_500_000
+CACHE_IDS = 7                  # a unit, on average, at most
 CHUNK = 1 << 22                # bytes of the texts that are cut together, or one longer text
 JOINED = 1 << 18               # bytes of units that are tokenised together
 ROWS = 1000                    # of an Arrow batch whose values are Python objects at a time
@@ -42,7 +42,7 @@ _OTHER, _SPACE, _SEPARATOR, _ALNUM, _STOP, _WIDE = range(6)
 _CLASS = bytes(_SPACE if b == 0x20 or 0x09 <= b <= 0x0D else _SEPARATOR if 0x1C <= b <= 0x1F else _WIDE if b >= 0x80
                else _ALNUM if chr(b).isalnum() else _STOP if chr(b) in ".," else _OTHER for b in range(256))
 
-_ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
+_ENCODERS: dict[tuple[str, bool, int], "Encoder"] = {}
 
 
 def _ends_in_wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -73,7 +73,8 @@ def _byte_of() -> dict[str, int]:
 class Encoder:
     """Encodes string columns with the tokenizer file at ``path``."""
 
-    def __init__(self, path: str, special: bool = False):
+    def __init__(self, path: str, special: bool = False, units: int = CACHE_UNITS):
+        self.units = units
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -116,8 +117,8 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, raw: bytes, starts: np.ndarray, ends: np.ndarray):
-        """Ids of the new units ``raw[start:end]``. Plain words, with a blank in
+    def _learn(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places of the new units ``raw[start:end]``, with their ids. Plain words, with a blank in
         front at most, are encoded as lines of one text: a newline is a
         pre-token between them, so its id, which no word holds, parts their ids."""
         data = np.frombuffer(raw, np.uint8)
@@ -126,17 +127,19 @@ class Encoder:
         blank = data[starts] == 0x20
         run = np.concatenate([[0], np.cumsum(odd)])
         plain = (run[ends] - run[starts] == blank) & (ends - starts <= LONG_UNIT) & (ends - starts > blank)
+        for m in self.marks:
+            m = m.encode()
+            if m in raw:                                     # units with a special string are few
+                plain &= [m not in raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        where = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        places = np.empty(len(starts), np.int64)
+        places[where] = len(self.index) + np.arange(len(where))
         names = [raw[a:b] for a, b in zip(starts[plain].tolist(), ends[plain].tolist())]
         others = [raw[a:b] for a, b in zip(starts[~plain].tolist(), ends[~plain].tolist())]
-        marks = [m.encode() for m in self.marks]
         for i, j in bk.doc_chunks(np.concatenate([[0], np.cumsum([len(u) for u in names])]).astype(np.int64), JOINED):
             part = names[i:j]
-            joined = b"\n".join(part) + b"\n"
-            if any(m in joined for m in marks):
-                others += [u for u in part if any(m in u for m in marks)]
-                part = [u for u in part if not any(m in u for m in marks)]
-                joined = b"".join(u + b"\n" for u in part)
-            ids = np.array(self.words.encode_ordinary(joined.decode("utf-8", "replace")), np.uint32)
+            text = (b"\n".join(part) + b"\n").decode("utf-8", "replace")
+            ids = np.array(self.words.encode_ordinary(text), np.uint32)
             gaps = np.flatnonzero(ids == self.words.encode_single_token("\n"))
             assert len(gaps) == len(part), "a unit holds a newline"
             keep = np.ones(len(ids), bool)
@@ -146,6 +149,7 @@ class Encoder:
             found = self._library([u.decode("utf-8", "replace") for u in others[i:j]])
             self._store(others[i:j], np.array([x for ids in found for x in ids], np.uint32),
                         np.concatenate([[0], np.cumsum([len(ids) for ids in found])]))
+        return places
 
     def _store(self, units: list[bytes], ids: np.ndarray, bounds: np.ndarray):
         at, n = len(self.index), len(units)
@@ -179,7 +183,7 @@ class Encoder:
             found = self._library([raw[a:b].decode("utf-8", "replace") for a, b in zip(docs[:-1].tolist(), docs[1:].tolist())])
             return (np.array([x for ids in found for x in ids], np.uint32),
                     np.concatenate([[0], np.cumsum([len(ids) for ids in found])]).astype(np.int64))
-        if len(self.index) > CACHE_UNITS or self.used > CACHE_IDS:
+        if len(self.index) > self.units or self.used > CACHE_IDS * self.units:
             self._clear()
         units = self._units(raw, docs)
         edges = pa.py_buffer(np.append(units, len(raw)).astype(np.int32))
@@ -189,11 +193,10 @@ class Encoder:
         bounds = bounds - bounds[0]
         edges = bounds.tolist()
         index = self.index
-        places = np.array([index.get(own[a:b], -1) for a, b in zip(edges, edges[1:])], np.int64)
+        places = np.fromiter((index.get(own[a:b], -1) for a, b in zip(edges, edges[1:])), np.int64, len(edges) - 1)
         new = np.flatnonzero(places < 0)
         if len(new):
-            self._learn(own, bounds[new], bounds[new + 1])
-            places[new] = [index[own[edges[i]:edges[i + 1]]] for i in new.tolist()]
+            places[new] = self._learn(own, bounds[new], bounds[new + 1])
         del own, edges
         at = places[coded.indices.to_numpy()]
         sizes = self.sizes[at]
@@ -213,10 +216,10 @@ class Encoder:
             yield i, j, flat, bounds
 
 
-def encoder(path: str, special: bool = False) -> Encoder:
-    if (path, special) not in _ENCODERS:
-        _ENCODERS[path, special] = Encoder(path, special)
-    return _ENCODERS[path, special]
+def encoder(path: str, special: bool = False, units: int = CACHE_UNITS) -> Encoder:
+    if (path, special, units) not in _ENCODERS:
+        _ENCODERS[path, special, units] = Encoder(path, special, units)
+    return _ENCODERS[path, special, units]
 
 
 def with_end(flat: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

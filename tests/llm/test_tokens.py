@@ -36,10 +36,9 @@ def test_random_texts(special):
 
 
 def test_full_cache(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_UNITS", 50)
     monkeypatch.setattr(tokens, "CHUNK", 300)
     rng = random.Random(4)
-    same(tokens.Encoder(BPE), Tokenizer.from_file(BPE), [" ".join(rng.choices(["red", "green.", "blue,", str(i)], k=9)) for i in range(300)])
+    same(tokens.Encoder(BPE, units=50), Tokenizer.from_file(BPE), [" ".join(rng.choices(["red", "green.", "blue,", str(i)], k=9)) for i in range(300)])
 
 
 def test_other_kind_of_file():
