@@ -247,7 +247,9 @@ def mine(rows: DataFrame, anchor_every: int = 100, positives: int = 5, negatives
     n, n_anchor, dim = vecs.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("vec_id") % anchor_every == 0).cast("int")), F.lit(0)),
                                 F.coalesce(F.max(F.size("q")), F.lit(0))).first()
     directions = reference_directions(vecs, dim, references)
-    n_rows, n_anchors = max(mixed_partitions(spark), -(-n // rows_a_block)), max(1, -(-n_anchor // anchors_a_block))
+    # smaller blocks where there would be fewer than tasks, down to a quarter: each returns its own best few
+    n_rows = max(1, -(-n // rows_a_block), min(mixed_partitions(spark), -(-4 * n // rows_a_block)))
+    n_anchors = max(1, -(-n_anchor // anchors_a_block))
     row_blocks = written(_blocks(vecs, n_rows, directions, dim), "hardneg-rows")
     anchors = vecs.where(F.col("vec_id") % anchor_every == 0)
     best = _meet(_blocks(anchors, n_anchors, directions, dim), row_blocks, n_anchors, n_rows, _positives(dim, positives),
