@@ -2,7 +2,7 @@
 
 Every text is measured alone (words, symbols, repeated lines and 8-word
 windows); documents that fail these base rules are rejected. Then normalised
-lines (words in lower case, white space collapsed) are hashed, and for every
+lines (words in lower case, white space collapsed) are hashed (XXH64), and for every
 host (``source``) the distinct documents that hold a line are counted. Lines on
 more than ``max_share`` of the host's documents, and on at least ``min_docs``,
 are removed; a document that keeps less than ``min_left`` of its words is
@@ -17,10 +17,13 @@ results. Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from cinelake.llm import bytekernel as bk
 from cinelake.llm.common import if_small, with_row_key, written
@@ -46,14 +49,34 @@ def _later_equal(keys: np.ndarray) -> np.ndarray:
     return same
 
 
-def _in_pairs(keys: np.ndarray) -> np.ndarray:
-    """Marks the elements that occur twice or more."""
+def _codes(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Numbers of the values ``data[edges[i]:edges[i + 1]]``, equal exactly where
+    their bytes are."""
+    values = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data)])
+    return values.dictionary_encode().indices.to_numpy()
+
+
+def _repeated(words: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Marks the windows (``WINDOW`` words from each of ``at`` on) that occur
+    twice or more in their text. Windows of one hash are compared word by word;
+    a text in which unequal ones share a hash is counted over again."""
+    keys = bk.window_hashes(bk.mix(words.astype(np.uint64) + np.uint64(1)), WINDOW)[at] ^ bk.mix(doc.astype(np.uint64) + np.uint64(1))
     order = np.argsort(keys)
-    s = keys[order]
-    eq = s[1:] == s[:-1]
-    flag = np.zeros(len(keys), bool)
-    flag[order[1:][eq]] = True
-    flag[order[:-1][eq]] = True
+    same = np.flatnonzero(np.diff(keys[order]) == 0)
+    if (doc[order[same]] != doc[order[same + 1]]).any():   # texts whose windows share a hash: apart, by text
+        order = np.lexsort((doc, keys))
+        same = np.flatnonzero((np.diff(keys[order]) == 0) & (np.diff(doc[order]) == 0))
+    one, two = order[same], order[same + 1]
+    flag = np.zeros(len(at), bool)
+    flag[one] = flag[two] = True
+    equal = np.ones(len(one), bool)
+    for j in range(WINDOW):
+        equal &= words[at[one] + j] == words[at[two] + j]
+    for d in np.unique(doc[one[~equal]]).tolist():
+        mine = np.flatnonzero(doc == d)
+        windows = [tuple(words[a:a + WINDOW].tolist()) for a in at[mine].tolist()]
+        counts = Counter(windows)
+        flag[mine] = [counts[w] > 1 for w in windows]
     return flag
 
 
@@ -74,23 +97,23 @@ def measure(data: np.ndarray, docs: np.ndarray):
     ends = np.sort(np.concatenate([docs[1:], breaks]), kind="stable")
     lo, hi = np.searchsorted(ws.starts, starts), np.searchsorted(ws.starts, ends)
     full = np.flatnonzero(hi > lo)
-    starts, ends, line_doc, lo, hi = starts[full], ends[full], line_doc[full], lo[full], hi[full]
-    raw = bk.span_hash(data.astype(np.uint64) + np.uint64(1), starts, ends, bk.BASE)
-    salt = bk.mix(np.arange(1, n + 1).astype(np.uint64))
-    out["n_dup_lines"] = np.bincount(line_doc[_later_equal(raw ^ salt[line_doc])], minlength=n).astype(np.int64)
-
-    h = bk.word_hashes(ws, bk.LOWER)
-    line_hash = bk.span_hash(h, lo, hi, bk.WORD_BASE)
-
-    # windows of the words as they are, case included
-    exact = bk.word_hashes(ws, np.arange(256, dtype=np.uint8))
-    at = bk.whole_windows(ws.first, WINDOW)
+    text = data != _NEWLINE                                 # without newlines the lines stand one behind the other
+    before = np.concatenate([[0], np.cumsum(text)])
+    code = _codes(data[text], np.append(before[starts], before[-1]))[full]
+    line_doc, lo, hi = line_doc[full], lo[full], hi[full]
+    key = line_doc * (np.int64(len(starts)) + 1) + code
+    out["n_dup_lines"] = np.bincount(line_doc[_later_equal(key)], minlength=n).astype(np.int64)
+
+    # words as they are, one blank behind each
+    joined, first, last = bk.joined_words(ws, np.arange(256, dtype=np.uint8))
+    raw = bk.LOWER[joined].tobytes()
+    line_hash = np.array([xxh64_intdigest(raw[a:b]) for a, b in zip(first[lo].tolist(), last[hi - 1].tolist())], np.uint64)
     repeat = np.zeros(n, np.int64)
+    at = bk.whole_windows(ws.first, WINDOW)
     if len(at):
-        doc_of = np.repeat(np.arange(n), ws.counts)
-        win = bk.window_hashes(exact, WINDOW)[at] ^ salt[doc_of[at]]
-        hit = at[_in_pairs(win)]
-        cover = np.zeros(len(exact) + 1, np.int64)
+        words = _codes(joined, np.append(first, len(joined)))
+        hit = at[_repeated(words, at, np.repeat(np.arange(n), ws.counts)[at])]
+        cover = np.zeros(len(words) + 1, np.int64)
         np.add.at(cover, hit, 1)
         np.add.at(cover, hit + WINDOW, -1)
         repeat = bk.sums(np.cumsum(cover[:-1]) > 0, ws.first)

@@ -26,7 +26,9 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -43,7 +45,6 @@ MIN_RATIO = 20.0           # of a pattern's share of toxic documents to its shar
 MIN_EVIDENCE = 10.0        # log likelihood ratio that a pattern's share of toxic documents is not chance
 ROUNDS = 6                 # each looks at the toxic documents that the lexicon so far does not match
 PART_OF_BEST = 0.2         # of the best pattern's evidence that others of its round must have
-LEXICON_SIZE = 5000
 MIN_EXCEPTION_DOCS = 3
 
 # Letters of other scripts that look like Latin ones.
@@ -118,7 +119,35 @@ class Matcher:
                 excused.append((start, last + 1))
             elif weight > found.get(start, (0, 0.0))[1]:
                 found[start] = (last + 1, weight)
-        return [(a, b, w) for a, (b, w) in found.items() if not any(s <= a and b <= e for s, e in excused)]
+        excused.sort()
+        starts, reach = [s for s, _ in excused], list(accumulate((e for _, e in excused), max))     # how far exceptions up to each one reach
+        out = []
+        for a, (b, w) in found.items():
+            i = bisect_right(starts, a)
+            if not i or reach[i - 1] < b:
+                out.append((a, b, w))
+        return out
+
+
+def _word_before(folded: str, at: int) -> list[str]:
+    """The last word that ends before ``at``, if any."""
+    while at and folded[at - 1] == " ":
+        at -= 1
+    return [folded[folded.rfind(" ", 0, at) + 1:at]] if at else []
+
+
+def _words_from(folded: str, at: int, n: int) -> list[str]:
+    """The first n words from ``at`` on; a folded text ends in a blank."""
+    out = []
+    while len(out) < n:
+        while at < len(folded) and folded[at] == " ":
+            at += 1
+        if at == len(folded):
+            break
+        end = folded.find(" ", at)
+        out.append(folded[at:end])
+        at = end
+    return out
 
 
 def _count_patterns(lexicon):
@@ -157,9 +186,8 @@ def _contexts(lexicon):
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
                 folded, here = fold(text), set()
                 for a, _, _ in matcher.matches(folded):
-                    before = folded[:a].rsplit(None, 1)[-1:]
-                    words = folded[a:a + 200].split(None, 2)
-                    for phrase in ([*before, *words[:1]], words[:2]):
+                    words = _words_from(folded, a, 2)
+                    for phrase in ([*_word_before(folded, a), *words[:1]], words):
                         if len(phrase) == 2:
                             here.add(f" {' '.join(phrase)} ")
                 seen[bool(toxic)].update(here)
@@ -210,7 +238,7 @@ def _new_patterns(counts: DataFrame) -> dict[str, float]:
     ratio = ((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1))
     best = (counts.where((t > 0) & (F.col("pattern") != "")).withColumn("ratio", ratio).withColumn("evidence", evidence)
             .where((F.col("ratio") >= MIN_RATIO) & (F.col("evidence") >= MIN_EVIDENCE))
-            .orderBy(F.desc("toxic_docs"), F.length("pattern"), "pattern").limit(LEXICON_SIZE).collect())
+            .orderBy(F.desc("toxic_docs"), F.length("pattern"), "pattern").collect())          # of the sample's words
     out: dict[str, float] = {}
     least = PART_OF_BEST * max((r["evidence"] for r in best), default=0.0)
     for r in best:                              # the commonest first; longer forms of what is in add nothing
@@ -234,7 +262,7 @@ def fit(labelled: DataFrame, n_toxic: int, n_clean: int, share_toxic: float, exc
     found = _sum_by_pattern(labelled.mapInArrow(_contexts(spark.sparkContext.broadcast(lexicon)), schema))
     learned = [r["pattern"] for r in found.where(
         (F.col("clean_docs") >= MIN_EXCEPTION_DOCS) & (F.col("clean_docs") / n_clean > MIN_RATIO * F.col("toxic_docs") / n_toxic))
-        .orderBy(F.desc("clean_docs"), "pattern").limit(LEXICON_SIZE).collect()]
+        .orderBy(F.desc("clean_docs"), "pattern").collect()]                                # phrases of the sample
     phrases = learned + [fold(p) for p in exceptions]
     model = spark.sparkContext.broadcast((lexicon, phrases))
     sample = labelled.mapInArrow(_features(model), "toxic boolean, x1 double, x2 double").toPandas()    # 2 * SAMPLE rows or so

@@ -114,11 +114,19 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
     return out
 
 
+def _parsed_id(name: str, kind) -> Column:
+    """The id in a header line; null where there is none."""
+    urn = F.nullif(F.regexp_extract(F.col("header").cast("string"), rf"(?m)^{name}: <urn:page:([^\r\n]*)>", 1), F.lit(""))
+    return F.nullif(urn, F.lit("none")).cast(kind)
+
+
 def parsed_records(records: DataFrame) -> DataFrame:
     """record_id, payload_bytes, payload_digest, record_type and refers_to of
     rebuilt records, from the header and block that each is parsed into; a
     revisit has no block, its digest and size are those of the payload that it
-    refers to. A record that is not whole fails the job."""
+    refers to. A record that is not whole, or whose header names another record
+    than its row, fails the job."""
+    kind = records.schema["record_id"].dataType
     end = len(RECORD_END)
     head = F.substring_index(F.col("record").cast("string"), RECORD_END, 1)
     size = F.length("record") - F.octet_length("header") - end
@@ -129,11 +137,13 @@ def parsed_records(records: DataFrame) -> DataFrame:
     full = parts.withColumn("full", F.when(F.col("record_type") == "revisit", F.col("payload")).otherwise(F.col("block"))).select(
         "record_id", "refers_to", "header", "record_type", "ended", F.length("block").alias("block_bytes"),
         F.length("full").cast("bigint").alias("payload_bytes"), F.sha1("full").alias("sha1"))
-    whole = (F.col("ended") & F.startswith(F.col("header").cast("string"), F.lit(f"WARC/1.1{CRLF}"))
+    own, refers = _parsed_id("WARC-Record-ID", kind), _parsed_id("WARC-Refers-To", kind)
+    whole = (F.col("ended") & own.eqNullSafe(F.col("record_id")) & refers.eqNullSafe(F.col("refers_to")) & F.startswith(F.col("header").cast("string"), F.lit(f"WARC/1.1{CRLF}"))
              & (_field("Content-Length") == F.col("block_bytes").cast("string"))
              & (_field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("sha1"))))
     bad = F.raise_error(F.concat(F.lit("rebuilt record does not match its header: "), F.col("header").cast("string")))
-    return full.select("record_id", "payload_bytes", F.when(whole, F.col("sha1")).otherwise(bad).alias("payload_digest"), "record_type", "refers_to")
+    return full.select(own.alias("record_id"), "payload_bytes", F.when(whole, F.col("sha1")).otherwise(bad).alias("payload_digest"),
+                       "record_type", refers.alias("refers_to"))
 
 
 def export_files(spark: SparkSession, path: str, target: str, records_per_file: int = 100_000) -> None:

@@ -5,6 +5,7 @@ import zlib
 
 import llm_brute as brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -50,6 +51,26 @@ def test_quality_edges(docs, none):
     assert quality.judge(none).count() == 0 and quality.keep_good(none).count() == 0
 
 
+def test_quality_hash_collisions(spark, monkeypatch):
+    """Lines and windows are equal only where their bytes are: a Thue-Morse line
+    and its complement share every polynomial hash modulo 2**64."""
+    bits = [0]
+    while len(bits) < 2048:
+        bits += [1 - x for x in bits]
+    one, two = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    texts = [f"{one}\n{two}", f"{one}\n{one}", " ".join([one] * 8 + [two] * 8), " ".join([one, two] * 9), "x y\nx  y\nx y \nx y"]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], SCHEMA)).collect()}
+    for i, t in enumerate(texts):
+        assert {m: getattr(got[i], m) for m in quality._MEASURES} == {m: brute.quality_base(t)[m] for m in quality._MEASURES}
+    assert [got[i].n_dup_lines for i in range(5)] == [0, 1, 0, 0, 1]
+    plain = quality.bk.window_hashes
+    monkeypatch.setattr(quality.bk, "window_hashes", lambda h, k: plain(h, k) % np.uint64(3))       # nearly all windows share a hash
+    rng = np.random.default_rng(1)
+    rows = [" ".join(rng.choice(["a", "b", "c"], 70)) for _ in range(20)] + [" ".join(f"w{j}" for j in range(50))]
+    data, offsets = quality.bk.text_buffers(pa.array(rows))
+    assert quality.measure(data, offsets)[0]["n_repeat_words"].tolist() == [brute.quality_base(t)["n_repeat_words"] for t in rows]
+
+
 def test_quality_cross_document_lines(spark):
     line = "this line stands on every page of the host and says nothing at all to anyone"
     body = [" ".join(f"t{i}x{j}" for j in range(30)) for i in range(20)]
@@ -338,6 +359,17 @@ def test_warc_query_rebuilds_records(spark, monkeypatch, damage):
         warc.archive_pages(pages).collect()
 
 
+@pytest.mark.parametrize("column, value", [("record_id", "record_id + 100"), ("refers_to", "777L"), ("refers_to", "cast(null as bigint)")])
+def test_warc_ids_come_from_the_header(spark, column, value):
+    rows = [(1, "u", "abc"), (2, "u", "é" * 600), (3, "u", "é" * 600), (None, None, None)]
+    path = scratch_path(spark, "warc")
+    warc.write_archive(warc.page_records(spark.createDataFrame(rows, "page_id bigint, url string, html string")), path)
+    read = warc.read_records(spark, path)
+    assert sorted((str(r.record_id), r.refers_to) for r in warc.parsed_records(read).collect()) == [("1", None), ("2", 3), ("3", None), ("None", None)]
+    with pytest.raises(Exception, match="rebuilt record"):
+        warc.parsed_records(read.withColumn(column, F.expr(value))).collect()
+
+
 def test_licenses_edges(docs, none, spark):
     assert licenses.scan(docs).where("licences <> '' or n_sentences <> 0").count() == 0
     assert licenses.scan(docs).count() == len(ROWS) and licenses.scan(none).count() == 0
@@ -416,6 +448,50 @@ file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
     "public-domain": "This work is in\nthe public domain.",
     "all-rights-reserved": "Copyright (c) 2020 Some Body. All\nrights reserved.",
 }
+_FREE = """This {what} is free software; you can redistribute it and/or
+modify it under the terms of the GNU {name} General Public
+License as published by the Free Software Foundation; either
+version {version} of the License, or (at your option) any later version."""
+_TITLE = "                    GNU {name} GENERAL PUBLIC LICENSE\n                       Version {version}\n\n Copyright (C) Free Software Foundation, Inc.\n"
+STANDARD |= {
+    "bsd-3-clause": STANDARD["bsd-2-clause"] + """
+
+3. Neither the name of Some Company, Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS\"""",
+    "gpl-2.0-grant": _FREE.format(what="program", name="", version="2").replace("GNU  General", "GNU General"),
+    "gpl-2.0-only": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License version 2 as
+published by the Free Software Foundation.""",
+    "lgpl-2.1-grant": _FREE.format(what="library", name="Lesser", version="2.1"),
+    "lgpl-3.0-grant": _FREE.format(what="library", name="Lesser", version="3"),
+    "agpl-3.0-grant": _FREE.format(what="program", name="Affero", version="3"),
+    "gpl-2.0-text": _TITLE.format(name="", version="2, June 1991").replace("GNU  GENERAL", "GNU GENERAL"),
+    "gpl-3.0-text": _TITLE.format(name="", version="3, 29 June 2007").replace("GNU  GENERAL", "GNU GENERAL"),
+    "lgpl-2.1-text": _TITLE.format(name="LESSER", version="2.1, February 1999"),
+    "lgpl-3.0-text": _TITLE.format(name="LESSER", version="3, 29 June 2007"),
+    "agpl-3.0-text": _TITLE.format(name="AFFERO", version="3, 19 November 2007"),
+    "apache-2.0-text": "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES""",
+    "zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:""",
+    "epl-2.0": """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    **{f"spdx-{x.lower()}": f"SPDX-License-Identifier: {x}" for x in licenses.SPDX},
+}
+STANDARD["gpl-2.0-header"] = STANDARD["gpl-2.0-grant"] + "\n\n" + STANDARD["gpl-3.0-header"].split("\n\n", 1)[1]
 STANDARD["mit-title-text"] = "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + STANDARD["mit-text"]
 STANDARD["gpl-3.0-grant"] = STANDARD["gpl-3.0-header"].split("\n\n")[0]
 
@@ -424,7 +500,8 @@ def test_licenses_standard_texts(spark):
     assert set(STANDARD) == {r for r, _, _ in licenses.RULES}
     rows = []
     for r, text in STANDARD.items():
-        for kind, t in (("plain", text), ("comment", "\n".join(f" * {x}" for x in text.split("\n"))), ("crlf", text.replace("\n", "\r\n"))):
+        for kind, t in (("plain", text), ("comment", "\n".join(f" * {x}" for x in text.split("\n"))), ("crlf", text.replace("\n", "\r\n")),
+                        ("sql", "\n".join(f"-- {x}" for x in text.split("\n"))), ("hash", "\n".join(f"# {x}".rstrip() for x in text.split("\n")))):
             rows.append((f"{r} {kind}", f"/* file\n{t}\n*/\n\nint main;\n"))
     rows += [("ends", "These are all. Rights reserved."), ("blank line", "Released under\n\nthe MIT License."), ("longer", "Licensed under the MIT\nLicense of old.")]
     got = {r.doc_id: (r.rules, r.licences) for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
@@ -433,6 +510,17 @@ def test_licenses_standard_texts(spark):
     assert got == {**want, "ends": ("", ""), "blank line": ("", ""), "longer": ("", "")}
 
 
+def test_licenses_in_other_words(spark):
+    two, three = STANDARD["bsd-2-clause"], STANDARD["bsd-3-clause"]
+    rows = [("subject", "Foo 2 is licensed under the Apache License, Version 2.0."), ("mit subject", "The whole tool is released\nunder the MIT license."),
+            ("bullets", two.replace("1. ", "- ").replace("2. ", "- ")), ("both", f"{two}\n\nand\n\n{three}"), ("dashes", f"{three}\n\n--{two}"),
+            ("holder", three.replace("Some Company, Inc.", "the copyright holder")), ("spdx end", "/* SPDX-License-Identifier: MIT */"),
+            ("spdx or", "// SPDX-License-Identifier: MIT OR Apache-2.0"), ("not", "It is not licensed under the MIT license of old.")]
+    got = {r.doc_id: r.licences for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {"subject": "Apache-2.0", "mit subject": "MIT", "bullets": "BSD-2-Clause", "both": "BSD-2-Clause,BSD-3-Clause",
+                   "dashes": "BSD-2-Clause,BSD-3-Clause", "holder": "BSD-3-Clause", "spdx end": "MIT", "spdx or": "", "not": ""}
+
+
 def test_licenses_prefilter_loses_nothing(spark):
     gaps = ("  ", "\t", "\u00a0", "\n", "\r\n * ", ", ")
     rows = ([(f"r{i}", f"Intro. All rights{g}reserved.") for i, g in enumerate(gaps)]
