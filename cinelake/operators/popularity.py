@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinelake.functions.ranking import (first_k_unseen, global_rank, order_cols, top_k_global,
+from cinelake.functions.ranking import (first_k_unseen, global_rank, order_cols, rank_within, top_k_global,
                                         top_k_per_group)
 from cinelake.functions.text import extract_year, genre_array
+from cinelake.session import written
 
 
 def global_mean(ratings: DataFrame) -> DataFrame:
@@ -72,18 +73,36 @@ def genre_buckets(movies: DataFrame, ratings: DataFrame, depth: int, m: float =
     return top_k_per_group(g, "genre", depth, order_cols(), rank_col="pos")
 
 
-def round_robin_merge(requests: DataFrame, buckets: DataFrame, k: int, exclude: DataFrame | None = None,
-                      n_excluded: DataFrame | None = None) -> DataFrame:
-    """Interleave each request's genre buckets.  Round = position in the
-    bucket; within a round genres go in preference order; a movie already taken
-    in an earlier (round, genre) is skipped; rounds run while fewer than k
-    movies were taken before them; ``exclude``d rows are skipped.
-    -> (req_id, gpos, pos, movieId, score)."""
-    req = (requests.select("req_id", F.posexplode(F.array_distinct("genres")).alias("gpos", "genre")))
-    cand = req.join(buckets, "genre")
-    if exclude is not None:
-        cand = (cand.join(n_excluded, "req_id", "left").where(F.col("pos") <= k + F.coalesce("n_excluded", F.lit(0))).drop("n_excluded")
-                .join(exclude, ["req_id", "movieId"], "left_anti"))
+def genre_places(movies: DataFrame, ratings: DataFrame, m: float = 50.0) -> DataFrame:
+    """(genre, pos, movieId, score): every movie's place in its genre buckets,
+    range-partitioned so that a large genre is many tasks' work."""
+    pop = bayesian_popularity(ratings, m).select("movieId", "score")
+    g = movies.select("movieId", F.explode(F.array_distinct(genre_array(F.col("genres")))).alias("genre"))
+    g = g.join(pop, "movieId", "left").fillna(0.0, subset=["score"])
+    return rank_within(g, "genre", order_cols(), out="pos")
+
+
+def open_places(requests: DataFrame, places: DataFrame, exclude: DataFrame, k: int) -> DataFrame:
+    """(req_id, gpos, pos, movieId, score): for every preferred genre the places
+    a request can need, without its excluded movies. From a genre with s of them
+    the first R places give R - s movies, so k are taken by round k + s at the
+    latest; a request meets k + s places of a genre, s the most it has in one."""
+    req = requests.select("req_id", F.posexplode(F.array_distinct("genres")).alias("gpos", "genre"))
+    held = (exclude.join(places.select("movieId", "genre"), "movieId").join(req.select("req_id", "genre"), ["req_id", "genre"], "left_semi")
+            .groupBy("req_id", "genre").agg(F.count(F.lit(1)).alias("s")).groupBy("req_id").agg(F.max("s").alias("s")))
+    sizes = places.groupBy("genre").agg(F.max("pos").alias("size"))
+    need = req.join(sizes, "genre").join(held, "req_id", "left")
+    last = F.least(F.col("size"), F.lit(k) + F.coalesce("s", F.lit(0)))
+    wanted = need.select("req_id", "gpos", "genre", F.explode(F.sequence(F.lit(1).cast("bigint"), last.cast("bigint"))).alias("pos"))
+    return (wanted.join(places, ["genre", "pos"]).join(exclude, ["req_id", "movieId"], "left_anti")
+            .select("req_id", "gpos", "pos", "movieId", "score"))
+
+
+def round_robin_merge(cand: DataFrame, k: int) -> DataFrame:
+    """Interleave each request's genre buckets, given as (req_id, gpos, pos,
+    movieId, score).  Round = position in the bucket; within a round genres go
+    in preference order; a movie already taken in an earlier (round, genre) is
+    skipped; rounds run while fewer than k movies were taken before them."""
     seq = Window.partitionBy("req_id", "movieId").orderBy("pos", "gpos")
     first = cand.withColumn("dup", F.row_number().over(seq)).where("dup = 1")
     per_round = first.groupBy("req_id", "pos").agg(F.count(F.lit(1)).alias("n_round"))
@@ -110,15 +129,15 @@ def genre_onboarding(requests: DataFrame, movies: DataFrame, ratings: DataFrame,
     k x |genres|.
 
     ``exclude``: (req_id, movieId) rows never returned; they keep their place in
-    the buckets, so a request with s of them needs k + s positions.
+    the buckets, so a request with s of them in a genre needs k + s positions.
     """
     if exclude is None:
-        picked = round_robin_merge(requests, genre_buckets(movies, ratings, k, m), k)
+        req = requests.select("req_id", F.posexplode(F.array_distinct("genres")).alias("gpos", "genre"))
+        picked = round_robin_merge(req.join(genre_buckets(movies, ratings, k, m), "genre"), k)
     else:
         exclude = exclude.select("req_id", "movieId").distinct()
-        own = exclude.groupBy("req_id").agg(F.count(F.lit(1)).alias("n_excluded"))
-        most = own.agg(F.max("n_excluded").alias("n")).first()["n"] or 0
-        picked = round_robin_merge(requests, genre_buckets(movies, ratings, k + most, m), k, exclude, own)
+        places = written(genre_places(movies, ratings, m), "onboarding-places")
+        picked = round_robin_merge(open_places(requests, places, exclude, k), k)
     out = top_k_per_group(picked, "req_id", k if strict_k else None, [F.col("pos"), F.col("gpos")])
     out = out.select("req_id", "rank", "movieId", "score")
     missing = requests.select("req_id").join(out.select("req_id").distinct(), "req_id", "left_anti")

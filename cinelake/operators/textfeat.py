@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from cinelake.functions.ranking import global_rank
 from cinelake.functions.stopwords import ENGLISH_STOP_WORDS
 from cinelake.functions.text import NO_GENRE, tokens
-from cinelake.session import cut_lineage
+from cinelake.session import written
+
+BROADCAST_TERMS = 200_000          # of at most a few words each
 
 
 def token_array(text, stop_words: bool = True):
@@ -72,13 +74,18 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, min_df: int = 1, max_feat
 def tfidf_from_counts(tf: DataFrame, n_docs: DataFrame, min_df: int = 1, max_features: int | None = None,
                       sublinear: bool = True) -> DataFrame:
     """TF-IDF from ``(id, term, tf)`` counts and a one-row ``(n_docs)`` frame
-    (documents without terms count in n_docs)."""
-    tf = cut_lineage(tf)     # it feeds the vocabulary, the norms and the weights: compute it once
+    (documents without terms count in n_docs).  A vocabulary of at most
+    ``BROADCAST_TERMS`` terms (counted) is sent to all tasks, a larger one joined
+    by shuffle; the weights are hashed by id once, for norms and result."""
+    tf = written(tf, "term-counts")     # the vocabulary reads its columns, the weights all: computed once
     vocab = vocabulary(tf, min_df, max_features)
     idf = vocab.crossJoin(F.broadcast(n_docs)).select(
         "term", (F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
+    idf = written(idf, "idf")
+    idf = F.broadcast(idf) if idf.count() <= BROADCAST_TERMS else idf
     tfw = (F.lit(1.0) + F.log(F.col("tf"))) if sublinear else F.col("tf").cast("double")
     w = tf.join(idf, "term").select("id", "term", (tfw * F.col("idf")).alias("w"))
+    w = w.repartition("id")             # both branches below read this one exchange
     norm = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return w.join(norm, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("w"))
 

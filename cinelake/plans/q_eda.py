@@ -235,6 +235,14 @@ def q_collect_sets(spark, sf):
     return S.interactions(spark, sf).groupBy("userId").agg(F.array_sort(F.collect_set("movieId")).alias("seen"))
 
 
+@query("seen_bitmaps", code="A18 (bitmaps)", sql="""
+SELECT userId, (movieId - 1) // 32768 + 1 AS bucket, list_sort(list(DISTINCT movieId)) AS items FROM interactions GROUP BY 1, 2""")
+def q_seen_bitmaps(spark, sf):
+    """The sets as bitmaps of bounded size, read back as ids."""
+    from cinelake.operators import seen as B
+    return B.seen_lists(B.seen_bitmaps(S.interactions(spark, sf)))
+
+
 @query("user_stats", code="A19", floats=("u_mean", "u_std"), sql="""
 SELECT userId, avg(rating) AS u_mean, coalesce(stddev_samp(rating), 0.0E0) AS u_std, count(*) AS u_count
 FROM interactions GROUP BY userId""")

@@ -216,14 +216,15 @@ SELECT userId, count(*) AS n_unseen_top50 FROM
 WHERE NOT EXISTS (SELECT 1 FROM interactions i WHERE i.userId = u.userId AND i.movieId = t.movieId)
 GROUP BY userId""")
 def q_except_seen(spark, sf):
-    """Per user, how many of the 50 most popular movies are still unseen."""
+    """Per user, how many of the 50 most popular movies are still unseen: the
+    bitmaps of what a user has seen AND those of the 50."""
+    from cinelake.operators import seen as B
     from cinelake.operators.popularity import bayesian_popularity
     from cinelake.functions.ranking import order_cols, top_k_global
     r = S.interactions(spark, sf)
     top = top_k_global(bayesian_popularity(r), 50, order_cols()).select("movieId")
-    pairs = r.select("userId").distinct().crossJoin(F.broadcast(top))   # users x 50 (fixed k)
-    return (pairs.join(r.select("userId", "movieId"), ["userId", "movieId"], "left_anti")
-            .groupBy("userId").agg(F.count(F.lit(1)).alias("n_unseen_top50")))
+    left = B.unseen_counts(B.seen_bitmaps(r), r.select("userId").distinct(), top)
+    return left.where("n_unseen > 0").select("userId", F.col("n_unseen").alias("n_unseen_top50"))
 
 
 @query("concat_partitions", code="O8/O4", sql="""
