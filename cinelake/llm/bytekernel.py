@@ -10,6 +10,7 @@ of its own.
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -84,6 +85,24 @@ def doc_chunks(offsets: np.ndarray, size: int = CHUNK):
         i = min(j, n)
 
 
+def give_back() -> None:
+    """Unused memory of the worker's allocators back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):              # another C library keeps what it has
+        pass
+
+
+def releasing(run):
+    """A batch function that gives unused memory back at its end, so that what
+    one stage's arrays took does not stay with a reused worker beside the next's."""
+    def wrapped(batches):
+        yield from run(batches)
+        give_back()
+    return wrapped
+
+
 def byte_set(pred) -> np.ndarray:
     return np.array([bool(pred(b)) for b in range(256)])
 

@@ -148,7 +148,7 @@ def contained_windows(docs: DataFrame, items: DataFrame, window: int = WINDOW, s
     bitmap = spark.sparkContext.broadcast(_bitmap(windows))
     src = with_row_key(docs.select("doc_id", "text"), "doc_id", "text")
     scanned = written(src.mapInArrow(
-        _scan_batches(bitmap, widths, window),
+        bk.releasing(_scan_batches(bitmap, widths, window)),
         f"doc_id {dict(src.dtypes)['doc_id']}, k1 bigint, k2 bigint, n_words bigint, regions {_REGION_SQL}"), "decontam-scan")
     regions = scanned.where(F.size("regions") > 0).select("k1", "k2", "n_words", F.explode("regions").alias("r"))
     places = regions.select("k1", "k2", "n_words", F.col("r.start").alias("r_start"), F.col("r.words").alias("r_words"),

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinelake.llm import bytekernel as bk
 from cinelake.llm.common import mixed_partitions, written
 from cinelake.llm.tokens import encoder, row_groups, with_end
 
@@ -183,7 +184,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = 1,
     src = docs.select("doc_id", "text")
     kind = dict(src.dtypes)["doc_id"]
     parts = written(src.mapInArrow(
-        _tokenise(tokenizer, window, end_id, special),
+        bk.releasing(_tokenise(tokenizer, window, end_id, special)),
         f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sketch bigint"), "packing-parts")
     out = f"doc_id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
     full = (parts.where(F.col("length") == window)
@@ -193,4 +194,4 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = 1,
              .repartitionByRange(mixed_partitions(docs.sparkSession), "sketch", "doc_id", "start")
              .sortWithinPartitions("sketch", "doc_id", "start")
              .select("doc_id", "start", "doc_tokens", "ids"))
-    return full.unionByName(tails.mapInArrow(_pack(window, shard), out))
+    return full.unionByName(tails.mapInArrow(bk.releasing(_pack(window, shard)), out))

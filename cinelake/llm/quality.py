@@ -142,7 +142,7 @@ def measures(docs: DataFrame) -> DataFrame:
     kinds = dict(src.dtypes)
     schema = (f"doc_id {kinds['doc_id']}, source {kinds['source']}, k1 bigint, k2 bigint, "
               + ", ".join(f"{m} bigint" for m in _MEASURES) + ", lines array<bigint>, line_words array<bigint>")
-    return src.select("doc_id", "source", "k1", "k2", "text").mapInArrow(_measure_batches, schema)
+    return src.select("doc_id", "source", "k1", "k2", "text").mapInArrow(bk.releasing(_measure_batches), schema)
 
 
 def frequent_lines(measured: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:

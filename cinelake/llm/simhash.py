@@ -81,7 +81,7 @@ def _fingerprints(k: int):
 def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """doc_id, k1, k2 (key of the row) and fp, the fingerprint as a signed long."""
     src = with_row_key(docs.select("doc_id", "text"), "doc_id", "text")
-    return src.mapInArrow(_fingerprints(k), f"doc_id {dict(src.dtypes)['doc_id']}, k1 bigint, k2 bigint, fp bigint")
+    return src.mapInArrow(bk.releasing(_fingerprints(k)), f"doc_id {dict(src.dtypes)['doc_id']}, k1 bigint, k2 bigint, fp bigint")
 
 
 def _band_masks(bands: int) -> list[int]:

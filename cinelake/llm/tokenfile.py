@@ -75,7 +75,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, se
     ordered = (src.repartitionByRange(mixed_partitions(docs.sparkSession), F.col("doc_id"), F.xxhash64("text"))
                .sortWithinPartitions("doc_id", F.xxhash64("text"), "text"))
     kind = dict(src.dtypes)["doc_id"]
-    ordered.mapInArrow(_write(tokenizer, end_id, segment, special),
+    ordered.mapInArrow(bk.releasing(_write(tokenizer, end_id, segment, special)),
                        f"part int, number int, before bigint, n_ids bigint, doc_ids array<{kind}>, doc_tokens array<bigint>, data binary"
                        ).write.parquet(path)
 
@@ -115,4 +115,4 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     kind = dict(segments.dtypes)["doc_ids"][6:-1]
     rows = segments.join(F.broadcast(offsets), F.col("part") == F.col("of_part")).select(
         (F.col("part_start") + F.col("before")).alias("first"), "n_ids", "doc_ids", "doc_tokens", "data")
-    return rows.mapInArrow(_read, f"doc_id {kind}, start bigint, n_tokens bigint, ids binary")
+    return rows.mapInArrow(bk.releasing(_read), f"doc_id {kind}, start bigint, n_tokens bigint, ids binary")

@@ -90,6 +90,8 @@ class Encoder:
                 and not kind.get("normalizer") and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
                 and not any(re.search(r"[\s.,]", t) for t in self.marks)):
             self.words = self._merges(kind["model"])
+        del kind
+        bk.give_back()
         self._clear()
 
     def _merges(self, model: dict):
