@@ -20,6 +20,7 @@ from cinelake.operators import textfeat as X
 from cinelake.operators.prep import enrich_movies, frequent_tags
 from cinelake.operators.pruned import pruned_topk
 from cinelake.operators.similarity import blocked_topk, l2_normalize, pad_with_zero
+from cinelake.session import written
 
 SIM_DP = 12   # similarities are rounded before ranking so near-equal floats tie
 
@@ -85,8 +86,8 @@ def content_vectors(movies: DataFrame, tags: DataFrame, min_tag_freq: int = 2) -
 def similar_by_content(movies: DataFrame, tags: DataFrame, k: int = 10) -> DataFrame:
     """Cosine over the weighted genre || tag || title stack, clamped at 0,
     zero-similarity rows may fill the list."""
-    v = content_vectors(movies, tags)
-    top = pruned_topk(v, v, k)
+    v = written(content_vectors(movies, tags), "content-vectors")
+    top = pruned_topk(v, v, k, stored=True)
     seeds = v.select(F.col("id").alias("sid")).distinct()
     padded = pad_with_zero(top, seeds, movies.select(F.col("movieId").alias("iid")), k)
     return _as_list(padded, "seed", k)
@@ -106,10 +107,10 @@ def recommend_from_profile(ratings: DataFrame, movies: DataFrame, tags: DataFram
     """Cosine between the user profile and every item; all rated items
     excluded; zero-similarity rows may fill; users without a qualifying rating
     get no rows."""
-    iv = item_vecs if item_vecs is not None else content_vectors(movies, tags)
-    prof = user_profiles(ratings, iv)
+    iv = written(item_vecs if item_vecs is not None else content_vectors(movies, tags), "content-vectors")
+    prof = written(user_profiles(ratings, iv), "profiles")
     seen = ratings.select(F.col("userId").alias("sid"), F.col("movieId").alias("iid"))
-    top = pruned_topk(prof, iv, k, exclude=seen, exclude_self=False)
+    top = pruned_topk(prof, iv, k, exclude=seen, exclude_self=False, stored=True)
     seeds = prof.select(F.col("id").alias("sid")).distinct()
     padded = pad_with_zero(top, seeds, movies.select(F.col("movieId").alias("iid")), k, exclude=seen,
                            exclude_self=False)
@@ -119,10 +120,10 @@ def recommend_from_profile(ratings: DataFrame, movies: DataFrame, tags: DataFram
 def item_item_cf(ratings: DataFrame, k: int = 10) -> DataFrame:
     """Cosine between item rating columns (users as terms), clamped at 0,
     zero rows fill from the rated-item universe."""
-    v = _vec(ratings, "movieId", "userId", "rating")
-    top = pruned_topk(v, v, k)
+    v = written(_vec(ratings, "movieId", "userId", "rating"), "item-vectors")
+    top = pruned_topk(v, v, k, stored=True)
     seeds = v.select(F.col("id").alias("sid")).distinct()
-    padded = pad_with_zero(top, seeds, ratings.select(F.col("movieId").alias("iid")), k)
+    padded = pad_with_zero(top, seeds, seeds.select(F.col("sid").alias("iid")), k)
     return _as_list(padded, "seed", k)
 
 

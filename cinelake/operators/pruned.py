@@ -329,14 +329,16 @@ def _blocks(vecs: DataFrame, n_ids: int, n_rows: int, normalize: bool, rows_a_bl
 
 
 def candidates(seeds: DataFrame, items: DataFrame, k: int, *, exclude: DataFrame | None = None, exclude_self: bool = True,
-               normalize: bool = True, rows_a_block: int = ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+               normalize: bool = True, rows_a_block: int = ROWS, hot_rows: int = HOT_ROWS, stored: bool = False) -> DataFrame:
     """(sid, iid, sim, cells, scored), written: candidates among which are every
     seed's k best, and for every block pair a row without ``iid`` that counts its
-    (seed, run) cells and those that were scored."""
+    (seed, run) cells and those that were scored. ``stored``: the vectors are
+    tables already, which may be read several times."""
     same = seeds is items
     whole = lambda df: df.where(F.col("id").isNotNull() & F.col("term").isNotNull() & F.col("w").isNotNull())
-    seeds = written(whole(seeds), "topk-seeds")
-    items = seeds if same else written(whole(items), "topk-items")
+    keep = (lambda df, name: whole(df)) if stored else (lambda df, name: written(whole(df), name))
+    seeds = keep(seeds, "topk-seeds")
+    items = seeds if same else keep(items, "topk-items")
     seeds, items = numbered_terms(seeds, items)
     sizes = lambda df: df.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     shape = lambda df: df.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()

@@ -146,7 +146,8 @@ def q_stream_latency(spark, sf):
     from the counts."""
     from cinelake.streaming import drift as D
     hist = D.run_windows(D.feed_stream(spark, sf), D.latency_histogram_stream, "latency_hist")
-    stats = D.run_windows(D.feed_stream(spark, sf), D.latency_mean_stream, "latency_mean")
+    stats = hist.groupBy("window_start").agg(
+        (F.sum(F.col("latency_ms") * F.col("n")) / F.sum(F.when(F.col("latency_ms").isNotNull(), F.col("n")))).alias("mean"), F.sum("n").alias("n"))
     return T.latency_from_histogram(hist, stats)
 
 

@@ -42,7 +42,8 @@ def rating_histogram_stream(feed: DataFrame, window: str = "1 day", slide: str |
     w = F.window("ts", window, slide) if slide else F.window("ts", window)
     return (feed.withWatermark("ts", WATERMARK)
             .groupBy(w.alias("w"), "event_type", "rating").agg(F.count(F.lit(1)).alias("n"))
-            .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "event_type", "rating", "n"))
+            .select(F.unix_seconds(F.col("w.start")).alias("window_start"), F.unix_seconds(F.col("w.end")).alias("window_end"),
+                    "event_type", "rating", "n"))
 
 
 def latency_histogram_stream(feed: DataFrame, window: str = "6 hours") -> DataFrame:
@@ -53,26 +54,23 @@ def latency_histogram_stream(feed: DataFrame, window: str = "6 hours") -> DataFr
     counts (``latency_from_histogram``)."""
     return (feed.withWatermark("ts", WATERMARK).groupBy(F.window("ts", window).alias("w"), "latency_ms")
             .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "latency_ms", "n"))
-
-
-def latency_mean_stream(feed: DataFrame, window: str = "6 hours") -> DataFrame:
-    """T3 companion: mean latency and record count per window (two numbers of
-    state per window)."""
-    return (feed.withWatermark("ts", WATERMARK).groupBy(F.window("ts", window).alias("w"))
-            .agg(F.avg("latency_ms").alias("mean"), F.count(F.lit(1)).alias("n"))
-            .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "mean", "n"))
+            .select(F.unix_seconds(F.col("w.start")).alias("window_start"), F.unix_seconds(F.col("w.end")).alias("window_end"), "latency_ms", "n"))
 
 
 def run_windows(feed: DataFrame, aggregate, name: str) -> DataFrame:
     """Run a windowed aggregate of a streaming ``feed`` to completion: windows
     that the watermark closes are emitted by the stream (append mode); the rows
-    of the feed land too, and windows still open at the end are aggregated from
-    them by a batch pass, so every window is in the result."""
+    of the feed land too, and the windows still open at the end are aggregated
+    from them by a batch pass. One rule holds for every row: it counts unless
+    its window had closed when it came. A window that the last watermark has
+    closed without an emission had late rows only, and is left out."""
     closed = run_to_table(aggregate(feed), name)
     landed = run_to_table(feed, name + "-feed")
-    open_ones = aggregate(landed).join(closed.select("window_start").distinct(), "window_start", "left_anti")
-    return closed.unionByName(open_ones)
+    newest = landed.agg(F.unix_micros(F.max("ts")).alias("m")).first()["m"]
+    watermark = (newest or 0) - 3_600_000_000                     # WATERMARK behind the newest event
+    open_ones = aggregate(landed).where(F.col("window_end") * 1_000_000 > F.lit(watermark))
+    open_ones = open_ones.join(closed.select("window_start").distinct(), "window_start", "left_anti")
+    return closed.unionByName(open_ones).drop("window_end")
 
 
 def run_to_table(query_df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
@@ -117,7 +115,7 @@ def movie_popularity_stream(events: DataFrame, window: str = "1 day") -> DataFra
     return (events.withWatermark("ts", WATERMARK)
             .groupBy(F.window("ts", window).alias("w"), "movieId")
             .agg(F.count(F.lit(1)).alias("v"), F.sum("rating").alias("s"))
-            .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "movieId", "v", "s"))
+            .select(F.unix_seconds(F.col("w.start")).alias("window_start"), F.unix_seconds(F.col("w.end")).alias("window_end"), "movieId", "v", "s"))
 
 
 def window_popularity(counts: DataFrame, baseline: DataFrame, m: float = 50.0, k: int = 10) -> DataFrame:

@@ -33,7 +33,8 @@ def test_bitmaps_equal_sets(spark):
 def plain_onboarding(genres, buckets, excluded, k):
     taken, r = [], 0
     while len(taken) < k and any(r < len(buckets.get(g, [])) for g in genres):
-        taken += [m for m in dict.fromkeys(b[r] for g in genres if r < len(b := buckets.get(g, []))) if m not in excluded and m not in taken]
+        row = dict.fromkeys(buckets[g][r] for g in genres if r < len(buckets.get(g, [])))
+        taken += [m for m in row if m not in excluded and m not in taken]
         r += 1
     return taken
 
