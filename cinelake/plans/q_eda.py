@@ -236,7 +236,7 @@ def q_collect_sets(spark, sf):
 
 
 @query("seen_bitmaps", code="A18 (bitmaps)", sql="""
-SELECT userId, (movieId - 1) // 32768 + 1 AS bucket, list_sort(list(DISTINCT movieId)) AS items FROM interactions GROUP BY 1, 2""")
+SELECT userId, CASE WHEN movieId > 0 THEN (movieId - 1) // 32768 + 1 ELSE movieId // 32768 END AS bucket, list_sort(list(DISTINCT movieId)) AS items FROM interactions GROUP BY 1, 2""")
 def q_seen_bitmaps(spark, sf):
     """The sets as bitmaps of bounded size, read back as ids."""
     from cinelake.operators import seen as B
