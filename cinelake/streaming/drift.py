@@ -57,6 +57,14 @@ def latency_histogram_stream(feed: DataFrame, window: str = "6 hours") -> DataFr
             .select(F.unix_seconds(F.col("w.start")).alias("window_start"), F.unix_seconds(F.col("w.end")).alias("window_end"), "latency_ms", "n"))
 
 
+def latency_mean_stream(feed: DataFrame, window: str = "6 hours") -> DataFrame:
+    """T3 companion: mean latency and record count per window (two numbers of
+    state per window)."""
+    return (feed.withWatermark("ts", WATERMARK).groupBy(F.window("ts", window).alias("w"))
+            .agg(F.avg("latency_ms").alias("mean"), F.count(F.lit(1)).alias("n"))
+            .select(F.unix_seconds(F.col("w.start")).alias("window_start"), F.unix_seconds(F.col("w.end")).alias("window_end"), "mean", "n"))
+
+
 def run_windows(feed: DataFrame, aggregate, name: str) -> DataFrame:
     """Run a windowed aggregate of a streaming ``feed`` to completion: windows
     that the watermark closes are emitted by the stream (append mode); the rows
