@@ -179,6 +179,6 @@ def q_round_robin_merge(spark, sf):
     (the last round may overshoot k)."""
     from cinelake.functions.ranking import top_k_per_group
     r, m = S.interactions(spark, sf), S.movies(spark, sf)
-    picked = P.round_robin_merge(P.first_rated_genres(r, m), P.genre_buckets(m, r, 10), 10)
+    picked = P.round_robin_merge(P.first_places(P.first_rated_genres(r, m), P.genre_buckets(m, r, 10)), 10)
     out = top_k_per_group(picked, "req_id", None, [F.col("pos"), F.col("gpos")])
     return out.select("req_id", "rank", "movieId", F.col("pos").alias("round"))
