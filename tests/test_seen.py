@@ -30,6 +30,15 @@ def test_bitmaps_equal_sets(spark):
     assert {r.userId: r.n_unseen for r in left.collect()} == {u: len(set(few) - s) for u, s in want.items()}
 
 
+def test_a_set_is_as_small_as_its_items(spark):
+    """Ids far apart: a row of 8 bytes an item, not a bucket of 4,096."""
+    pairs = spark.range(300).selectExpr("id % 3 as userId", "id * 40000 as movieId")
+    maps = B.seen_bitmaps(pairs)
+    assert dict(maps.dtypes)["seen"] == "bigint" and maps.count() == 300
+    dense = B.seen_bitmaps(spark.range(1, 32_769).selectExpr("1 as userId", "id as movieId"))
+    assert dense.count() == 512 and B.seen_lists(dense).first()["items"] == list(range(1, 32_769))
+
+
 def plain_onboarding(genres, buckets, excluded, k):
     taken, r = [], 0
     while len(taken) < k and any(r < len(buckets.get(g, [])) for g in genres):
