@@ -100,3 +100,13 @@ def test_hash_collision_numbers_by_rank(spark, monkeypatch):
     v = spark.createDataFrame(rows, "id long, term string, w double")
     monkeypatch.setattr(P.F, "xxhash64", lambda c: F.lit(7).cast("bigint"))
     assert got(P.pruned_topk(v, v, 3)) == [(1, 1, 3, 1.0), (3, 1, 1, 1.0)]
+
+
+def test_candidates_do_not_grow_with_the_blocks(spark):
+    """A seed's best are kept over all item blocks: k candidates a seed, not k a pair of blocks."""
+    rng = np.random.default_rng(4)
+    items, seeds = vectors(rng, 300, 12, 90), vectors(rng, 60, 12, 90, base=1000)
+    s, i = table(spark, seeds), table(spark, items)
+    found = P.candidates(s, i, 5, exclude_self=False, rows_a_block=20)
+    assert found.where("iid is not null").count() <= 5 * len(seeds)
+    same(got(P.pruned_topk(s, i, 5, exclude_self=False, rows_a_block=20)), brute(seeds, items, 5, exclude_self=False))
