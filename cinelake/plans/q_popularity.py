@@ -107,7 +107,8 @@ WHERE rank <= 10""")
 @query("genre_onboarding_unseen", code="R11", floats=("score",), sql=ONBOARD_UNSEEN_SQL)
 def q_genre_onboarding_unseen(spark, sf):
     """Genre onboarding that leaves out what each user has rated."""
-    r, m = S.interactions(spark, sf), S.movies(spark, sf)
+    from cinelake.session import written
+    r, m = written(S.interactions(spark, sf), "interactions"), S.movies(spark, sf)      # read by requests, scores and exclusions
     return P.genre_onboarding(P.first_rated_genres(r, m), m, r, k=10, exclude=r.select(F.col("userId").alias("req_id"), "movieId"))
 
 
