@@ -118,7 +118,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bands: int = BANDS, piv
     cond = ((F.col("a.choice") == F.col("b.choice")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.cell") == F.col("b.cell"))
             & (F.col("a.fp") < F.col("b.fp")) & reduce(Column.__and__, near)
             & (F.bit_count(differ) <= max_bits) & (F.col("a.choice").cast("int") == first))
-    return a.join(b, cond).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+    # never broadcast: Spark sizes a side as the fingerprints before they are exploded into 20 keys and more
+    return a.hint("merge").join(b.hint("merge"), cond).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
